@@ -65,39 +65,43 @@ def clean_clickstream(raw: DataFrame) -> DataFrame:
 
 
 def clean_financials(raw: DataFrame) -> DataFrame:
-    """Strip, cast, sentinels, whitelist and ranges in one projection, then derived columns."""
+    """Strip and cast, then guard, then derive.
 
-    def cleaned(name: str, dtype: str) -> Column:
+    Each step is one projection: a guard tests its value more than once, and
+    a value that is a plain column of the step before is computed only once.
+    """
+
+    def typed(name: str, dtype: str) -> Column:
         c = F.col(name)
         if dtype == "date":
             return c.try_cast("date")
         c = c.cast("string")
-        if dtype in ("int", "float") and name not in rules.KEEPS_UNDERSCORES:
+        if dtype == "string":
+            return c
+        if name not in rules.KEEPS_UNDERSCORES:
             c = text.strip_token(c)
-        if dtype == "int":
-            c = numbers.lenient_int(c)
-        elif dtype == "float":
-            c = c.try_cast("float")
-        elif name == "Credit_Mix":
-            c = text.null_if_in(c, rules.CREDIT_MIX_SENTINELS)
-        elif name == "Type_of_Loan":
-            c = text.null_if_in(c, rules.LOAN_TYPE_SENTINELS)
-        elif name == "Payment_Behaviour":
-            c = text.keep_if_in(c, rules.PAYMENT_BEHAVIOURS)
-        if name in rules.FINANCIAL_RANGES:
-            c = numbers.within(c, *rules.FINANCIAL_RANGES[name])
-        return c
-
-    typed = raw.select(*[cleaned(n, t).alias(n) for n, t in rules.FINANCIAL_TYPES.items()])
-    return typed.select(
-        "*",
-        dates.span_in_months(F.col("Credit_History_Age")).alias("Credit_history_total_months"),
-        numbers.ratio_if_positive(F.col("Outstanding_Debt"), F.col("Annual_Income")).alias(
-            "Debt_to_income_ratio"
-        ),
-        bands.band_above(
-            F.col("Credit_Utilization_Ratio"), rules.UTILISATION_BANDS, rules.UTILISATION_DEFAULT
-        ).alias("credit_risk_level"),
+        return numbers.lenient_int(c) if dtype == "int" else c.try_cast(dtype)
+
+    guards = {
+        "Credit_Mix": text.null_if_in(F.col("Credit_Mix"), rules.CREDIT_MIX_SENTINELS),
+        "Type_of_Loan": text.null_if_in(F.col("Type_of_Loan"), rules.LOAN_TYPE_SENTINELS),
+        "Payment_Behaviour": text.keep_if_in(F.col("Payment_Behaviour"), rules.PAYMENT_BEHAVIOURS),
+    } | {
+        name: numbers.within(F.col(name), low, high)
+        for name, (low, high) in rules.FINANCIAL_RANGES.items()
+    }
+    return (
+        raw.select(*[typed(n, t).alias(n) for n, t in rules.FINANCIAL_TYPES.items()])
+        .withColumns(guards)
+        .withColumns({
+            "Credit_history_total_months": dates.span_in_months(F.col("Credit_History_Age")),
+            "Debt_to_income_ratio": numbers.ratio_if_positive(
+                F.col("Outstanding_Debt"), F.col("Annual_Income")
+            ),
+            "credit_risk_level": bands.band_above(
+                F.col("Credit_Utilization_Ratio"), rules.UTILISATION_BANDS, rules.UTILISATION_DEFAULT
+            ),
+        })
     )
 
 

@@ -8,6 +8,7 @@ from tidemark.operators import features, prepare, profile
 from tidemark.queries import standins as st
 from tidemark.queries.base import present, query
 from tidemark.queries.sqltext import d, r
+from tidemark.session import cut_lineage
 
 _NUM, _CAT = st.MODEL_NUMERIC, st.MODEL_CATEGORICAL
 
@@ -17,7 +18,8 @@ def merged(spark, sf):
 
 
 def split_rows(spark, sf):
-    return prepare.temporal_split(merged(spark, sf), "snapshot_date")
+    """The merge is written once; dates, fits and rows then read the table."""
+    return prepare.temporal_split(cut_lineage(merged(spark, sf), "merged"), "snapshot_date")
 
 
 @query("feature_label_merge", f"""
@@ -130,7 +132,7 @@ def feature_matrix(spark, sf):
     rows = split_rows(spark, sf)
     medians = prepare.fit_medians(rows.where(F.col("split") == "train"), _NUM)
     coded = prepare.encode(
-        prepare.impute_medians(rows, medians, _NUM), prepare.fit_encoder(merged(spark, sf), _CAT), _CAT)
+        prepare.impute_medians(rows, medians, _NUM), prepare.fit_encoder(rows, _CAT), _CAT)
     return present(prepare.feature_matrix(coded, ["loan_id", "label"], _NUM, _CAT), digits=4)
 
 
