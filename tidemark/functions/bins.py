@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 
@@ -11,33 +13,43 @@ def edges(bins: int, low: float = 0.0, high: float = 1.0) -> list[float]:
     return [low + i * step for i in range(bins)] + [high]
 
 
+# Up to this many bins the edges are compared one by one.
+FEW_BINS = 16
+
+
 def bin_index(x: Column, bins: int, low: Column | float = 0.0, high: Column | float = 1.0) -> Column:
     """Zero-based bin of ``x``: ``[e_i, e_i+1)``, the last bin closed.
 
-    Outside the range, and for null or NaN, the result is null.  A division
-    gives the bin up to one, then the value is compared with the two edges as
-    they are in floating point (0.3 lies below the fourth edge, 3 * 0.1).
+    Outside the range, and for null or NaN, the result is null.  Values are
+    compared with the edges as they are in floating point: 0.3 lies below the
+    fourth edge, which is 3 * 0.1.
     """
-    low_c = F.lit(low) if not isinstance(low, Column) else low
-    high_c = F.lit(high) if not isinstance(high, Column) else high
     x = x.cast("double")
-    step = (high_c - low_c) / F.lit(float(bins))
+    fixed = not isinstance(low, Column) and not isinstance(high, Column)
+    low_c = low if isinstance(low, Column) else F.lit(float(low))
+    high_c = high if isinstance(high, Column) else F.lit(float(high))
+    if fixed and bins <= FEW_BINS:
+        inner = edges(bins, low, high)[1:-1]
+        index = reduce(lambda a, b: a + b, [(x >= F.lit(e)).cast("int") for e in inner], F.lit(0))
+    else:
+        # A division gives the bin up to one, the two edges next to it decide.
+        step = (high_c - low_c) / F.lit(float(bins))
 
-    def edge(i: Column) -> Column:
-        return F.when(i >= bins, high_c).otherwise(low_c + i * step)
+        def edge(i: Column) -> Column:
+            return F.when(i >= bins, high_c).otherwise(low_c + i * step)
 
-    guess = F.least(F.floor(F.try_divide(x - low_c, step)), F.lit(bins - 1))
-    index = (
-        guess
-        - F.when(x < edge(guess), 1).otherwise(0)
-        + F.when((x >= edge(guess + 1)) & (guess < bins - 1), 1).otherwise(0)
-    )
+        guess = F.least(F.floor(F.try_divide(x - low_c, step)), F.lit(bins - 1))
+        index = (
+            guess
+            - F.when(x < edge(guess), 1).otherwise(0)
+            + F.when((x >= edge(guess + 1)) & (guess < bins - 1), 1).otherwise(0)
+        )
     return F.when((x >= low_c) & (x <= high_c), index).cast("int")
 
 
-# Buckets per unit of log1p(|x|): about 11,000 buckets over [0, 1], about
-# 190,000 up to 100,000, and never more than some 23 million for any double.
-BUCKETS_PER_LOG_UNIT = 16384
+# Buckets per unit of log1p(|x|): about 2,800 buckets over [0, 1], about 47,000
+# up to 100,000, and never more than some 6 million for any double.
+BUCKETS_PER_LOG_UNIT = 4096
 
 
 def order_bucket(x: Column) -> Column:

@@ -130,24 +130,17 @@ def exact_quantiles(
     ).where(F.size("__wanted") > 0)
 
     # At most 2 * len(probs) rows per key, whatever the size of the data.
-    hot = rows.join(F.broadcast(targets), on=[*keys, _BUCKET])
+    targets = F.broadcast(targets)
     inside = Window.partitionBy(*keys, _BUCKET).orderBy(_VALUE).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     ranked = (
-        hot.groupBy(*keys, _BUCKET, _VALUE)
-        .agg(
-            F.count("*").alias("__n"),
-            F.first("__before").alias("__before"),
-            F.first("__wanted").alias("__wanted"),
-        )
-        .select(
-            *keys,
-            _VALUE,
-            "__n",
-            (F.col("__before") + F.sum("__n").over(inside)).alias("__end"),
-            "__wanted",
-        )
+        rows.join(targets.select(*keys, _BUCKET), on=[*keys, _BUCKET], how="left_semi")
+        .groupBy(*keys, _BUCKET, _VALUE)
+        .agg(F.count("*").alias("__n"))
+        .withColumn("__upto", F.sum("__n").over(inside))
+        .join(targets, on=[*keys, _BUCKET])
+        .withColumn("__end", F.col("__before") + F.col("__upto"))
     )
     picked = ranked.select(*keys, _VALUE, "__end", "__n", F.explode("__wanted").alias("w")).where(
         (F.col("w.rank") < F.col("__end")) & (F.col("w.rank") >= F.col("__end") - F.col("__n"))

@@ -25,21 +25,44 @@ def bin_counts(
     bins: int = 10,
     low: Column | float = 0.0,
     high: Column | float = 1.0,
+    moments: bool = False,
 ) -> DataFrame:
-    """Per key: rows, non-null rows, mean, population std and an array of bin counts."""
+    """Per key: rows, non-null rows and an array of bin counts.
+
+    The rows are grouped once, by key and bin; the arrays are made from that
+    table of at most ``bins + 1`` rows per key.  With ``moments`` the mean and
+    the population std are merged from those of the bins.
+    """
     v = value.cast("double")
     tagged = df.select(
         *keys,
         F.when(~F.isnan(v), v).alias("__v"),
         bin_index(v, bins, low, high).alias("__b"),
     )
-    return tagged.groupBy(*keys).agg(
-        F.count("*").alias("n_rows"),
-        F.count("__v").alias("n_values"),
-        F.avg("__v").alias("mean"),
-        F.stddev_pop("__v").alias("std"),
-        F.array(*[F.count_if(F.col("__b") == i) for i in range(bins)]).alias("counts"),
+    per_bin = tagged.groupBy(*keys, "__b").agg(
+        F.count("*").alias("__n"),
+        F.count("__v").alias("__k"),
+        *([F.avg("__v").alias("__mean"), F.var_pop("__v").alias("__var")] if moments else []),
     )
+    out = [
+        F.sum("__n").alias("n_rows"),
+        F.sum("__k").alias("n_values"),
+        F.array(
+            *[F.coalesce(F.sum(F.when(F.col("__b") == i, F.col("__n"))), F.lit(0)) for i in range(bins)]
+        ).alias("counts"),
+    ]
+    if moments:
+        whole = Window.partitionBy(*keys)
+        weight = F.when(F.col("__k") > 0, F.col("__k")).cast("double")
+        per_bin = per_bin.withColumn(
+            "__all", F.sum(weight * F.col("__mean")).over(whole) / F.sum(weight).over(whole)
+        )
+        spread = F.col("__var") + (F.col("__mean") - F.col("__all")) * (F.col("__mean") - F.col("__all"))
+        out += [
+            F.first("__all").alias("mean"),
+            F.sqrt(F.sum(weight * spread) / F.sum(weight)).alias("std"),
+        ]
+    return per_bin.groupBy(*keys).agg(*out)
 
 
 def floored_shares(counts: Column, total: Column) -> Column:
@@ -148,7 +171,7 @@ def feature_drift(
     period, or in the period itself, gives no row.
     """
     long = unpivot_numeric(df.where(F.col(period).isNotNull()), [period], features)
-    stats = bin_counts(long, [period, "feature"], F.col("value"), bins).select(
+    stats = bin_counts(long, [period, "feature"], F.col("value"), bins, moments=True).select(
         period,
         "feature",
         "n_values",

@@ -18,6 +18,8 @@ def local_session(cores: str = "*", app: str = "tidemark", **extra: str) -> Spar
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        # No call-site capture for every column expression while planning.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # HotSpot compiles no method above 8000 bytes; wide projections split below it.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
