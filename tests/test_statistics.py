@@ -110,6 +110,13 @@ def test_exact_quantiles(spark, kind):
         assert got["k"][f"q_{i}"] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-15)
 
 
+def test_quantiles_of_many_keys_need_no_broadcast(spark):
+    df = spark.range(900).select((F.col("id") % 300).alias("k"), F.col("id").cast("double").alias("v"))
+    got = ordering.exact_quantiles(df, ["k"], F.col("v"), [0.5], few_keys=False)
+    assert all(r.q_0 == r.k + 300 for r in got.collect())
+    assert "BroadcastExchange" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("descending", [False, True])
 def test_running_totals(spark, descending):
     rng = np.random.default_rng(5)

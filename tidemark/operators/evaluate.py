@@ -291,21 +291,24 @@ def score_histogram(df: DataFrame, score: str, period: str, bins: int = 50) -> D
     )
 
 
-def box_stats(df: DataFrame, keys: Sequence[str], value: str, reach: float = 1.5) -> DataFrame:
+def box_stats(
+    df: DataFrame, keys: Sequence[str], value: str, reach: float = 1.5, few_keys: bool = True
+) -> DataFrame:
     """Quartiles and whiskers per key.
 
     A whisker ends at the last value within ``reach`` times the interquartile
     range of the box, and never inside the box.
     """
     keys = list(keys)
-    quartiles = exact_quantiles(df, keys, F.col(value), [0.25, 0.5, 0.75]).select(
+    quartiles = exact_quantiles(df, keys, F.col(value), [0.25, 0.5, 0.75], few_keys).select(
         *keys,
         F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3"),
     )
     spread = F.col("q3") - F.col("q1")
     v = F.col(value).cast("double")
-    # One row per key, few next to the rows.
-    fenced = df.select(*keys, v.alias("__v")).join(F.broadcast(quartiles), keys)
+    fenced = df.select(*keys, v.alias("__v")).join(
+        F.broadcast(quartiles) if few_keys else quartiles, keys
+    )
     return (
         fenced.groupBy(*keys)
         .agg(

@@ -9,6 +9,7 @@ totals, whose number does not depend on the row count, are ordered per key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -80,12 +81,15 @@ def running_totals(
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: Column, probs: Sequence[float]
+    df: DataFrame, keys: Sequence[str], value: Column, probs: Sequence[float], few_keys: bool = True
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one column ``q_<i>`` per prob.
 
-    ``keys`` are period-like or column names: few next to the rows.  The first
-    scan counts rows per bucket, which is combined on the map side to almost
+    With ``few_keys`` the keys are periods or column names, and the table that
+    says where the wanted ranks lie goes to all executors; for keys whose
+    number grows with the data pass False, and it is joined by a shuffle.
+
+    The first scan counts rows per bucket, which is combined on the map side to almost
     nothing; it tells which buckets hold the wanted ranks.  The second scan
     sorts only the rows of those buckets, at most two per key and probability.
     """
@@ -108,51 +112,42 @@ def exact_quantiles(
             F.sum("__n").over(Window.partitionBy(*keys)).alias("__total"),
         )
     )
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                side(F.lit(float(p)) * (F.col("__total") - 1)).cast("long").alias("rank"),
-                F.lit(name).alias("side"),
-                (F.lit(float(p)) * (F.col("__total") - 1)).alias("position"),
-            )
-            for i, p in enumerate(probs)
-            for name, side in (("low", F.floor), ("high", F.ceil))
-        ]
-    )
-    targets = histogram.select(
-        *keys,
-        _BUCKET,
-        "__before",
-        F.filter(
-            wanted, lambda w: (w["rank"] >= F.col("__before")) & (w["rank"] < F.col("__upto"))
-        ).alias("__wanted"),
-    ).where(F.size("__wanted") > 0)
+    # Zero-based positions in the sorted values; a fraction lies between two ranks.
+    positions = [F.lit(float(p)) * (F.col("__total") - 1) for p in probs]
+
+    def holds(rank: Column, start: str, end: str) -> Column:
+        return (rank >= F.col(start)) & (rank < F.col(end))
 
     # At most 2 * len(probs) rows per key, whatever the size of the data.
-    targets = F.broadcast(targets)
+    targets = histogram.where(
+        reduce(
+            lambda a, b: a | b,
+            [holds(side(p), "__before", "__upto") for p in positions for side in (F.floor, F.ceil)],
+        )
+    ).select(*keys, _BUCKET, "__before", "__total")
+
     inside = Window.partitionBy(*keys, _BUCKET).orderBy(_VALUE).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     ranked = (
-        rows.join(targets.select(*keys, _BUCKET), on=[*keys, _BUCKET], how="left_semi")
+        rows.join(F.broadcast(targets) if few_keys else targets, on=[*keys, _BUCKET])
         .groupBy(*keys, _BUCKET, _VALUE)
-        .agg(F.count("*").alias("__n"))
-        .withColumn("__upto", F.sum("__n").over(inside))
-        .join(targets, on=[*keys, _BUCKET])
-        .withColumn("__end", F.col("__before") + F.col("__upto"))
-    )
-    picked = ranked.select(*keys, _VALUE, "__end", "__n", F.explode("__wanted").alias("w")).where(
-        (F.col("w.rank") < F.col("__end")) & (F.col("w.rank") >= F.col("__end") - F.col("__n"))
+        .agg(
+            F.count("*").alias("__n"),
+            F.max("__before").alias("__before"),
+            F.max("__total").alias("__total"),
+        )
+        .withColumn("__end", F.col("__before") + F.sum("__n").over(inside))
+        .withColumn("__start", F.col("__end") - F.col("__n"))
     )
 
     def interpolated(i: int) -> Column:
-        low = F.max(F.when((F.col("w.i") == i) & (F.col("w.side") == "low"), F.col(_VALUE)))
-        high = F.max(F.when((F.col("w.i") == i) & (F.col("w.side") == "high"), F.col(_VALUE)))
-        position = F.max(F.when(F.col("w.i") == i, F.col("w.position")))
-        return (low + (high - low) * (position - F.floor(position))).alias(f"q_{i}")
+        p = positions[i]
+        low = F.max(F.when(holds(F.floor(p), "__start", "__end"), F.col(_VALUE)))
+        high = F.max(F.when(holds(F.ceil(p), "__start", "__end"), F.col(_VALUE)))
+        return (low + (high - low) * F.max(p - F.floor(p))).alias(f"q_{i}")
 
-    return picked.groupBy(*keys).agg(*[interpolated(i) for i in range(len(probs))])
+    return ranked.groupBy(*keys).agg(*[interpolated(i) for i in range(len(probs))])
 
 
 def numbered_in_strata(

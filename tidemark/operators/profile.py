@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.numbers import is_missing
@@ -324,5 +324,6 @@ def high_correlations(
 def class_shares(df: DataFrame, column: str) -> DataFrame:
     """Count and percentage of each value, two decimals."""
     counted = df.groupBy(column).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*")).scalar()
+    # One row per value from here on.
+    total = F.sum("n").over(Window.partitionBy())
     return counted.withColumn("percentage", F.round(F.col("n") / total * 100, 2))

@@ -48,11 +48,12 @@ def write_predictions_csv(df: DataFrame, path: str) -> str:
 def write_run_result(df: DataFrame, root: str, run_ts: str) -> str:
     """Append one run's result table under its own ``run_ts`` partition.
 
-    The tables hold a row per period or less, so one file is enough.
+    The tables hold a row per period or less, so one file is enough; the
+    repartition keeps the work above it parallel.
     """
     (
         df.withColumn("run_ts", F.lit(run_ts))
-        .coalesce(1)
+        .repartition(1)
         .write.partitionBy("run_ts")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
@@ -63,11 +64,11 @@ def write_run_result(df: DataFrame, root: str, run_ts: str) -> str:
 
 def write_summary(df: DataFrame, path: str) -> str:
     """The one-row summary document as JSON."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.repartition(1).write.mode("overwrite").json(path)
     return path
 
 
 def write_table_csv(df: DataFrame, path: str) -> str:
     """A small report table (importances, PSI, statistics) as CSV."""
-    df.coalesce(1).write.option("header", True).mode("overwrite").csv(path)
+    df.repartition(1).write.option("header", True).mode("overwrite").csv(path)
     return path
