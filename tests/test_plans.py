@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import features, stability
+from tidemark.operators import features, match, stability
 from tidemark.queries import QUERIES
 from tidemark.session import shared_dir
 from tidemark.sources import readers, writers
@@ -65,3 +65,12 @@ def test_lagged_join_keeps_one_partitioning(spark):
         assert main.count("Exchange hashpartitioning(Customer_ID") <= 3  # a, b, activity
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_nearest_label_reduces_before_the_shuffle(spark):
+    day = F.lit("2024-01-01").cast("date")
+    p = spark.range(10).select((F.col("id") % 3).cast("string").alias("Customer_ID"), day.alias("inference_date"), F.lit(1).alias("predicted_default"), F.rand(1).alias("default_probability"))
+    y = spark.range(10).select((F.col("id") % 3).cast("string").alias("Customer_ID"), day.alias("label_date"), F.col("id").cast("string").alias("loan_id"), F.lit(1).alias("label"), F.lit("x").alias("label_def"))
+    text = plan(match.nearest_label(p, y))
+    assert "Join" not in text
+    assert text.count("row_number(), 1, Partial") == 2

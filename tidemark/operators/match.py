@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.dates import month_number
 
 
+def _least(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of each key in the given order.
+
+    Spark keeps one row per key and task before the shuffle (a window group
+    limit), so a frequent key is reduced where it is read.
+    """
+    first = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("__rn", F.row_number().over(first)).where("__rn = 1").drop("__rn")
+
+
 def nearest_label(
     predictions: DataFrame,
     labels: DataFrame,
@@ -28,24 +40,26 @@ def nearest_label(
     per calendar month, and then merged in month order: the closest label
     before and the closest after are the last and the next one seen.
     """
-    p = (
-        predictions.where(F.col(key).isNotNull() & F.col("inference_date").isNotNull())
-        .groupBy(key, "inference_date")
-        .agg(
-            F.min(F.struct("default_probability", "predicted_default")).alias("__p"),
-        )
-        .select(
-            key,
-            month_number(F.col("inference_date")).alias("__m"),
-            "inference_date",
-            "__p",
-        )
+    p = _least(
+        predictions.where(F.col(key).isNotNull() & F.col("inference_date").isNotNull()),
+        [key, "inference_date"],
+        ["default_probability", "predicted_default"],
+    ).select(
+        key,
+        month_number(F.col("inference_date")).alias("__m"),
+        "inference_date",
+        F.struct("default_probability", "predicted_default").alias("__p"),
     )
-    by_month = (
-        labels.where(F.col(key).isNotNull() & F.col("label_date").isNotNull())
-        .groupBy(key, month_number(F.col("label_date")).alias("__m"))
-        .agg(F.min(F.struct("label_date", "loan_id", "label", "label_def")).alias("__l"))
-        .withColumn("__l", F.struct(F.col("__m").alias("m"), "__l.*"))
+    by_month = _least(
+        labels.where(F.col(key).isNotNull() & F.col("label_date").isNotNull()).withColumn(
+            "__m", month_number(F.col("label_date"))
+        ),
+        [key, "__m"],
+        ["label_date", "loan_id", "label", "label_def"],
+    ).select(
+        key,
+        "__m",
+        F.struct(F.col("__m").alias("m"), "label_date", "loan_id", "label", "label_def").alias("__l"),
     )
     timeline = p.unionByName(by_month, allowMissingColumns=True)
     forward = Window.partitionBy(key).orderBy("__m").rangeBetween(
