@@ -151,9 +151,13 @@ def sanity_check(spark, sf):
     return present(profile.bounds_check(st.line_store(spark, sf), _SANE), digits=4)
 
 
-@query("type_check")
+@query("type_check", f"""
+SELECT 'p_size' AS column_name, 'integer' AS found_type, 'PASS' AS status, count(*) - count(p_size) AS null_count,
+       {r('(count(*) - count(p_size)) * 100e0 / count(*)')} AS null_percent, {r('min(p_size)')} AS min, {r('max(p_size)')} AS max,
+       {r('avg(p_size)')} AS mean, {r('quantile_disc(p_size, 0.5)')} AS approx_median
+FROM part""")
 def type_check(spark, sf):
-    """Rows only: the median is approximate by definition."""
+    """The median is approximate, and exact while the rows fit its accuracy of 10,000."""
     parts = table(spark, sf, "part")
     return present(profile.type_check(parts, "p_size", ["integer", "long"]))
 

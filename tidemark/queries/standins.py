@@ -113,6 +113,7 @@ STORE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def line_store(spark: SparkSession, sf: str, scaled: bool = False) -> DataFrame:
+    """With ``scaled`` all features lie in [0, 1] and prices fall from year to year."""
     part = F.col("l_partkey")
     gaps = {
         "l_quantity": part % 7 == 0,
@@ -120,19 +121,22 @@ def line_store(spark: SparkSession, sf: str, scaled: bool = False) -> DataFrame:
         "l_discount": part % 13 == 5,
         "l_tax": (part % 3 == 1) & (F.year("l_shipdate") == 1999),
     }
-    size = {"l_quantity": 50, "l_extendedprice": 105000, "l_discount": 1, "l_tax": 1}
+    unit = {
+        "l_quantity": F.col("l_quantity") / 50,
+        "l_extendedprice": F.col("l_extendedprice") / 105000 * (2005 - F.year("l_shipdate")) / 10,
+    }
     return table(spark, sf, "lineitem").select(
         _text(F.col("l_orderkey")).alias("Customer_ID"),
         F.trunc(F.col("l_shipdate").cast("date"), "year").alias("snapshot_date"),
         *[
-            F.when(~gap, F.col(c) / size[c] if scaled else F.col(c)).alias(c)
+            F.when(~gap, unit.get(c, F.col(c)) if scaled else F.col(c)).alias(c)
             for c, gap in gaps.items()
         ],
     )
 
 
 def line_store_sql(scaled: bool = False) -> str:
-    q, e = ("l_quantity / 50", "l_extendedprice / 105000") if scaled else ("l_quantity", "l_extendedprice")
+    q, e = ("l_quantity / 50", "l_extendedprice / 105000 * (2005 - year(l_shipdate)) / 10") if scaled else ("l_quantity", "l_extendedprice")
     return f"""
 store AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS Customer_ID,

