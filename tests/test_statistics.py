@@ -94,12 +94,13 @@ def test_psi_summary_ties_take_the_earliest_date(spark):
 
 # --- ordering ----------------------------------------------------------------
 
-@pytest.mark.parametrize("kind", ["normal", "ties", "tails", "single", "signed_zero"])
+@pytest.mark.parametrize("kind", ["normal", "ties", "tails", "single", "signed_zero", "crowded"])
 def test_exact_quantiles(spark, kind):
     rng = np.random.default_rng(1)
     values = {
         "normal": rng.normal(0, 1, 999), "ties": np.array([5.0] * 700 + [1.0] * 100 + list(rng.integers(0, 9, 201))),
         "tails": np.concatenate([rng.random(500), [1e12, -1e15, 3e8]]), "single": np.array([4.25]),
+        "crowded": np.concatenate([0.5 + rng.random(700) * 1e-6, rng.random(300)]),
         "signed_zero": np.array([-0.0, 0.0, -1e-9, 1e-9, 0.0]),
     }[kind]
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
@@ -137,7 +138,7 @@ def brute_auc(y, s):
 def test_auc_counts_ties_half(spark):
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame({"g": rng.choice(["a", "b", "c"], 900), "label": rng.integers(0, 2, 900), "score": np.round(rng.random(900), 2)})
-    pdf.loc[pdf.g == "a", "score"] *= 1000
+    pdf.loc[pdf.g == "a", "score"] = 0.5 + pdf.score * 1e-6  # all in one coarse bucket
     pdf.loc[pdf.g == "c", "label"] = 1
     got = {r.g: r.auc for r in evaluate.auc_by_group(spark.createDataFrame(pdf), ["g"], "label", "score").collect()}
     assert set(got) == {"a", "b"}  # one class only gives no row
@@ -322,6 +323,16 @@ def test_folds_are_stratified_and_gap_free(spark):
         assert max(sizes) - min(sizes) <= 1
 
 
+def test_folds_spread_many_copies_of_a_row(spark):
+    df = spark.range(3000).select(F.lit(1).alias("label"), F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("key"))
+    exact = ordering.numbered_in_strata(df, "label", F.xxhash64("key"), "i")
+    assert sorted(r.i for r in exact.collect()) == list(range(3000))
+    drawn = ordering.numbered_in_strata(df, "label", F.xxhash64("key"), "i", copies=100)
+    assert drawn.count() == 3000
+    folds = drawn.groupBy(F.pmod("i", F.lit(3)).alias("f")).count().collect()
+    assert all(abs(r["count"] - 1000) < 100 for r in folds)
+
+
 def test_cumulative_importance(spark):
     df = spark.createDataFrame([("a", 0.5), ("b", 0.3), ("c", 0.2)], "feature string, importance double")
     rows = prepare.cumulative_importance(df).orderBy("position").collect()

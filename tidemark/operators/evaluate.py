@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions.bands import comparison_status
 from tidemark.functions.numbers import share
 from tidemark.operators.ordering import (
-    _BUCKET,
-    _VALUE,
     exact_quantiles,
+    levels,
     running_totals,
     value_counts_ordered,
 )
@@ -66,36 +65,27 @@ def ranked_counts(
     """Per key: confusion counts and tie-aware ROC-AUC from one grouping.
 
     AUC is the share of (positive, negative) pairs in the right order, ties
-    counting half.  Pairs are counted bucket by bucket: inside a bucket from
-    the distinct scores, between buckets from the bucket totals.
+    counting half.  Pairs are counted level by level: between the distinct
+    scores of a fine bucket, between the fine buckets of a coarse one, and
+    between the coarse buckets of a key, always from totals.
     """
     y = F.col(label)
     sums = {"pos": F.when(y == 1, 1).otherwise(0), "neg": F.when(y == 0, 1).otherwise(0)}
     if predicted is not None:
         sums |= _outcomes(y, F.col(predicted))
-    counts = value_counts_ordered(df, keys, F.col(score), sums)
-
-    below = Window.partitionBy(*keys, _BUCKET).orderBy(_VALUE).rowsBetween(
-        Window.unboundedPreceding, -1
+    table = value_counts_ordered(df, keys, F.col(score), sums).withColumn(
+        "__pairs", F.col("pos").cast("double") * F.col("neg") / F.lit(2.0)
     )
-    neg_below = F.coalesce(F.sum("neg").over(below), F.lit(0)).cast("double")
-    buckets = (
-        counts.withColumn(
-            "__pairs", F.col("pos").cast("double") * (neg_below + F.col("neg") / F.lit(2.0))
+    for group, order in levels(keys):
+        lower = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        beaten = F.coalesce(F.sum("neg").over(lower), F.lit(0)).cast("double")
+        table = (
+            table.withColumn("__pairs", F.col("__pairs") + F.col("pos") * beaten)
+            .groupBy(*group)
+            .agg(F.sum("__pairs").alias("__pairs"), *[F.sum(n).alias(n) for n in sums])
         )
-        .groupBy(*keys, _BUCKET)
-        .agg(F.sum("__pairs").alias("__pairs"), *[F.sum(n).alias(n) for n in sums])
-    )
-    lower = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    neg_lower = F.coalesce(F.sum("neg").over(lower), F.lit(0)).cast("double")
-    totals = (
-        buckets.withColumn("__pairs", F.col("__pairs") + F.col("pos").cast("double") * neg_lower)
-        .groupBy(*keys)
-        .agg(F.sum("__pairs").alias("__pairs"), *[F.sum(n).alias(n) for n in sums])
-    )
     all_pairs = F.col("pos").cast("double") * F.col("neg").cast("double")
-    out = totals.withColumn("auc", F.try_divide(F.col("__pairs"), all_pairs)).drop("__pairs")
-    return out
+    return table.withColumn("auc", F.try_divide(F.col("__pairs"), all_pairs)).drop("__pairs")
 
 
 def auc_by_group(df: DataFrame, keys: Sequence[str], label: str, score: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 A window over all rows of a period, or the built-in exact ``percentile``,
 brings a whole period into a single task.  Here values are first counted per
-distinct value, then ordered inside fixed coarse buckets; only the bucket
-totals, whose number does not depend on the row count, are ordered per key.
+distinct value and ordered inside narrow fixed buckets; the bucket totals are
+then ordered inside coarse buckets, and the coarse totals per key.
 """
 
 from __future__ import annotations
@@ -13,25 +13,46 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.bins import order_bucket
+from tidemark.functions.bins import order_buckets
 
-_BUCKET = "__bucket"
-_VALUE = "__value"
+_COARSE, _FINE, _VALUE = "__coarse", "__fine", "__value"
 
 
+def _upto(group: Sequence[str], order: str, descending: bool = False):
+    """Rows of the group up to and including the current one."""
+    by = F.desc(order) if descending else F.asc(order)
+    return Window.partitionBy(*group).orderBy(by).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+
+
+def _before(group: Sequence[str], order: str, descending: bool = False):
+    by = F.desc(order) if descending else F.asc(order)
+    return Window.partitionBy(*group).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def levels(keys: Sequence[str]) -> list[tuple[list[str], str]]:
+    """From the narrowest to the widest: the group and what is ordered in it."""
+    return [
+        ([*keys, _COARSE, _FINE], _VALUE),
+        ([*keys, _COARSE], _FINE),
+        ([*keys], _COARSE),
+    ]
+
 
 def value_counts_ordered(
     df: DataFrame, keys: Sequence[str], value: Column, sums: dict[str, Column]
 ) -> DataFrame:
-    """One row per key and distinct value, with its bucket and the given sums.
+    """One row per key and distinct value, with its buckets and the given sums.
 
     Map-side combining makes a value shared by a third of all rows one row
     per task before the shuffle.
     """
     v = value.cast("double")
+    coarse, fine = order_buckets(v)
     return (
         df.where(v.isNotNull() & ~F.isnan(v))
-        .groupBy(*keys, order_bucket(v).alias(_BUCKET), v.alias(_VALUE))
+        .groupBy(*keys, coarse.alias(_COARSE), fine.alias(_FINE), v.alias(_VALUE))
         .agg(*[F.sum(c).alias(name) for name, c in sums.items()])
     )
 
@@ -48,34 +69,35 @@ def running_totals(
     Returns the keys, ``value``, every sum, its running total ``cum_<name>``
     including the row itself, and the key's total ``total_<name>``.
     """
+    keys = list(keys)
     counts = value_counts_ordered(df, keys, value, sums)
-    direction = F.desc if descending else F.asc
+    (in_fine, _), (in_coarse, _), (in_key, _) = levels(keys)
 
-    inside = Window.partitionBy(*keys, _BUCKET).orderBy(direction(_VALUE)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    rows = counts.select(
-        "*", *[F.sum(name).over(inside).alias(f"__in_{name}") for name in sums]
-    )
+    def earlier(name: str, group: list[str], order: str) -> Column:
+        return F.coalesce(F.sum(name).over(_before(group, order, descending)), F.lit(0))
 
-    totals = counts.groupBy(*keys, _BUCKET).agg(
-        *[F.sum(name).alias(f"__t_{name}") for name in sums]
+    rows = counts.select(
+        "*", *[F.sum(n).over(_upto(in_fine, _VALUE, descending)).alias(f"__in_{n}") for n in sums]
     )
-    across = Window.partitionBy(*keys).orderBy(direction(_BUCKET)).rowsBetween(
-        Window.unboundedPreceding, -1
+    fine = counts.groupBy(*in_fine).agg(*[F.sum(n).alias(n) for n in sums])
+    coarse = fine.groupBy(*in_coarse).agg(*[F.sum(n).alias(n) for n in sums])
+    fine_offsets = fine.select(
+        *in_fine, *[earlier(n, in_coarse, _FINE).alias(f"__fine_{n}") for n in sums]
     )
-    offsets = totals.select(
-        *keys,
-        _BUCKET,
-        *[F.coalesce(F.sum(f"__t_{n}").over(across), F.lit(0)).alias(f"__off_{n}") for n in sums],
-        *[F.sum(f"__t_{n}").over(Window.partitionBy(*keys)).alias(f"total_{n}") for n in sums],
+    coarse_offsets = coarse.select(
+        *in_coarse,
+        *[earlier(n, in_key, _COARSE).alias(f"__coarse_{n}") for n in sums],
+        *[F.sum(n).over(Window.partitionBy(*keys)).alias(f"total_{n}") for n in sums],
     )
-    joined = rows.join(offsets, on=[*keys, _BUCKET])
-    return joined.select(
+    offsets = fine_offsets.join(coarse_offsets, on=in_coarse)
+    return rows.join(offsets, on=in_fine).select(
         *keys,
         F.col(_VALUE).alias("value"),
         *sums,
-        *[(F.col(f"__in_{n}") + F.col(f"__off_{n}")).alias(f"cum_{n}") for n in sums],
+        *[
+            (F.col(f"__in_{n}") + F.col(f"__fine_{n}") + F.col(f"__coarse_{n}")).alias(f"cum_{n}")
+            for n in sums
+        ],
         *[f"total_{n}" for n in sums],
     )
 
@@ -85,93 +107,109 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one column ``q_<i>`` per prob.
 
-    With ``few_keys`` the keys are periods or column names, and the table that
-    says where the wanted ranks lie goes to all executors; for keys whose
-    number grows with the data pass False, and it is joined by a shuffle.
+    With ``few_keys`` the keys are periods or column names, and the tables that
+    say where the wanted ranks lie go to all executors; for keys whose number
+    grows with the data pass False, and they are joined by a shuffle.
 
-    The first scan counts rows per bucket, which is combined on the map side to almost
-    nothing; it tells which buckets hold the wanted ranks.  The second scan
-    sorts only the rows of those buckets, at most two per key and probability.
+    The first scan counts rows per coarse bucket, which is combined on the map
+    side to almost nothing; it tells which buckets hold the wanted ranks.  The
+    second scan counts the values of those buckets only, at most two per key
+    and probability, and narrows them to fine buckets before ordering values.
     """
     keys = list(keys)
     v = value.cast("double")
+    coarse, fine = order_buckets(v)
     rows = df.where(v.isNotNull() & ~F.isnan(v)).select(
-        *keys, v.alias(_VALUE), order_bucket(v).alias(_BUCKET)
-    )
-    by_bucket = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    histogram = (
-        rows.groupBy(*keys, _BUCKET)
-        .agg(F.count("*").alias("__n"))
-        .select(
-            *keys,
-            _BUCKET,
-            (F.sum("__n").over(by_bucket) - F.col("__n")).alias("__before"),
-            F.sum("__n").over(by_bucket).alias("__upto"),
-            F.sum("__n").over(Window.partitionBy(*keys)).alias("__total"),
-        )
+        *keys, v.alias(_VALUE), coarse.alias(_COARSE), fine.alias(_FINE)
     )
+    (in_fine, _), (in_coarse, _), (in_key, _) = levels(keys)
     # Zero-based positions in the sorted values; a fraction lies between two ranks.
     positions = [F.lit(float(p)) * (F.col("__total") - 1) for p in probs]
 
-    def holds(rank: Column, start: str, end: str) -> Column:
-        return (rank >= F.col(start)) & (rank < F.col(end))
+    def holds(rank: Column) -> Column:
+        return (rank >= F.col("__start")) & (rank < F.col("__end"))
 
-    # At most 2 * len(probs) rows per key, whatever the size of the data.
-    targets = histogram.where(
-        reduce(
-            lambda a, b: a | b,
-            [holds(side(p), "__before", "__upto") for p in positions for side in (F.floor, F.ceil)],
-        )
-    ).select(*keys, _BUCKET, "__before", "__total")
+    wanted = reduce(
+        lambda a, b: a | b, [holds(side(p)) for p in positions for side in (F.floor, F.ceil)]
+    )
 
-    inside = Window.partitionBy(*keys, _BUCKET).orderBy(_VALUE).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    def ranked(counts: DataFrame, base: Column, group: list[str], order: str) -> DataFrame:
+        """Add the ranks ``[__start, __end)`` that each row of ``counts`` covers."""
+        return counts.withColumn(
+            "__end", base + F.sum("__n").over(_upto(group, order))
+        ).withColumn("__start", F.col("__end") - F.col("__n"))
+
+    def few(targets: DataFrame) -> DataFrame:
+        # At most 2 * len(probs) rows per key, whatever the size of the data.
+        return F.broadcast(targets) if few_keys else targets
+
+    histogram = rows.groupBy(*in_coarse).agg(F.count("*").alias("__n"))
+    crowded = (
+        ranked(histogram, F.lit(0), in_key, _COARSE)
+        .withColumn("__total", F.sum("__n").over(Window.partitionBy(*keys)))
+        .where(wanted)
+        .select(*in_coarse, F.col("__start").alias("__base"), "__total")
+    )
+    counts = (
+        rows.join(few(crowded), on=in_coarse)
+        .groupBy(*in_fine, _VALUE)
+        .agg(F.count("*").alias("__n"), F.max("__base").alias("__base"), F.max("__total").alias("__total"))
+    )
+    narrow = counts.groupBy(*in_fine).agg(
+        F.sum("__n").alias("__n"), F.max("__base").alias("__base"), F.max("__total").alias("__total")
     )
-    ranked = (
-        rows.join(F.broadcast(targets) if few_keys else targets, on=[*keys, _BUCKET])
-        .groupBy(*keys, _BUCKET, _VALUE)
-        .agg(
-            F.count("*").alias("__n"),
-            F.max("__before").alias("__before"),
-            F.max("__total").alias("__total"),
-        )
-        .withColumn("__end", F.col("__before") + F.sum("__n").over(inside))
-        .withColumn("__start", F.col("__end") - F.col("__n"))
+    holders = (
+        ranked(narrow, F.col("__base"), in_coarse, _FINE)
+        .where(wanted)
+        .select(*in_fine, F.col("__start").alias("__first"))
+    )
+    values = ranked(
+        counts.join(few(holders), on=in_fine), F.col("__first"), in_fine, _VALUE
     )
 
     def interpolated(i: int) -> Column:
         p = positions[i]
-        low = F.max(F.when(holds(F.floor(p), "__start", "__end"), F.col(_VALUE)))
-        high = F.max(F.when(holds(F.ceil(p), "__start", "__end"), F.col(_VALUE)))
+        low = F.max(F.when(holds(F.floor(p)), F.col(_VALUE)))
+        high = F.max(F.when(holds(F.ceil(p)), F.col(_VALUE)))
         return (low + (high - low) * F.max(p - F.floor(p))).alias(f"q_{i}")
 
-    return ranked.groupBy(*keys).agg(*[interpolated(i) for i in range(len(probs))])
+    return values.groupBy(*keys).agg(*[interpolated(i) for i in range(len(probs))])
 
 
 def numbered_in_strata(
-    df: DataFrame, stratum: str, order_hash: Column, name: str, buckets: int = 4096
+    df: DataFrame,
+    stratum: str,
+    order_hash: Column,
+    name: str,
+    seed: int = 42,
+    buckets: int = 4096,
+    copies: int = 10_000,
 ) -> DataFrame:
-    """Add a gap-free zero-based number per stratum in the order of a hash.
+    """Add a zero-based number per stratum in the order of a hash.
 
-    Rows are numbered inside hash buckets; the bucket offsets, at most
-    ``buckets`` per stratum, are added afterwards.  So a stratum that holds
-    most rows is still numbered by many tasks.
+    Rows are counted per hash, the hashes are ordered inside ``buckets`` and
+    the buckets per stratum, so a stratum that holds most rows is numbered by
+    many tasks.  Rows with the same hash take the numbers of their hash one by
+    one, without a gap; only a hash with more than ``copies`` rows draws them
+    at random, so that no task has to line up all copies of one row.
     """
-    tagged = df.withColumn("__h", order_hash).withColumn(_BUCKET, F.pmod("__h", F.lit(buckets)))
-    inside = Window.partitionBy(stratum, _BUCKET).orderBy("__h")
-    across = Window.partitionBy(stratum).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        tagged.groupBy(stratum, _BUCKET)
-        .agg(F.count("*").alias("__n"))
-        .select(
-            stratum, _BUCKET, F.coalesce(F.sum("__n").over(across), F.lit(0)).alias("__off")
-        )
+    bucket = "__bucket"
+    tagged = df.withColumn("__h", order_hash)
+    counts = tagged.groupBy(
+        stratum, F.pmod("__h", F.lit(buckets)).alias(bucket), "__h"
+    ).agg(F.count("*").alias("__n"))
+    offsets = counts.groupBy(stratum, bucket).agg(F.sum("__n").alias("__n")).select(
+        stratum, bucket, F.coalesce(F.sum("__n").over(_before([stratum], bucket)), F.lit(0)).alias("__off")
     )
-    return (
-        tagged.withColumn("__rn", F.row_number().over(inside) - 1)
-        .join(offsets, on=[stratum, _BUCKET])
-        .withColumn(name, F.col("__rn") + F.col("__off"))
-        .drop("__rn", "__off", "__h", _BUCKET)
+    first = counts.select(
+        stratum, bucket, "__h", F.col("__n").alias("__copies"),
+        F.coalesce(F.sum("__n").over(_before([stratum, bucket], "__h")), F.lit(0)).alias("__in"),
+    ).join(offsets, on=[stratum, bucket]).select(
+        stratum, "__h", "__copies", (F.col("__in") + F.col("__off")).alias("__first")
     )
+    placed = tagged.join(first, on=[stratum, "__h"])
+    in_line = F.row_number().over(Window.partitionBy(stratum, "__h").orderBy("__first")) - 1
+    drawn = F.floor(F.rand(seed) * F.col("__copies"))
+    few = placed.where(F.col("__copies") <= copies).withColumn(name, F.col("__first") + in_line)
+    many = placed.where(F.col("__copies") > copies).withColumn(name, F.col("__first") + drawn)
+    return few.unionByName(many).drop("__h", "__copies", "__first")

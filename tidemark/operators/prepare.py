@@ -171,7 +171,7 @@ def cumulative_importance(importance: DataFrame, cutoff: float = 0.80) -> DataFr
 def stratified_folds(
     df: DataFrame, label: str, key: Sequence[str], folds: int = 3, seed: int = 42, name: str = "fold"
 ) -> DataFrame:
-    """Folds of equal class mix: per class, rows in hash order take turns."""
+    """Folds of equal class mix: per class, rows in the order of their key's hash take turns."""
     shuffled = F.xxhash64(F.lit(seed), *[F.col(c) for c in key])
-    numbered = numbered_in_strata(df, label, shuffled, "__number")
+    numbered = numbered_in_strata(df, label, shuffled, "__number", seed)
     return numbered.withColumn(name, F.pmod("__number", F.lit(folds)).cast("int")).drop("__number")
