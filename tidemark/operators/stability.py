@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.bands import drift_status
 from tidemark.functions.bins import bin_index, edges
-from tidemark.functions.numbers import percent_change
+from tidemark.functions.numbers import numeric_columns, percent_change
 
 # Share given to an empty bin before the logarithm (fixed value).
 EMPTY_SHARE = 0.0001
@@ -210,8 +210,6 @@ def top_numeric_features(
     Reads at most ``top_n`` rows to the driver: they are column names, which
     the plan that uses them must know.
     """
-    from tidemark.functions.numbers import numeric_columns
-
     names = [r["feature"] for r in importance.orderBy(F.desc("importance"), "feature").limit(top_n).collect()]
     return numeric_columns(schema, among=names)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.bands import band_right_closed, drift_status
 from tidemark.operators import evaluate, quality, stability
 from tidemark.plans import rules
 from tidemark.queries import standins as st
@@ -45,8 +46,6 @@ SELECT {d('date')} AS date, {r('psi')} AS psi, {d('baseline_date')} AS baseline_
        CASE WHEN psi < 1e-1 THEN 'stable' WHEN psi < 2e-1 THEN 'moderate' ELSE 'significant' END AS status
 FROM psi""")
 def psi_by_month(spark, sf):
-    from tidemark.functions.bands import drift_status
-
     psi = stability.psi_over_time(st.predictions(spark, sf), "default_probability", "inference_date")
     return present(psi.withColumn("status", drift_status(F.col("psi"))))
 
@@ -236,8 +235,6 @@ s AS (SELECT inference_date, count(Customer_ID) AS n_customers, avg(default_prob
 SELECT {d('inference_date')} AS inference_date, n_customers, {rounded(_STATS)},
        {r('low')} AS "pct_Low Risk", {r('mid')} AS "pct_Medium Risk", {r('high')} AS "pct_High Risk" FROM s""")
 def monthly_score_stats(spark, sf):
-    from tidemark.functions.bands import band_right_closed
-
     p = st.predictions(spark, sf).withColumn(
         "risk_category", band_right_closed(F.col("default_probability"), rules.RISK_EDGES, rules.RISK_NAMES)
     )
