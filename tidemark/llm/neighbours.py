@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import query, stored, table
 
 K = 20
-PROJECTIONS = 48
+PROJECTIONS = 96
 #: Share of the projections in which a vector must collide.
-THRESHOLD = 0.65
+THRESHOLD = 0.5
 #: Half width of the first windows, in units of the projections' standard deviation, and the growth of each round.
-FIRST_WIDTH, GROWTH = 0.55, 1.25
+FIRST_WIDTH, GROWTH = 0.8, 1.08
 #: Vectors of a block that are verified, at least: a number and a share.
-VERIFY, VERIFY_SHARE = 60, 0.05
+VERIFY, VERIFY_SHARE = 600, 0.25
+#: Queries that widen their windows together.
+TOGETHER = 256
 BLOCK_ROWS = 4096
 QUERY_ROWS = 16384
 SEED = 7
@@ -68,38 +70,53 @@ class Block:
         self.axes = directions(vectors.shape[1] + 1)
         lift = np.sqrt(np.maximum(0.0, 1.0 - (norms / largest) ** 2))
         projected = np.concatenate([vectors / largest, lift[:, None]], 1) @ self.axes
-        self.order = np.argsort(projected, axis=0).T.astype(np.int32).copy()
+        self.order = np.argsort(projected, axis=0).T.copy()
         self.sorted = np.take_along_axis(projected.T, self.order, 1).copy()
-        self.unit = 1.0 / np.sqrt(vectors.shape[1] + 1) * np.linalg.norm(self.axes, axis=0)
+        self.unit = np.linalg.norm(self.axes, axis=0) / np.sqrt(len(self.axes))
 
-    def candidates(self, query: np.ndarray, enough: int) -> np.ndarray:
-        """Vectors that reach the collision threshold, after widening until there are enough."""
-        centre = (query / np.linalg.norm(query)) @ self.axes[:-1]
+    def candidates(self, queries: np.ndarray, enough: int) -> list[np.ndarray]:
+        """For each query the vectors that reach the collision threshold, after widening until there are enough."""
+        centre = ((queries / np.linalg.norm(queries, axis=1)[:, None]) @ self.axes[:-1]).T
         need, width = int(np.ceil(THRESHOLD * PROJECTIONS)), FIRST_WIDTH
+        found: list[np.ndarray] = [None] * len(queries)
+        counts = np.zeros((len(queries), self.n), np.int64)
+        active = np.arange(len(queries))
         low = high = None
-        counts = np.zeros(self.n, np.int64)
-        while True:
+        while len(active):
             reach = width * self.unit
-            new_low = [int(np.searchsorted(a, c - r, "left")) for a, c, r in zip(self.sorted, centre, reach)]
-            new_high = [int(np.searchsorted(a, c + r, "right")) for a, c, r in zip(self.sorted, centre, reach)]
-            if low is None:
-                gained = [o[a:b] for o, a, b in zip(self.order, new_low, new_high)]
-            else:  # only what the wider windows add
-                gained = [o[a:b] for o, a, b in zip(self.order, new_low, low)] + [o[a:b] for o, a, b in zip(self.order, high, new_high)]
-            counts += np.bincount(np.concatenate(gained), minlength=self.n)
-            low, high = new_low, new_high
-            found = np.flatnonzero(counts >= need)
-            if len(found) >= enough or len(found) == self.n or sum(high) - sum(low) == self.n * PROJECTIONS:
-                return found
+            new_low = [np.searchsorted(a, c[active] - r, "left") for a, c, r in zip(self.sorted, centre, reach)]
+            new_high = [np.searchsorted(a, c[active] + r, "right") for a, c, r in zip(self.sorted, centre, reach)]
+            new_low, new_high = np.array(new_low).T.tolist(), np.array(new_high).T.tolist()
+            stay = []
+            for i, q in enumerate(active.tolist()):
+                if low is None:
+                    gained = [o[a:b] for o, a, b in zip(self.order, new_low[i], new_high[i])]
+                else:  # only what the wider windows add
+                    gained = [o[a:b] for o, a, b in zip(self.order, new_low[i], low[i])] + [o[a:b] for o, a, b in zip(self.order, high[i], new_high[i])]
+                counts[q] += np.bincount(np.concatenate(gained), minlength=self.n)
+                hit = np.flatnonzero(counts[q] >= need)
+                if len(hit) >= min(enough, self.n):
+                    found[q] = hit
+                else:
+                    stay.append(i)
+            active, low, high = active[stay], [new_low[i] for i in stay], [new_high[i] for i in stay]
             width *= GROWTH
+        return found
 
-    def search(self, query: np.ndarray, k: int, ids: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Places and inner products of the best ``k`` found, best first, ties to smaller ids."""
-        found = self.candidates(query, min(self.n, max(VERIFY, k + 1, int(VERIFY_SHARE * self.n))))
-        found = found[found != skip]
-        score = np.einsum("ij,j->i", self.vectors[found], query)
-        best = np.lexsort((ids[found], -score))[:k]
-        return found[best], score[best]
+    def search(self, queries: np.ndarray, k: int, ids: np.ndarray, skip: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query places and inner products of the best ``k`` found, best first, ties to smaller ids.
+
+        ``skip`` has the place of each query's own row, or -1.
+        """
+        out = []
+        for at in range(0, len(queries), TOGETHER):
+            some = queries[at : at + TOGETHER]
+            for query, found, own in zip(some, self.candidates(some, max(VERIFY, k + 1, int(VERIFY_SHARE * self.n))), skip[at:]):
+                found = found[found != own]
+                score = np.einsum("ij,j->i", self.vectors[found], query)
+                best = np.lexsort((ids[found], -score))[:k]
+                out.append((found[best], score[best]))
+        return out
 
 
 _SCHEMA = "q_uid long, query_id long, ids array<long>, scores array<double>, uids array<long>"
@@ -112,9 +129,10 @@ def _search(k: int):
             uid, ids = vectors["uid"].to_numpy(), vectors["id"].to_numpy()
             block = Block(_matrix(vectors["vec"]), vectors["norm"].to_numpy(), vectors["largest"][0].as_py())
             place = {u: i for i, u in enumerate(uid.tolist())}
-            for q, q_id, vec in zip(queries["q_uid"].to_pylist(), queries["query_id"].to_pylist(), _matrix(queries["q_vec"])):
-                at, score = block.search(vec, k, ids, place.get(q, -1))
-                for c, v in (("q_uid", q), ("query_id", q_id), ("ids", ids[at].tolist()), ("scores", score.tolist()), ("uids", uid[at].tolist())):
+            q_uid, q_id = queries["q_uid"].to_pylist(), queries["query_id"].to_pylist()
+            found = block.search(_matrix(queries["q_vec"]), k, ids, [place.get(q, -1) for q in q_uid])
+            for q, i, (at, score) in zip(q_uid, q_id, found):
+                for c, v in (("q_uid", q), ("query_id", i), ("ids", ids[at].tolist()), ("scores", score.tolist()), ("uids", uid[at].tolist())):
                     out[c].append(v)
         types = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.int64()))
         return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), types)})

@@ -98,9 +98,9 @@ class Lexicon:
     def raw(self, text: str) -> tuple[float, int]:
         """Summed weight of the words hit, and the number of words."""
         folded = fold(text)
-        n = folded.count(" ") - 1
-        if not len(self.find) or n <= 0:
-            return 0.0, max(n, 0)
+        n = folded.count(" ") - 1 if folded.strip() else 0
+        if not len(self.find) or not n:
+            return 0.0, n
         hits: dict[int, float] = {}
         free: list[tuple[int, int]] = []
         for end, (entry, w) in self.find.iter(folded):
