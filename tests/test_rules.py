@@ -174,11 +174,8 @@ def test_bin_edges_are_exact(spark):
 def test_order_bucket_never_decreases(spark):
     rows = spark.range(20000).select(((F.col("id") - 10000) * 0.37).alias("x")).union(
         spark.createDataFrame([(float("inf"),), (float("-inf"),), (1e300,), (-1e300,), (0.0,), (-0.0,)], "x double"))
-    coarse, fine = bins.order_buckets(F.col("x"))
-    got = rows.orderBy("x").select(coarse.alias("c"), fine.alias("f")).collect()
-    assert [r.c for r in got] == sorted(r.c for r in got)
-    assert [r.f for r in got] == sorted(r.f for r in got)
-    assert all(r.f // bins.FINE_PER_COARSE == r.c for r in got)
+    got = [r.c for r in rows.orderBy("x").select(bins.coarse_bucket(F.col("x")).alias("c")).collect()]
+    assert got == sorted(got)
 
 
 def feature_store(spark, click_dates):

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import bins
 from tidemark.operators import evaluate, match, ordering, prepare, profile, quality, stability
 
 DATES = [dt.date(2024, m, 1) for m in (1, 2, 3)]
@@ -113,7 +114,7 @@ def test_exact_quantiles(spark, kind):
 
 def test_quantiles_of_many_keys_need_no_broadcast(spark):
     df = spark.range(900).select((F.col("id") % 300).alias("k"), F.col("id").cast("double").alias("v"))
-    got = ordering.exact_quantiles(df, ["k"], F.col("v"), [0.5], few_keys=False)
+    got = ordering.exact_quantiles(df, ["k"], F.col("v"), [0.5])
     assert all(r.q_0 == r.k + 300 for r in got.collect())
     assert "BroadcastExchange" not in got._jdf.queryExecution().optimizedPlan().toString()
 
@@ -312,7 +313,12 @@ def test_unseen_categories(spark):
     assert sorted(coded) == [0, 0, 1]  # "Unknown" sorts before lower case and takes the unseen value
     no_unknown = prepare.fit_encoder(train.na.drop(), ["c"])
     assert sorted(r.c for r in prepare.encode(fresh, no_unknown, ["c"]).collect()) == [0, 2, 2]
-    assert sorted(r.c for r in prepare.encode(fresh, no_unknown, ["c"], broadcast_rows=1).collect()) == [0, 2, 2]
+
+
+def test_codes_are_ordered_over_many_beginnings(spark):
+    words = sorted({f"{a}{b}{i}" for a in ("", "a", "Ab", "zz", "\u00e9") for b in ("", "x", "yq") for i in range(40)} | {"", "a", "ab"})
+    got = prepare.fit_encoder(spark.createDataFrame([(w,) for w in words], "c string"), ["c"]).collect()
+    assert {r.value: r.code for r in got} == {w: i for i, w in enumerate(sorted(words, key=lambda w: w.encode()))}
 
 
 def test_folds_are_stratified_and_gap_free(spark):
@@ -323,14 +329,57 @@ def test_folds_are_stratified_and_gap_free(spark):
         assert max(sizes) - min(sizes) <= 1
 
 
-def test_folds_spread_many_copies_of_a_row(spark):
+def test_folds_with_many_copies_of_a_row(spark):
     df = spark.range(3000).select(F.lit(1).alias("label"), F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("key"))
-    exact = ordering.numbered_in_strata(df, "label", F.xxhash64("key"), "i")
-    assert sorted(r.i for r in exact.collect()) == list(range(3000))
-    drawn = ordering.numbered_in_strata(df, "label", F.xxhash64("key"), "i", copies=100)
-    assert drawn.count() == 3000
-    folds = drawn.groupBy(F.pmod("i", F.lit(3)).alias("f")).count().collect()
-    assert all(abs(r["count"] - 1000) < 100 for r in folds)
+    numbered = ordering.numbered_in_strata(df, "label", F.xxhash64("key"), "i")
+    assert sorted(r.i for r in numbered.collect()) == list(range(3000))
+    sizes = [r["count"] for r in prepare.stratified_folds(df, "label", ["key"]).groupBy("fold").count().collect()]
+    assert sizes == [1000, 1000, 1000]
+
+
+@pytest.mark.parametrize("low,high", [(0.0, 3e-6), (1e9, 1e9 + 2000), (0.0, 1.0), (-5.0, 5.0)])
+def test_no_bucket_holds_many_values(spark, low, high):
+    """Values that stand close together are still ordered by many tasks."""
+    n = 50_000
+    df = spark.range(n).select(F.lit("k").alias("k"), (F.lit(low) + (F.lit(high) - F.lit(low)) * F.col("id") / n).alias("v"))
+    counts = ordering.value_counts_ordered(df, ["k"], F.col("v"), {"n": F.lit(1)}).cache()
+    total = counts.count()
+    for group, order in ordering.levels(["k"]):
+        held = counts.groupBy(*group).agg(F.countDistinct(order).alias("n"))
+        assert held.agg(F.max("n")).first()[0] <= 0.02 * total if group != ["k"] else True
+    # Buckets keep the order of the values.
+    names = [order for _, order in ordering.levels(["k"])][::-1]
+    by_value = counts.orderBy("__value").select(*names).collect()
+    assert by_value == sorted(by_value)
+    counts.unpersist()
+
+
+def test_rows_without_a_score_count(spark):
+    rows = [("m", 1, 1, 0.9), ("m", 0, 1, None), ("m", 1, 0, float("nan")), ("m", 0, 0, 0.2), ("n", 1, 1, None), ("n", 0, 0, None)]
+    df = spark.createDataFrame(rows, "month string, label int, predicted int, score double")
+    got = {r.month: r for r in evaluate.evaluate_by_period(df, "month", "label", "predicted", "score").collect()}
+    assert (got["m"].n_samples, got["m"].auc, got["m"].accuracy) == (4, 1.0, 0.5)
+    assert (got["n"].n_samples, got["n"].auc, got["n"].accuracy) == (2, None, 1.0)
+    same = {r.month: r for r in evaluate.confusion_metrics(df, ["month"], "label", "predicted").collect()}
+    assert all((got[m].true_positives, got[m].false_positives) == (same[m].tp, same[m].fp) for m in got)
+
+
+def test_pivots_take_all_values_found(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "new one"), (2, "a"), (2, None)], "d int, c string")
+    got = {r.d: r for r in quality.category_shares_wide(df, "d", "c").collect()}
+    assert sum(v for k, v in got[1].asDict().items() if k != "d") == pytest.approx(100)
+    assert got[2]["pct_a"] == 100 and got[2]["pct_new one"] == 0
+
+
+def test_bins_follow_the_edges_for_any_number(spark):
+    for n in (2, 10, 16, 17, 50):
+        edges = bins.edges(n)
+        values = sorted({v for e in edges for v in (e, np.nextafter(e, 2), np.nextafter(e, -1))})
+        df = spark.createDataFrame([(float(v),) for v in values], "x double")
+        got = {r.x: r.b for r in df.select("x", bins.bin_index(F.col("x"), n).alias("b")).collect()}
+        for v in values:
+            want = None if not 0 <= v <= 1 else min(n - 1, sum(v >= e for e in edges[1:-1]))
+            assert got[float(v)] == want
 
 
 def test_cumulative_importance(spark):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 
@@ -13,10 +11,6 @@ def edges(bins: int, low: float = 0.0, high: float = 1.0) -> list[float]:
     return [low + i * step for i in range(bins)] + [high]
 
 
-# Up to this many bins the edges are compared one by one.
-FEW_BINS = 16
-
-
 def bin_index(x: Column, bins: int, low: Column | float = 0.0, high: Column | float = 1.0) -> Column:
     """Zero-based bin of ``x``: ``[e_i, e_i+1)``, the last bin closed.
 
@@ -25,47 +19,46 @@ def bin_index(x: Column, bins: int, low: Column | float = 0.0, high: Column | fl
     fourth edge, which is 3 * 0.1.
     """
     x = x.cast("double")
-    fixed = not isinstance(low, Column) and not isinstance(high, Column)
-    low_c = low if isinstance(low, Column) else F.lit(float(low))
-    high_c = high if isinstance(high, Column) else F.lit(float(high))
-    if fixed and bins <= FEW_BINS:
-        inner = edges(bins, low, high)[1:-1]
-        index = reduce(lambda a, b: a + b, [(x >= F.lit(e)).cast("int") for e in inner], F.lit(0))
-    else:
-        # A division gives the bin up to one, the two edges next to it decide.
-        step = (high_c - low_c) / F.lit(float(bins))
-
-        def edge(i: Column) -> Column:
-            return F.when(i >= bins, high_c).otherwise(low_c + i * step)
-
-        guess = F.least(F.floor(F.try_divide(x - low_c, step)), F.lit(bins - 1))
-        index = (
-            guess
-            - F.when(x < edge(guess), 1).otherwise(0)
-            + F.when((x >= edge(guess + 1)) & (guess < bins - 1), 1).otherwise(0)
-        )
-    return F.when((x >= low_c) & (x <= high_c), index).cast("int")
-
-
-# Buckets per unit of log1p(|x|): about 700 coarse ones over [0, 1], about
-# 12,000 up to 100,000, and never more than some 1.5 million for any double.
-# Every coarse bucket has the same number of fine ones.
-BUCKETS_PER_LOG_UNIT = 1024
-FINE_PER_COARSE = 256
-
-
-def order_buckets(x: Column) -> tuple[Column, Column]:
-    """A coarse and a nested fine bucket that never decrease as ``x`` grows.
+    low = low if isinstance(low, Column) else F.lit(float(low))
+    high = high if isinstance(high, Column) else F.lit(float(high))
+    # A division gives the bin up to one, the two edges next to it decide.
+    step = (high - low) / F.lit(float(bins))
+
+    def edge(i: Column) -> Column:
+        return F.when(i >= bins, high).otherwise(low + i * step)
+
+    guess = F.least(F.floor(F.try_divide(x - low, step)), F.lit(bins - 1))
+    index = (
+        guess
+        - F.when(x < edge(guess), 1).otherwise(0)
+        + F.when((x >= edge(guess + 1)) & (guess < bins - 1), 1).otherwise(0)
+    )
+    return F.when((x >= low) & (x <= high), index).cast("int")
+
+
+# Coarse buckets per doubling of |x|: 64 between 1 and 2 as between 1e-6 and
+# 2e-6, and about 270,000 over all doubles.
+BUCKETS_PER_OCTAVE = 64
+# Distinct values that a bucket of its own grid holds on average.
+VALUES_PER_BUCKET = 256
+
+
+def coarse_bucket(x: Column) -> Column:
+    """A bucket that never decreases as ``x`` grows; its width is relative to ``x``.
 
     The map is fixed, so it needs no sampling, and a task that is run again
-    puts each row into the same bucket.  It splits a global ordering into
-    independent ones: coarse buckets, fine buckets in a coarse one, and the
-    values in a fine one.  Scores have about 180,000 fine buckets, so values
-    that crowd into one coarse bucket are still split over many tasks.
+    puts each row into the same bucket.  Null has one below all others.
     """
     x = x.cast("double")
-    size = F.signum(x) * F.least(F.log1p(F.abs(x)), F.lit(1000.0))
-    return (
-        F.floor(size * BUCKETS_PER_LOG_UNIT),
-        F.floor(size * (BUCKETS_PER_LOG_UNIT * FINE_PER_COARSE)),
-    )
+    # Doubles go from 2**-1074 to below 2**1024.
+    octave = F.log2(F.abs(x)) + F.lit(1075.0)
+    size = F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * F.least(octave, F.lit(2100.0)))
+    return F.coalesce(F.floor(size * BUCKETS_PER_OCTAVE).cast("long"), F.lit(-(1 << 40)))
+
+
+def own_bucket(x: Column, low: Column, high: Column, values: Column) -> Column:
+    """A bucket of the even grid from ``low`` to ``high`` that ``values`` distinct values ask for."""
+    parts = F.ceil(values / F.lit(VALUES_PER_BUCKET))
+    # Halves first: the range of two large doubles may not be a double.
+    place = F.try_divide(x / 2 - low / 2, high / 2 - low / 2)
+    return F.coalesce(F.least(F.floor(place * parts), parts - 1), F.lit(0)).cast("long")

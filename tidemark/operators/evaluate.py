@@ -63,7 +63,10 @@ def confusion_metrics(df: DataFrame, keys: Sequence[str], label: str, predicted:
 def ranked_counts(
     df: DataFrame, keys: Sequence[str], label: str, predicted: str | None, score: str
 ) -> DataFrame:
-    """Per key: confusion counts and tie-aware ROC-AUC from one grouping.
+    """Per key: rows, confusion counts and tie-aware ROC-AUC from one grouping.
+
+    All rows count for ``n``, the classes and the outcomes; rows without a score
+    (``n_without_score``) are in no pair.
 
     AUC is the share of (positive, negative) pairs in the right order, ties
     counting half.  Pairs are counted level by level: between the distinct
@@ -71,10 +74,15 @@ def ranked_counts(
     between the coarse buckets of a key, always from totals.
     """
     y = F.col(label)
-    sums = {"pos": F.when(y == 1, 1).otherwise(0), "neg": F.when(y == 0, 1).otherwise(0)}
+    scored = F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double")).isNotNull()
+    one = lambda test: F.when(test, 1).otherwise(0)
+    sums = {
+        "n": F.lit(1), "n_without_score": one(~scored), "positives": one(y == 1), "negatives": one(y == 0),
+        "pos": one((y == 1) & scored), "neg": one((y == 0) & scored),
+    }
     if predicted is not None:
         sums |= _outcomes(y, F.col(predicted))
-    table = value_counts_ordered(df, keys, F.col(score), sums).withColumn(
+    table = value_counts_ordered(df, keys, F.col(score), sums, keep_missing=True).withColumn(
         "__pairs", F.col("pos").cast("double") * F.col("neg") / F.lit(2.0)
     )
     for group, order in levels(keys):
@@ -108,15 +116,16 @@ def evaluate_by_period(
 ) -> DataFrame:
     """The evaluation table: one row of fifteen columns per eligible period.
 
-    A period needs at least two rows and both classes.
+    A period needs at least two rows and both classes.  Rows without a score count
+    like any other; the AUC leaves them out and is null if it can't be taken.
     """
     counted = ranked_counts(df, [period], label, predicted, score).where(
-        (F.col("pos") + F.col("neg") >= 2) & (F.col("pos") > 0) & (F.col("neg") > 0)
+        (F.col("n") >= 2) & (F.col("positives") > 0) & (F.col("negatives") > 0)
     )
     r = ratios(*[F.col(c) for c in _COUNTS])
     return counted.select(
         F.col(period).alias(period_name),
-        (F.col("pos") + F.col("neg")).alias("n_samples"),
+        F.col("n").alias("n_samples"),
         "auc",
         *[r[n].alias(n) for n in (
             "accuracy", "precision", "recall", "f1_score",
@@ -173,7 +182,9 @@ def latest_confusion(metrics: DataFrame) -> DataFrame:
 
 
 def classification_report(df: DataFrame, label: str, predicted: str) -> DataFrame:
-    """Precision, recall, F1 and support per class, then macro and weighted means.
+    """Precision, recall, F1 and support per class, then accuracy, macro and weighted means.
+
+    The accuracy stands in the column of F1.
 
     The rows are counted once per (actual, predicted) pair of classes; all
     later steps work on that small table.
@@ -181,7 +192,7 @@ def classification_report(df: DataFrame, label: str, predicted: str) -> DataFram
     cells = df.groupBy(F.col(label).alias("a"), F.col(predicted).alias("p")).agg(
         F.count("*").alias("n")
     )
-    by_class = (
+    by_class_hits = (
         cells.select(
             F.explode(
                 F.array(
@@ -196,13 +207,13 @@ def classification_report(df: DataFrame, label: str, predicted: str) -> DataFram
         .groupBy("x.class")
         .agg(F.sum("x.actual").alias("support"), F.sum("x.claimed").alias("claimed"),
              F.sum("x.hit").alias("hit"))
-        .select(
-            F.col("class").cast("string").alias("class"),
-            share(F.col("hit"), F.col("claimed")).alias("precision"),
-            share(F.col("hit"), F.col("support")).alias("recall"),
-            share(2 * F.col("hit"), F.col("claimed") + F.col("support")).alias("f1_score"),
-            "support",
-        )
+    )
+    by_class = by_class_hits.select(
+        F.col("class").cast("string").alias("class"),
+        share(F.col("hit"), F.col("claimed")).alias("precision"),
+        share(F.col("hit"), F.col("support")).alias("recall"),
+        share(2 * F.col("hit"), F.col("claimed") + F.col("support")).alias("f1_score"),
+        "support",
     )
     metrics = ("precision", "recall", "f1_score")
     macro = by_class.agg(
@@ -215,46 +226,70 @@ def classification_report(df: DataFrame, label: str, predicted: str) -> DataFram
         *[share(F.sum(F.col(m) * F.col("support")), F.sum("support")).alias(m) for m in metrics],
         F.sum("support").alias("support"),
     )
-    return by_class.unionByName(macro).unionByName(weighted)
+    accuracy = by_class_hits.agg(
+        F.lit("accuracy").alias("class"),
+        F.lit(None).cast("double").alias("precision"), F.lit(None).cast("double").alias("recall"),
+        share(F.sum("hit"), F.sum("support")).alias("f1_score"),
+        F.sum("support").alias("support"),
+    )
+    return by_class.unionByName(accuracy).unionByName(macro).unionByName(weighted)
 
 
 def roc_points(df: DataFrame, keys: Sequence[str], label: str, score: str) -> DataFrame:
-    """ROC points per key, one per distinct score in falling order."""
+    """ROC points per key, one per distinct score in falling order, from (0, 0) without a threshold."""
     y = F.col(label)
     totals = running_totals(
         df, keys, F.col(score),
         {"pos": F.when(y == 1, 1).otherwise(0), "neg": F.when(y == 0, 1).otherwise(0)},
         descending=True,
     )
-    return totals.select(
+    points = totals.select(
         *keys,
         F.col("value").alias("threshold"),
         (F.col("cum_neg") / F.nullif(F.col("total_neg"), F.lit(0))).alias("fpr"),
         (F.col("cum_pos") / F.nullif(F.col("total_pos"), F.lit(0))).alias("tpr"),
     )
+    start = _scored_keys(df, keys, label, score).select(
+        *keys, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return points.unionByName(start)
 
 
 def pr_points(df: DataFrame, keys: Sequence[str], label: str, score: str) -> DataFrame:
-    """Precision-recall points per key, with the base rate of the key."""
+    """Precision-recall points per key, with the base rate of the key.
+
+    The last point, without a threshold, is recall 0 and precision 1.
+    """
     y = F.col(label)
     totals = running_totals(
         df, keys, F.col(score),
         {"pos": F.when(y == 1, 1).otherwise(0), "neg": F.when(y == 0, 1).otherwise(0)},
         descending=True,
     )
-    return totals.select(
+    base_rate = F.try_divide(F.col("total_pos"), F.col("total_pos") + F.col("total_neg"))
+    points = totals.select(
         *keys,
         F.col("value").alias("threshold"),
         share(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
         (F.col("cum_pos") / F.nullif(F.col("total_pos"), F.lit(0))).alias("recall"),
-        (F.col("total_pos") / (F.col("total_pos") + F.col("total_neg"))).alias("base_rate"),
+        base_rate.alias("base_rate"),
     )
+    end = _scored_keys(df, keys, label, score).select(
+        *keys, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), base_rate.alias("base_rate"))
+    return points.unionByName(end)
+
+
+def _scored_keys(df: DataFrame, keys: Sequence[str], label: str, score: str) -> DataFrame:
+    """Keys that have a score, with their positives and negatives among scored rows."""
+    y, v = F.col(label), F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double"))
+    return df.where(v.isNotNull()).groupBy(*keys).agg(
+        F.sum(F.when(y == 1, 1).otherwise(0)).alias("total_pos"), F.sum(F.when(y == 0, 1).otherwise(0)).alias("total_neg"))
 
 
 def score_histogram(df: DataFrame, score: str, period: str, bins: int = 50) -> DataFrame:
     """Density histograms of the first and the last period.
 
-    Each period has its own grid from its least to its greatest score.
+    Each period has its own grid from its least to its greatest score; one
+    score only gives a grid that reaches half a unit to either side.
     """
     bounds = df.agg(F.struct(F.min(period).alias("lo"), F.max(period).alias("hi")).alias("b")).scalar()
     ends = df.where(F.col(score).isNotNull()).where(
@@ -264,6 +299,8 @@ def score_histogram(df: DataFrame, score: str, period: str, bins: int = 50) -> D
     ranges = ends.groupBy(period).agg(
         F.min("__s").alias("__low"), F.max("__s").alias("__high"), F.count("*").alias("__n")
     )
+    half = F.when(F.col("__low") == F.col("__high"), 0.5).otherwise(0.0)
+    ranges = ranges.select(period, (F.col("__low") - half).alias("__low"), (F.col("__high") + half).alias("__high"), "__n")
     width = (F.col("__high") - F.col("__low")) / F.lit(float(bins))
     counted = (
         ends.join(F.broadcast(ranges), period)
@@ -281,7 +318,7 @@ def score_histogram(df: DataFrame, score: str, period: str, bins: int = 50) -> D
 
 
 def box_stats(
-    df: DataFrame, keys: Sequence[str], value: str, reach: float = 1.5, few_keys: bool = True
+    df: DataFrame, keys: Sequence[str], value: str, reach: float = 1.5
 ) -> DataFrame:
     """Quartiles and whiskers per key.
 
@@ -289,15 +326,13 @@ def box_stats(
     range of the box, and never inside the box.
     """
     keys = list(keys)
-    quartiles = exact_quantiles(df, keys, F.col(value), [0.25, 0.5, 0.75], few_keys).select(
+    quartiles = exact_quantiles(df, keys, F.col(value), [0.25, 0.5, 0.75]).select(
         *keys,
         F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3"),
     )
     spread = F.col("q3") - F.col("q1")
     v = F.col(value).cast("double")
-    fenced = df.select(*keys, v.alias("__v")).join(
-        F.broadcast(quartiles) if few_keys else quartiles, keys
-    )
+    fenced = df.select(*keys, v.alias("__v")).join(quartiles, keys)
     return (
         fenced.groupBy(*keys)
         .agg(

@@ -2,8 +2,11 @@
 
 A window over all rows of a period, or the built-in exact ``percentile``,
 brings a whole period into a single task.  Here values are first counted per
-distinct value and ordered inside narrow fixed buckets; the bucket totals are
-then ordered inside coarse buckets, and the coarse totals per key.
+distinct value.  A fixed grid of relative width splits them into coarse
+buckets; each of those is split by a grid between its own least and greatest
+value, as fine as its number of values asks for, and each of the parts once
+more.  Values are ordered inside the narrowest buckets, and from there on only
+bucket totals are.
 """
 
 from __future__ import annotations
@@ -13,9 +16,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.bins import order_buckets
+from tidemark.functions.bins import coarse_bucket, own_bucket
 
-_COARSE, _FINE, _VALUE = "__coarse", "__fine", "__value"
+_COARSE, _FINE, _FINEST, _VALUE = "__coarse", "__fine", "__finest", "__value"
 
 
 def _upto(group: Sequence[str], order: str, descending: bool = False):
@@ -34,27 +37,47 @@ def _before(group: Sequence[str], order: str, descending: bool = False):
 def levels(keys: Sequence[str]) -> list[tuple[list[str], str]]:
     """From the narrowest to the widest: the group and what is ordered in it."""
     return [
-        ([*keys, _COARSE, _FINE], _VALUE),
+        ([*keys, _COARSE, _FINE, _FINEST], _VALUE),
+        ([*keys, _COARSE, _FINE], _FINEST),
         ([*keys, _COARSE], _FINE),
         ([*keys], _COARSE),
     ]
 
 
+def _split(counts: DataFrame, group: Sequence[str], name: str) -> DataFrame:
+    """Add bucket ``name`` inside ``group``, by the least and greatest value and the number of values there.
+
+    The bounds have a row per bucket, so the adaptive plan sends them to the
+    counts instead of shuffling those.
+    """
+    bounds = counts.groupBy(*[F.col(c).alias(f"__of_{c}") for c in group]).agg(
+        F.min(_VALUE).alias("__low"), F.max(_VALUE).alias("__high"), F.count("*").alias("__size")
+    )
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in group])
+    placed = own_bucket(F.col(_VALUE), F.col("__low"), F.col("__high"), F.col("__size"))
+    return counts.join(bounds, same).select(*counts.columns, placed.alias(name))
+
+
+def _bucketed(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return _split(_split(counts, [*keys, _COARSE], _FINE), [*keys, _COARSE, _FINE], _FINEST)
+
+
 def value_counts_ordered(
-    df: DataFrame, keys: Sequence[str], value: Column, sums: dict[str, Column]
+    df: DataFrame, keys: Sequence[str], value: Column, sums: dict[str, Column], keep_missing: bool = False
 ) -> DataFrame:
     """One row per key and distinct value, with its buckets and the given sums.
 
     Map-side combining makes a value shared by a third of all rows one row
-    per task before the shuffle.
+    per task before the shuffle.  Rows without a value (null or NaN) are left
+    out, or make up a bucket of their own with ``keep_missing``.
     """
-    v = value.cast("double")
-    coarse, fine = order_buckets(v)
-    return (
-        df.where(v.isNotNull() & ~F.isnan(v))
-        .groupBy(*keys, coarse.alias(_COARSE), fine.alias(_FINE), v.alias(_VALUE))
+    v = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+    rows = df if keep_missing else df.where(v.isNotNull())
+    counts = (
+        rows.groupBy(*keys, coarse_bucket(v).alias(_COARSE), v.alias(_VALUE))
         .agg(*[F.sum(c).alias(name) for name, c in sums.items()])
     )
+    return _bucketed(counts, keys)
 
 
 def running_totals(
@@ -71,58 +94,55 @@ def running_totals(
     """
     keys = list(keys)
     counts = value_counts_ordered(df, keys, value, sums)
-    (in_fine, _), (in_coarse, _), (in_key, _) = levels(keys)
-
-    def earlier(name: str, group: list[str], order: str) -> Column:
-        return F.coalesce(F.sum(name).over(_before(group, order, descending)), F.lit(0))
-
+    narrowest, *wider = levels(keys)
+    total = lambda table, group: table.groupBy(*group).agg(*[F.sum(n).alias(n) for n in sums])
     rows = counts.select(
-        "*", *[F.sum(n).over(_upto(in_fine, _VALUE, descending)).alias(f"__in_{n}") for n in sums]
+        "*", *[F.sum(n).over(_upto(*narrowest, descending)).alias(f"cum_{n}") for n in sums]
     )
-    fine = counts.groupBy(*in_fine).agg(*[F.sum(n).alias(n) for n in sums])
-    coarse = fine.groupBy(*in_coarse).agg(*[F.sum(n).alias(n) for n in sums])
-    fine_offsets = fine.select(
-        *in_fine, *[earlier(n, in_coarse, _FINE).alias(f"__fine_{n}") for n in sums]
-    )
-    coarse_offsets = coarse.select(
-        *in_coarse,
-        *[earlier(n, in_key, _COARSE).alias(f"__coarse_{n}") for n in sums],
-        *[F.sum(n).over(Window.partitionBy(*keys)).alias(f"total_{n}") for n in sums],
-    )
-    offsets = fine_offsets.join(coarse_offsets, on=in_coarse)
-    return rows.join(offsets, on=in_fine).select(
+    # Per level: what stands before each bucket inside the next wider one.
+    offsets, table, group = None, counts, narrowest[0]
+    steps = []
+    for outer, order in wider:
+        table = total(table, group)
+        steps.append((group, table.select(
+            *group,
+            *[F.coalesce(F.sum(n).over(_before(outer, order, descending)), F.lit(0)).alias(f"__off_{n}") for n in sums],
+            *([F.sum(n).over(Window.partitionBy(*keys)).alias(f"total_{n}") for n in sums] if outer == keys else []),
+        )))
+        group = outer
+    # From the widest level down, offsets add up.
+    for group, step in reversed(steps):
+        if offsets is None:
+            offsets, above = step, group
+            continue
+        wide = offsets.select(*above, *[F.col(f"__off_{n}").alias(f"__up_{n}") for n in sums], *[f"total_{n}" for n in sums])
+        offsets = step.join(wide, on=above).select(
+            *group, *[(F.col(f"__off_{n}") + F.col(f"__up_{n}")).alias(f"__off_{n}") for n in sums], *[f"total_{n}" for n in sums]
+        )
+        above = group
+    return rows.join(offsets, on=narrowest[0]).select(
         *keys,
         F.col(_VALUE).alias("value"),
         *sums,
-        *[
-            (F.col(f"__in_{n}") + F.col(f"__fine_{n}") + F.col(f"__coarse_{n}")).alias(f"cum_{n}")
-            for n in sums
-        ],
+        *[(F.col(f"cum_{n}") + F.col(f"__off_{n}")).alias(f"cum_{n}") for n in sums],
         *[f"total_{n}" for n in sums],
     )
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: Column, probs: Sequence[float], few_keys: bool = True
+    df: DataFrame, keys: Sequence[str], value: Column, probs: Sequence[float]
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one column ``q_<i>`` per prob.
 
-    With ``few_keys`` the keys are periods or column names, and the tables that
-    say where the wanted ranks lie go to all executors; for keys whose number
-    grows with the data pass False, and they are joined by a shuffle.
-
     The first scan counts rows per coarse bucket, which is combined on the map
     side to almost nothing; it tells which buckets hold the wanted ranks.  The
     second scan counts the values of those buckets only, at most two per key
-    and probability, and narrows them to fine buckets before ordering values.
+    and probability, and narrows them level by level before ordering values.
     """
     keys = list(keys)
-    v = value.cast("double")
-    coarse, fine = order_buckets(v)
-    rows = df.where(v.isNotNull() & ~F.isnan(v)).select(
-        *keys, v.alias(_VALUE), coarse.alias(_COARSE), fine.alias(_FINE)
-    )
-    (in_fine, _), (in_coarse, _), (in_key, _) = levels(keys)
+    v = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+    rows = df.where(v.isNotNull()).select(*keys, v.alias(_VALUE), coarse_bucket(v).alias(_COARSE))
+    narrowest, *_ = levels(keys)
     # Zero-based positions in the sorted values; a fraction lies between two ranks.
     positions = [F.lit(float(p)) * (F.col("__total") - 1) for p in probs]
 
@@ -133,39 +153,33 @@ def exact_quantiles(
         lambda a, b: a | b, [holds(side(p)) for p in positions for side in (F.floor, F.ceil)]
     )
 
-    def ranked(counts: DataFrame, base: Column, group: list[str], order: str) -> DataFrame:
+    def ranked(counts: DataFrame, base: Column, group: Sequence[str], order: str) -> DataFrame:
         """Add the ranks ``[__start, __end)`` that each row of ``counts`` covers."""
         return counts.withColumn(
             "__end", base + F.sum("__n").over(_upto(group, order))
         ).withColumn("__start", F.col("__end") - F.col("__n"))
 
-    def few(targets: DataFrame) -> DataFrame:
-        # At most 2 * len(probs) rows per key, whatever the size of the data.
-        return F.broadcast(targets) if few_keys else targets
-
-    histogram = rows.groupBy(*in_coarse).agg(F.count("*").alias("__n"))
+    histogram = rows.groupBy(*keys, _COARSE).agg(F.count("*").alias("__n"))
+    # At most 2 * len(probs) rows per key, here and at each level below.
     crowded = (
-        ranked(histogram, F.lit(0), in_key, _COARSE)
+        ranked(histogram, F.lit(0), keys, _COARSE)
         .withColumn("__total", F.sum("__n").over(Window.partitionBy(*keys)))
         .where(wanted)
-        .select(*in_coarse, F.col("__start").alias("__base"), "__total")
+        .select(*keys, _COARSE, F.col("__start").alias("__base"), "__total")
     )
     counts = (
-        rows.join(few(crowded), on=in_coarse)
-        .groupBy(*in_fine, _VALUE)
+        rows.join(crowded, on=[*keys, _COARSE])
+        .groupBy(*keys, _COARSE, _VALUE)
         .agg(F.count("*").alias("__n"), F.max("__base").alias("__base"), F.max("__total").alias("__total"))
     )
-    narrow = counts.groupBy(*in_fine).agg(
-        F.sum("__n").alias("__n"), F.max("__base").alias("__base"), F.max("__total").alias("__total")
-    )
-    holders = (
-        ranked(narrow, F.col("__base"), in_coarse, _FINE)
-        .where(wanted)
-        .select(*in_fine, F.col("__start").alias("__first"))
-    )
-    values = ranked(
-        counts.join(few(holders), on=in_fine), F.col("__first"), in_fine, _VALUE
-    )
+    for group, name in (([*keys, _COARSE], _FINE), ([*keys, _COARSE, _FINE], _FINEST)):
+        counts = _split(counts, group, name)
+        totals = counts.groupBy(*group, name).agg(
+            F.sum("__n").alias("__n"), F.max("__base").alias("__base"), F.max("__total").alias("__total")
+        )
+        holders = ranked(totals, F.col("__base"), group, name).where(wanted).select(*group, name, F.col("__start").alias("__first"))
+        counts = counts.join(holders, on=[*group, name]).withColumn("__base", F.col("__first")).drop("__first")
+    values = ranked(counts, F.col("__base"), *narrowest)
 
     def interpolated(i: int) -> Column:
         p = positions[i]
@@ -181,17 +195,14 @@ def numbered_in_strata(
     stratum: str,
     order_hash: Column,
     name: str,
-    seed: int = 42,
     buckets: int = 4096,
-    copies: int = 10_000,
 ) -> DataFrame:
     """Add a zero-based number per stratum in the order of a hash.
 
     Rows are counted per hash, the hashes are ordered inside ``buckets`` and
     the buckets per stratum, so a stratum that holds most rows is numbered by
     many tasks.  Rows with the same hash take the numbers of their hash one by
-    one, without a gap; only a hash with more than ``copies`` rows draws them
-    at random, so that no task has to line up all copies of one row.
+    one, without a gap; a hash that tells rows apart keeps those lines short.
     """
     bucket = "__bucket"
     tagged = df.withColumn("__h", order_hash)
@@ -202,14 +213,11 @@ def numbered_in_strata(
         stratum, bucket, F.coalesce(F.sum("__n").over(_before([stratum], bucket)), F.lit(0)).alias("__off")
     )
     first = counts.select(
-        stratum, bucket, "__h", F.col("__n").alias("__copies"),
+        stratum, bucket, "__h",
         F.coalesce(F.sum("__n").over(_before([stratum, bucket], "__h")), F.lit(0)).alias("__in"),
     ).join(offsets, on=[stratum, bucket]).select(
-        stratum, "__h", "__copies", (F.col("__in") + F.col("__off")).alias("__first")
+        stratum, "__h", (F.col("__in") + F.col("__off")).alias("__first")
     )
     placed = tagged.join(first, on=[stratum, "__h"])
     in_line = F.row_number().over(Window.partitionBy(stratum, "__h").orderBy("__first")) - 1
-    drawn = F.floor(F.rand(seed) * F.col("__copies"))
-    few = placed.where(F.col("__copies") <= copies).withColumn(name, F.col("__first") + in_line)
-    many = placed.where(F.col("__copies") > copies).withColumn(name, F.col("__first") + drawn)
-    return few.unionByName(many).drop("__h", "__copies", "__first")
+    return placed.withColumn(name, F.col("__first") + in_line).drop("__h", "__first")

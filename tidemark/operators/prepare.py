@@ -98,27 +98,40 @@ def fit_encoder(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Codes of the sorted distinct values, null as ``Unknown``.
 
     ``(column_name, value, code)``.  Pass the training rows, or all rows for
-    the variant that knows every category.  The table is as long as the
-    vocabularies, which are category lists and not identifiers.
+    the variant that knows every category.  Values are ordered among those that
+    begin alike, then the beginnings, so no task orders a whole vocabulary
+    unless all its values begin with the same characters.
     """
     values = (
         df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias(c) for c in columns])
         .unpivot([], list(columns), "column_name", "value")
         .distinct()
+        .withColumn("__begin", F.substring("value", 1, 2))
+        .withColumn("__next", F.substring("value", 3, 3))
+    )
+    alike = ["column_name", "__begin", "__next"]
+    inside = F.row_number().over(Window.partitionBy(*alike).orderBy("value")) - 1
+
+    def before(table: DataFrame, group: Sequence[str], order: str, name: str) -> DataFrame:
+        window = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return table.withColumn(name, F.coalesce(F.sum("__n").over(window), F.lit(0)))
+
+    counts = values.groupBy(*alike).agg(F.count("*").alias("__n"))
+    wide = before(counts.groupBy(*alike[:2]).agg(F.sum("__n").alias("__n")), alike[:1], "__begin", "__wide").drop("__n")
+    offsets = before(counts, alike[:2], "__next", "__narrow").join(wide, alike[:2])
+    return values.join(offsets, alike).select(
+        "column_name", "value", (inside + F.col("__narrow") + F.col("__wide")).cast("int").alias("code")
     )
-    order = Window.partitionBy("column_name").orderBy("value")
-    return values.select("column_name", "value", (F.row_number().over(order) - 1).alias("code"))
 
 
-def encode(df: DataFrame, encoder: DataFrame, columns: Sequence[str], broadcast_rows: int = 100_000) -> DataFrame:
+def encode(df: DataFrame, encoder: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace categories by their codes.
 
     A value unseen in fitting takes the code of ``Unknown``, or one past the
-    last code where training had no unknowns.  The code table is counted
-    first: up to ``broadcast_rows`` entries it is sent to all executors,
-    above that the join shuffles and the adaptive skew join splits hot values.
+    last code where training had no unknowns.  Pass a stored encoder: each
+    column reads it.  Its size decides at run time whether a join shuffles; one
+    that does is split where a value is hot.
     """
-    small = encoder.limit(broadcast_rows + 1).count() <= broadcast_rows
     for c in columns:
         own = encoder.where(F.col("column_name") == c)
         fallback = own.agg(
@@ -127,7 +140,7 @@ def encode(df: DataFrame, encoder: DataFrame, columns: Sequence[str], broadcast_
         codes = own.select(F.col("value").alias("__value"), F.col("code").alias("__code"))
         df = (
             df.withColumn("__value", F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)))
-            .join(F.broadcast(codes) if small else codes, "__value", "left")
+            .join(codes, "__value", "left")
             .withColumn(c, F.coalesce(F.col("__code"), fallback))
             .drop("__value", "__code")
         )
@@ -171,7 +184,11 @@ def cumulative_importance(importance: DataFrame, cutoff: float = 0.80) -> DataFr
 def stratified_folds(
     df: DataFrame, label: str, key: Sequence[str], folds: int = 3, seed: int = 42, name: str = "fold"
 ) -> DataFrame:
-    """Folds of equal class mix: per class, rows in the order of their key's hash take turns."""
+    """Folds of equal class mix: per class, rows in the order of their key's hash take turns.
+
+    Fold sizes of a class differ by one at most.  A key that is unique per row gives the same
+    folds whenever it is evaluated; rows that share one are lined up in one task.
+    """
     shuffled = F.xxhash64(F.lit(seed), *[F.col(c) for c in key])
-    numbered = numbered_in_strata(df, label, shuffled, "__number", seed)
+    numbered = numbered_in_strata(df, label, shuffled, "__number")
     return numbered.withColumn(name, F.pmod("__number", F.lit(folds)).cast("int")).drop("__number")

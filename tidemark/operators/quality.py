@@ -47,14 +47,24 @@ def quality_summary(quality: DataFrame) -> DataFrame:
     )
 
 
-def category_shares_wide(
-    df: DataFrame, period: str, category: str, values: Sequence[str], prefix: str = "pct_"
-) -> DataFrame:
-    """Percent of each category per period; a category that is absent gives 0."""
+#: Categories that a wide table may have.
+MAX_CATEGORIES = 1000
+
+
+def category_shares_wide(df: DataFrame, period: str, category: str, prefix: str = "pct_") -> DataFrame:
+    """Percent of each category per period, a column for each category found; one that is absent gives 0.
+
+    Finding them takes a pass over the category alone.  More than
+    ``MAX_CATEGORIES`` are an error: that column is no category.
+    """
+    found = df.select(F.col(category).cast("string").alias("c")).where("c IS NOT NULL").distinct()
+    values = sorted(r["c"] for r in found.limit(MAX_CATEGORIES + 1).collect())
+    if len(values) > MAX_CATEGORIES:
+        raise ValueError(f"{category} has more than {MAX_CATEGORIES} values")
     total = F.nullif(F.count(category), F.lit(0))
     return df.groupBy(period).agg(
         *[
-            F.coalesce(F.count_if(F.col(category) == v) / total * 100, F.lit(0.0)).alias(f"{prefix}{v}")
+            F.coalesce(F.count_if(F.col(category).cast("string") == v) / total * 100, F.lit(0.0)).alias(f"{prefix}{v}")
             for v in values
         ]
     )

@@ -248,9 +248,9 @@ def drift_summary(drift: DataFrame, significant: float = 0.2, top_k: int = 5) ->
     )
 
 
-def drift_matrix(drift: DataFrame, dates: Sequence, value: str = "psi") -> DataFrame:
-    """Feature by date; the dates are given so that the pivot needs no extra pass."""
-    return drift.groupBy("feature").pivot("date", list(dates)).agg(F.first(value))
+def drift_matrix(drift: DataFrame, value: str = "psi") -> DataFrame:
+    """Feature by date, a column for each date found; the dates are those of the calendar."""
+    return drift.groupBy("feature").pivot("date").agg(F.first(value))
 
 
 def rows_at_or_above(df: DataFrame, value: str, threshold: float) -> DataFrame:

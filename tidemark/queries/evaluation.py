@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluate, match
+from tidemark.operators.ordering import exact_quantiles
 from tidemark.queries import standins as st
-from tidemark.queries.base import present, query
+from tidemark.queries.base import present, query, table
 from tidemark.queries.sqltext import RATES, auc, confusion, d, r, rounded
 
 
@@ -76,6 +77,7 @@ report AS (
 @query("classification_report", f"""
 WITH {st.SCORED_DOCUMENTS},{_REPORT}
 SELECT class, {rounded(['precision', 'recall', 'f1_score'])}, support FROM report
+UNION ALL SELECT 'accuracy', NULL, NULL, {r('(SELECT sum(hit) FROM per) * 1e0 / sum(support)')}, CAST(sum(support) AS BIGINT) FROM report
 UNION ALL SELECT 'macro avg', {r('avg(precision)')}, {r('avg(recall)')}, {r('avg(f1_score)')}, CAST(sum(support) AS BIGINT) FROM report
 UNION ALL SELECT 'weighted avg', {r('sum(precision * support) / sum(support)')}, {r('sum(recall * support) / sum(support)')},
                  {r('sum(f1_score * support) / sum(support)')}, CAST(sum(support) AS BIGINT) FROM report""")
@@ -104,6 +106,51 @@ def monthly_evaluation(spark, sf):
     return present(evaluate.evaluate_by_period(matched(spark, sf), "inference_date"))
 
 
+_GAPS = f"""
+{st.MATCHED},
+gaps AS (SELECT * REPLACE (CASE WHEN rn % 7 <> 0 THEN default_probability END AS default_probability)
+         FROM (SELECT *, length(Customer_ID) + ascii(right(Customer_ID, 1)) AS rn FROM matched)),
+confused AS (SELECT inference_date, {confusion()}, count(*) FILTER (WHERE default_probability IS NULL) AS gone FROM gaps GROUP BY inference_date),
+kept AS (SELECT * FROM gaps WHERE default_probability IS NOT NULL),
+ranked AS ({auc('kept', 'inference_date', 'label', 'default_probability')})"""
+
+
+@query("evaluation_with_gaps", f"""
+WITH {_GAPS}
+SELECT {d('inference_date')} AS month, n AS n_samples, gone AS n_without_score, {r('auc')} AS auc,
+       tp AS true_positives, fp AS false_positives, tn AS true_negatives, fn AS false_negatives
+FROM confused LEFT JOIN ranked USING (inference_date)""")
+def evaluation_with_gaps(spark, sf):
+    """Rows without a score count for everything but the AUC."""
+    gap = (F.length("Customer_ID") + F.ascii(F.right("Customer_ID", F.lit(1)))) % 7 == 0
+    rows = matched(spark, sf).withColumn("default_probability", F.when(~gap, F.col("default_probability")))
+    counted = evaluate.ranked_counts(rows, ["inference_date"], "label", "predicted_default", "default_probability")
+    return present(counted.select(
+        F.col("inference_date").alias("month"), F.col("n").alias("n_samples"), "n_without_score", "auc",
+        F.col("tp").alias("true_positives"), F.col("fp").alias("false_positives"),
+        F.col("tn").alias("true_negatives"), F.col("fn").alias("false_negatives")))
+
+
+@query("auc_tiny_scores", f"""
+WITH {st.SCORED_DOCUMENTS}, tiny AS (SELECT lang, label, score * 3e-6 AS s FROM scored),
+ranked AS ({auc('tiny', 'lang', 'label', 's')})
+SELECT lang, {r('auc')} AS auc FROM ranked""")
+def auc_tiny_scores(spark, sf):
+    """Scores of rare events: all within three millionths."""
+    scored = st.scored_documents(spark, sf).withColumn("s", F.col("score") * 3e-6)
+    return present(evaluate.auc_by_group(scored, ["lang"], "label", "s").select("lang", "auc"))
+
+
+@query("quantiles_large_values", f"""
+SELECT o_orderstatus, {r('quantile_cont(v, 0.1)', 3)} AS q10, {r('quantile_cont(v, 0.5)', 3)} AS q50, {r('quantile_cont(v, 0.9)', 3)} AS q90
+FROM (SELECT o_orderstatus, 1e9 + o_orderkey % 2000 AS v FROM orders) GROUP BY o_orderstatus""")
+def quantiles_large_values(spark, sf):
+    """Values that stand close together far from zero."""
+    orders = table(spark, sf, "orders").withColumn("v", F.lit(1e9) + F.col("o_orderkey") % 2000)
+    q = exact_quantiles(orders, ["o_orderstatus"], F.col("v"), [0.1, 0.5, 0.9])
+    return present(q.select("o_orderstatus", F.col("q_0").alias("q10"), F.col("q_1").alias("q50"), F.col("q_2").alias("q90")), digits=3)
+
+
 _MEANS = ["auc", "accuracy", "precision", "recall", "f1_score", "actual_default_rate",
           "predicted_default_rate", "false_negative_rate", "false_positive_rate"]
 
@@ -147,7 +194,8 @@ curve AS (SELECT *, sum(pos) OVER w AS cp, sum(neg) OVER w AS cn, sum(pos) OVER
 
 @query("roc_points", f"""
 WITH {st.SCORED_DOCUMENTS},{_CURVE}
-SELECT lang, threshold, {r('cn / nullif(tn, 0)')} AS fpr, {r('cp / nullif(tp, 0)')} AS tpr FROM curve""")
+SELECT lang, threshold, {r('cn / nullif(tn, 0)')} AS fpr, {r('cp / nullif(tp, 0)')} AS tpr FROM curve
+UNION ALL SELECT DISTINCT lang, CAST(NULL AS DOUBLE), 0e0, 0e0 FROM curve""")
 def roc_points(spark, sf):
     return present(evaluate.roc_points(st.scored_documents(spark, sf), ["lang"], "label", "score"))
 
@@ -155,7 +203,8 @@ def roc_points(spark, sf):
 @query("pr_points", f"""
 WITH {st.SCORED_DOCUMENTS},{_CURVE}
 SELECT lang, threshold, {r('coalesce(cp / nullif(cp + cn, 0), 0)')} AS precision, {r('cp / nullif(tp, 0)')} AS recall,
-       {r('tp / (tp + tn)')} AS base_rate FROM curve""")
+       {r('tp / (tp + tn)')} AS base_rate FROM curve
+UNION ALL SELECT DISTINCT lang, CAST(NULL AS DOUBLE), 1e0, 0e0, {r('tp / (tp + tn)')} FROM curve""")
 def pr_points(spark, sf):
     return present(evaluate.pr_points(st.scored_documents(spark, sf), ["lang"], "label", "score"))
 

@@ -10,6 +10,7 @@ from tidemark.plans import rules
 from tidemark.queries import standins as st
 from tidemark.queries.base import present, query
 from tidemark.queries.sqltext import d, r, rounded, unit_bin
+from tidemark.session import cut_lineage
 
 
 def psi_cte(source: str, score: str, period: str, out: str = "psi") -> str:
@@ -185,16 +186,15 @@ def high_drift_rows(spark, sf):
     )
 
 
-_YEARS = [f"{y}-01-01" for y in range(1996, 2002)]
-
-
 @query("drift_matrix", f"""
-WITH {drift_cte(True)}
-SELECT feature, {', '.join(f'{r(f"max(CASE WHEN date = DATE {chr(39)}{y}{chr(39)} THEN psi END)")} AS "{y}"' for y in _YEARS)}
-FROM drift GROUP BY feature""")
+WITH {drift_cte(True)},
+grid AS (SELECT feature, date FROM (SELECT DISTINCT feature FROM drift), (SELECT DISTINCT date FROM drift))
+SELECT feature, {d('date')} AS date, {r('psi')} AS psi FROM grid LEFT JOIN drift USING (feature, date)""")
 def drift_matrix(spark, sf):
+    """The matrix over all dates found, read back cell by cell."""
     drift = scaled_drift(spark, sf).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
-    return present(stability.drift_matrix(drift, _YEARS))
+    wide = stability.drift_matrix(cut_lineage(drift, "drift"))
+    return present(wide.unpivot(["feature"], wide.columns[1:], "date", "psi"))
 
 
 @query("monitored_features", f"""
@@ -244,16 +244,17 @@ def monthly_score_stats(spark, sf):
     ))
 
 
-_TYPES = ["click", "error", "purchase", "signup", "view"]
-
-
 @query("category_share_pivot", f"""
-WITH {st.SCORES}
-SELECT {d('inference_date')} AS inference_date,
-       {', '.join(f"{r(f'count(*) FILTER (WHERE event_type = {chr(39)}{t}{chr(39)}) * 100e0 / count(*)')} AS pct_{t}" for t in _TYPES)}
-FROM scores GROUP BY inference_date""")
+WITH {st.SCORES},
+grid AS (SELECT inference_date, event_type FROM (SELECT DISTINCT inference_date FROM scores), (SELECT DISTINCT event_type FROM scores WHERE event_type IS NOT NULL)),
+counted AS (SELECT inference_date, event_type, count(*) AS n FROM scores GROUP BY ALL),
+total AS (SELECT inference_date, count(event_type) AS n FROM scores GROUP BY inference_date)
+SELECT {d('g.inference_date')} AS inference_date, event_type, {r('coalesce(c.n, 0) * 100e0 / t.n')} AS pct
+FROM grid g LEFT JOIN counted c USING (inference_date, event_type) JOIN total t USING (inference_date)""")
 def category_share_pivot(spark, sf):
-    return present(quality.category_shares_wide(st.scores(spark, sf), "inference_date", "event_type", _TYPES))
+    """The wide table over all categories found, read back cell by cell."""
+    wide = quality.category_shares_wide(st.scores(spark, sf), "inference_date", "event_type", prefix="")
+    return present(wide.unpivot(["inference_date"], wide.columns[1:], "event_type", "pct"))
 
 
 @query("run_statistics", f"""
@@ -291,7 +292,8 @@ def box_stats(spark, sf):
 WITH {st.SCORES},
 ends AS (SELECT inference_date, default_probability AS s FROM scores
          WHERE inference_date IN ((SELECT min(inference_date) FROM scores), (SELECT max(inference_date) FROM scores))),
-ranges AS (SELECT inference_date, min(s) AS lo, max(s) AS hi, count(*) AS total FROM ends GROUP BY inference_date),
+found AS (SELECT inference_date, min(s) AS lo, max(s) AS hi, count(*) AS total FROM ends GROUP BY inference_date),
+ranges AS (SELECT inference_date, CASE WHEN lo = hi THEN lo - 5e-1 ELSE lo END AS lo, CASE WHEN lo = hi THEN hi + 5e-1 ELSE hi END AS hi, total FROM found),
 grid AS (SELECT inference_date, i AS bin, total, (hi - lo) / 50e0 AS width, lo + i * ((hi - lo) / 50e0) AS low,
                 CASE WHEN i = 49 THEN hi ELSE lo + (i + 1) * ((hi - lo) / 50e0) END AS high
          FROM ranges, (SELECT unnest(range(50)) AS i))
@@ -302,3 +304,25 @@ FROM grid g LEFT JOIN ends e
 GROUP BY g.inference_date, g.bin""")
 def score_histogram(spark, sf):
     return present(evaluate.score_histogram(st.scores(spark, sf), "default_probability", "inference_date"))
+
+
+@query("score_histogram_constant", f"""
+WITH {st.SCORES},
+ends AS (SELECT inference_date, CASE WHEN inference_date = (SELECT min(inference_date) FROM scores) THEN 25e-2 ELSE default_probability END AS s FROM scores
+         WHERE inference_date IN ((SELECT min(inference_date) FROM scores), (SELECT max(inference_date) FROM scores))),
+found AS (SELECT inference_date, min(s) AS lo, max(s) AS hi, count(*) AS total FROM ends GROUP BY inference_date),
+ranges AS (SELECT inference_date, CASE WHEN lo = hi THEN lo - 5e-1 ELSE lo END AS lo, CASE WHEN lo = hi THEN hi + 5e-1 ELSE hi END AS hi, total FROM found),
+grid AS (SELECT inference_date, i AS bin, total, (hi - lo) / 50e0 AS width, lo + i * ((hi - lo) / 50e0) AS low,
+                CASE WHEN i = 49 THEN hi ELSE lo + (i + 1) * ((hi - lo) / 50e0) END AS high
+         FROM ranges, (SELECT unnest(range(50)) AS i))
+SELECT {d('g.inference_date')} AS inference_date, g.bin, {r('any_value(g.low)')} AS bin_low, count(e.s) AS n,
+       {r('count(e.s) / (any_value(total) * any_value(width))')} AS density
+FROM grid g LEFT JOIN ends e
+  ON e.inference_date = g.inference_date AND e.s >= g.low AND (e.s < g.high OR (g.bin = 49 AND e.s = g.high))
+GROUP BY g.inference_date, g.bin""")
+def score_histogram_constant(spark, sf):
+    """The first period has one score only."""
+    scores = st.scores(spark, sf)
+    first = scores.agg(F.min("inference_date")).scalar()
+    constant = F.when(F.col("inference_date") == first, 0.25).otherwise(F.col("default_probability"))
+    return present(evaluate.score_histogram(scores.withColumn("default_probability", constant), "default_probability", "inference_date"))
