@@ -127,11 +127,14 @@ def merge_features_labels(features: DataFrame, labels: DataFrame, key: str = KEY
     """Inner join on the customer alone; both dates are kept.
 
     Every label row meets every feature row of its customer, and the label's
-    date becomes the date used for splitting.  The feature store holds one
-    snapshot per customer, so the result has one row per label; a customer
-    with very many labels is split by the adaptive skew join.
+    date becomes the date used for splitting.  The feature store must hold one
+    snapshot per customer, so that the result has one row per label: a second
+    one fails the job.  A customer with very many labels is split by the adaptive skew join.
     """
-    f = features.withColumnsRenamed({DATE: "feature_date"})
+    per_key = features.groupBy(key).agg(F.count("*").alias("__n"))
+    repeated = per_key.where("__n > 1").agg(F.count("*")).scalar()
+    f = features.where(F.when(repeated > 0, F.raise_error(F.lit(f"a {key} has more than one feature snapshot"))).isNull())
+    f = f.withColumnsRenamed({DATE: "feature_date"})
     y = labels.withColumnsRenamed({DATE: "label_date"})
     clash = [c for c in f.columns if c in y.columns and c != key]
     f = f.withColumnsRenamed({c: f"{c}_feature" for c in clash})

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from tidemark.functions import bands, dates, numbers, text
 from tidemark.operators import features
@@ -14,15 +16,47 @@ from tidemark.sources import readers, writers
 
 # --- bronze ----------------------------------------------------------------
 
+#: What was ingested: a row per table, date and run; a date may have no rows.
+REGISTER = "ingest_register"
+REGISTER_TYPE = StructType([
+    StructField("snapshot_date", DateType()), StructField("n_rows", LongType()),
+    StructField("table", StringType()), StructField("run", StringType())])
+
+
+def bronze_schema(table: str) -> StructType:
+    fields = [StructField(c, StringType()) for c in rules.RAW_LAYOUTS[table] if c != "snapshot_date"]
+    return StructType([*fields, StructField("snapshot_date", DateType())])
+
+
 def ingest(
-    spark: SparkSession, table: str, source: str, bronze_root: str, days: Sequence[str] | None = None
+    spark: SparkSession, table: str, source: str, bronze_root: str, days: Sequence[str] | None = None, run: str | None = None
 ) -> str:
-    """Raw CSV to one text-typed, date-partitioned bronze table; one scan for all dates."""
+    """Raw CSV to one text-typed, date-partitioned bronze table; one scan for all dates.
+
+    The register gets a row for each requested date, or each date found.  A
+    requested date without rows counts as ingested and is empty afterwards.
+    """
+    base = bronze_root.rstrip("/")
     raw = readers.read_csv_text(spark, source, rules.RAW_LAYOUTS[table])
     typed = raw.withColumn("snapshot_date", F.col("snapshot_date").try_cast("date"))
     if days is not None:
         typed = readers.snapshots(typed, "snapshot_date", days)
-    return writers.write_snapshots(typed, f"{bronze_root.rstrip('/')}/{table}")
+    root = writers.write_snapshots(typed, f"{base}/{table}", days=days)
+    stored = readers.read_store(spark, root, schema=bronze_schema(table)).where("snapshot_date IS NOT NULL")
+    counted = stored.groupBy("snapshot_date").agg(F.count("*").alias("n_rows"))
+    if days is not None:
+        wanted = spark.createDataFrame([(x,) for x in days], "d string").select(F.to_date("d").alias("snapshot_date"))
+        counted = wanted.join(counted, "snapshot_date", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("long")))
+    entries = counted.withColumn("table", F.lit(table)).withColumn("run", F.lit(run or uuid.uuid4().hex))
+    # A row per date: one file.
+    entries.select("snapshot_date", "n_rows", "table", "run").repartition(1).write.mode("append").partitionBy("table", "run").parquet(f"{base}/{REGISTER}")
+    return root
+
+
+def ingested(spark: SparkSession, bronze_root: str, table: str) -> DataFrame:
+    """The dates that were ingested, empty ones included."""
+    register = readers.read_store(spark, f"{bronze_root.rstrip('/')}/{REGISTER}", schema=REGISTER_TYPE)
+    return register.where(F.col("table") == table).select("snapshot_date").distinct()
 
 
 # --- silver ----------------------------------------------------------------
@@ -122,14 +156,23 @@ CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def silver_schema(spark: SparkSession, table: str) -> StructType:
+    cleaned = CLEANERS[table](spark.createDataFrame([], bronze_schema(table))).schema
+    # A partition column is read as the last one.
+    return StructType([*[f for f in cleaned if f.name != features.DATE], cleaned[features.DATE]])
+
+
 def refine(
     spark: SparkSession, table: str, bronze_root: str, silver_root: str, days: Sequence[str] | None = None
 ) -> str:
-    """Bronze to silver for the given dates, or all of them."""
-    raw = readers.read_store(spark, f"{bronze_root.rstrip('/')}/{table}", merge_schema=False)
-    if days is not None:
+    """Bronze to silver for the given dates, or all that were ingested; dates without rows end up empty."""
+    raw = readers.read_store(spark, f"{bronze_root.rstrip('/')}/{table}", schema=bronze_schema(table))
+    if days is None:
+        # One row per snapshot date.
+        days = sorted(str(r["snapshot_date"]) for r in ingested(spark, bronze_root, table).collect())
+    else:
         raw = readers.snapshots(raw, "snapshot_date", days)
-    return writers.write_snapshots(CLEANERS[table](raw), f"{silver_root.rstrip('/')}/{table}")
+    return writers.write_snapshots(CLEANERS[table](raw), f"{silver_root.rstrip('/')}/{table}", days=days)
 
 
 # --- gold ------------------------------------------------------------------
@@ -162,9 +205,12 @@ def build_gold(
     spark: SparkSession, silver_root: str, gold_root: str,
     ingested_clicks: DataFrame, days: Sequence[str] | None = None, dpd: int = 30, mob: int = 6,
 ) -> dict[str, str]:
-    """Silver to both gold stores for the given dates, or all of them."""
+    """Silver to both gold stores for the given dates, or all of them.
+
+    ``ingested_clicks`` lists the clickstream dates that exist (see ``ingested``).
+    """
     silver = {
-        t: readers.read_store(spark, f"{silver_root.rstrip('/')}/{t}", merge_schema=False)
+        t: readers.read_store(spark, f"{silver_root.rstrip('/')}/{t}", schema=silver_schema(spark, t))
         for t in ("attributes", "financials", "clickstream", "lms")
     }
 
@@ -177,6 +223,6 @@ def build_gold(
     labels = label_store(only(silver["lms"]), dpd, mob)
     root = gold_root.rstrip("/")
     return {
-        "feature_store": writers.write_snapshots(store, f"{root}/feature_store"),
-        "label_store": writers.write_snapshots(labels, f"{root}/label_store"),
+        "feature_store": writers.write_snapshots(store, f"{root}/feature_store", days=days),
+        "label_store": writers.write_snapshots(labels, f"{root}/label_store", days=days),
     }

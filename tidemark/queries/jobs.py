@@ -6,14 +6,15 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import features
 from tidemark.plans import monitoring, rules, tables
 from tidemark.queries import standins as st
 from tidemark.queries.alerting import MONITOR_SQL, TRAINING_AUC
-from tidemark.queries.base import present, query
+from tidemark.queries.base import present, query, table
 from tidemark.queries.cleaning import LABEL_SELECT, LOAN_SELECT
 from tidemark.queries.sqltext import d, r
 from tidemark.session import shared_dir
-from tidemark.sources import readers
+from tidemark.sources import readers, writers
 
 
 def _floats(columns, digits=4):
@@ -132,8 +133,7 @@ def job_tables(spark, sf):
         make(spark, sf).write.option("header", True).csv(source)
         tables.ingest(spark, name, source, bronze)
         tables.refine(spark, name, bronze, silver)
-    clicks = readers.read_store(spark, f"{silver}/clickstream", False).select("snapshot_date")
-    roots = tables.build_gold(spark, silver, gold, clicks)
+    roots = tables.build_gold(spark, silver, gold, tables.ingested(spark, bronze, "clickstream"))
     parts = [
         readers.read_store(spark, root).groupBy("snapshot_date").agg(F.count("*").alias("n_rows"))
         .select(F.lit(name).alias("store"), "snapshot_date", "n_rows")
@@ -142,6 +142,44 @@ def job_tables(spark, sf):
     return present(parts[0].unionByName(parts[1]))
 
 
+def _month_sql(c: str) -> str:
+    return f"CAST(date_trunc('month', {c}) AS DATE)"
+
+
+@query("ingest_empty_snapshot", f"""
+WITH orders_of AS (SELECT o_custkey, count(*) AS n FROM orders WHERE date_trunc('month', o_orderdate) = DATE '1996-03-01' GROUP BY 1)
+SELECT 'C' || c_custkey AS Customer_ID, '1996-04-01' AS snapshot_date, CAST(coalesce(n, 0) AS BIGINT) AS visit_frequency FROM customer LEFT JOIN orders_of ON o_custkey = c_custkey
+UNION ALL SELECT 'C' || c_custkey, '1996-05-01', 0 FROM customer
+UNION ALL SELECT 'C' || c_custkey, '1996-06-01', NULL FROM customer""")
+def ingest_empty_snapshot(spark, sf):
+    """March has clicks, April is ingested without rows, May was never ingested."""
+    customer = F.concat(F.lit("C"), F.col("o_custkey").cast("string"))
+    clicks = table(spark, sf, "orders").where("date_trunc('month', o_orderdate) = '1996-03-01'").select(
+        *[F.lit("1").alias(c) for c in rules.CLICK_FEATURES], customer.alias("Customer_ID"), F.lit("1996-03-01").alias("snapshot_date"))
+    source, bronze, silver = (shared_dir(spark, x) for x in ("source", "bronze", "silver"))
+    clicks.select(*rules.RAW_LAYOUTS["clickstream"]).write.option("header", True).csv(source)
+    tables.ingest(spark, "clickstream", source, bronze, ["1996-03-01", "1996-04-01"])
+    tables.refine(spark, "clickstream", bronze, silver)
+    store = readers.read_store(spark, f"{silver}/clickstream", schema=tables.silver_schema(spark, "clickstream"))
+    months = F.explode(F.array(*[F.lit(m).cast("date") for m in ("1996-04-01", "1996-05-01", "1996-06-01")]))
+    spine = table(spark, sf, "customer").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("Customer_ID"), months.alias("snapshot_date"))
+    joined = features.lagged_join(
+        spine, features.activity_rollup(store), tables.ingested(spark, bronze, "clickstream"), ["visit_frequency"], ["visit_frequency"])
+    return present(joined.select("Customer_ID", "snapshot_date", "visit_frequency"))
+
+
+@query("rewrite_to_empty", f"""
+SELECT {d(_month_sql('o_orderdate'))} AS snapshot_date, count(*) AS n_rows FROM orders
+WHERE date_trunc('month', o_orderdate) NOT IN (DATE '1996-03-01', DATE '1997-05-01') GROUP BY 1""")
+def rewrite_to_empty(spark, sf):
+    """Two months are written again: one without rows, one that is then withdrawn."""
+    rows = table(spark, sf, "orders").select("o_orderkey", F.trunc("o_orderdate", "month").alias("snapshot_date"))
+    root = writers.write_snapshots(rows, shared_dir(spark, "rewrite"))
+    for day in ("1996-03-01", "1997-05-01"):
+        writers.write_snapshots(rows.where("false"), root, days=[day])
+    return present(readers.read_store(spark, root).groupBy("snapshot_date").agg(F.count("*").alias("n_rows")))
+
+
 def monitoring_run(spark, sf):
     store = st.line_store(spark, sf, scaled=True)
     return monitoring.monitor(

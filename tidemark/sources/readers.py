@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, NumericType, StringType, StructField, StructType
@@ -41,8 +42,15 @@ def since(df: DataFrame, date: str, day: str) -> DataFrame:
     return df.where(F.col(date) >= F.lit(day).cast("date"))
 
 
-def read_store(spark: SparkSession, root: str, merge_schema: bool = True) -> DataFrame:
-    """A whole store, all partitions; columns added later are null in older ones."""
+def read_store(
+    spark: SparkSession, root: str, merge_schema: bool = True, schema: StructType | None = None
+) -> DataFrame:
+    """A whole store, all partitions; columns added later are null in older ones.
+
+    With a schema no file is opened while planning, and a store without any rows is an empty table.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(root)
     return spark.read.option("mergeSchema", merge_schema).parquet(root)
 
 
@@ -66,8 +74,28 @@ def reconcile(df: DataFrame, target: StructType) -> DataFrame:
 
 
 def partition_schemas(spark: SparkSession, paths: Sequence[str]) -> dict[str, StructType]:
-    """Schema of each partition folder, read from file footers only."""
-    return {p: spark.read.parquet(p).schema for p in paths}
+    """Schema of each partition folder, read from file footers only.
+
+    Columns that a folder's name holds (``date=2024-01-01``) are part of it.
+    Listing and reading footers are Spark jobs; the calls for the folders wait
+    for them side by side.
+    """
+    def found(path: str) -> StructType:
+        return spark.read.option("basePath", _base(path)).parquet(path).schema
+
+    with ThreadPoolExecutor(FOOTER_CALLS) as pool:
+        return dict(zip(paths, pool.map(found, paths)))
+
+
+#: Folders whose footers are asked for at a time.
+FOOTER_CALLS = 16
+
+
+def _base(path: str) -> str:
+    """The part of a path above the folders that name a partition."""
+    parts = path.rstrip("/").split("/")
+    named = [i for i, part in enumerate(parts) if "=" in part]
+    return "/".join(parts[: named[0]]) if named else path
 
 
 def read_reconciled(
@@ -75,15 +103,17 @@ def read_reconciled(
 ) -> DataFrame:
     """Partitions whose column types drifted, as one table of the target schema.
 
-    Folders that share a schema are read by one scan; the union is by name.
+    Folders that share a schema and a store are read by one scan; the union is by name.
     """
-    groups: dict[str, list[str]] = {}
+    groups: dict[tuple[str, str], list[str]] = {}
     for path, schema in partition_schemas(spark, paths).items():
-        groups.setdefault(schema.json(), []).append(path)
-    parts = [
-        reconcile(spark.read.schema(StructType.fromJson(json.loads(js))).parquet(*members), target)
-        for js, members in groups.items()
-    ]
+        store = _base(path) if "=" in path else ""
+        groups.setdefault((schema.json(), store), []).append(path)
+    parts = []
+    for (js, store), members in groups.items():
+        reader = spark.read.schema(StructType.fromJson(json.loads(js)))
+        reader = reader.option("basePath", store) if store else reader
+        parts.append(reconcile(reader.parquet(*members), target))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

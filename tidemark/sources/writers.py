@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Column types of the prediction store (fixed values; the date is a real date).
 PREDICTION_TYPES = {
@@ -14,14 +16,25 @@ PREDICTION_TYPES = {
 }
 
 
+def _files(spark: SparkSession, root: str, date: str, day: str) -> tuple[object, object, set[str]]:
+    """File system, folder and file names of one date of a partitioned store."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{date}={day}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, folder, {f.getPath().getName() for f in fs.listStatus(folder)} if fs.exists(folder) else set()
+
+
 def write_snapshots(
-    df: DataFrame, root: str, date: str = "snapshot_date", fmt: str = "parquet"
+    df: DataFrame, root: str, date: str = "snapshot_date", fmt: str = "parquet", days: Sequence[str] | None = None
 ) -> str:
     """Write any number of snapshots; a date that is written again is replaced.
 
     Rows are clustered by date first, so each date gets few files; the
     rebalance splits a date that holds most of the rows over several tasks.
+    ``days`` names the dates that this write stands for: those of them without
+    rows are empty afterwards.
     """
+    spark = df.sparkSession
+    before = {day: _files(spark, root, date, day)[2] for day in days or ()}
     (
         df.hint("rebalance", F.col(date))
         .write.partitionBy(date)
@@ -31,13 +44,17 @@ def write_snapshots(
         .format(fmt)
         .save(root)
     )
+    for day, old in before.items():
+        fs, folder, now = _files(spark, root, date, day)
+        if old & now:  # not replaced: the date has no rows any more
+            fs.delete(folder, True)
     return root
 
 
-def write_predictions(df: DataFrame, root: str) -> str:
+def write_predictions(df: DataFrame, root: str, days: Sequence[str] | None = None) -> str:
     """The prediction store: fixed column types, one partition per inference date."""
     typed = df.select(*[F.col(c).cast(t).alias(c) for c, t in PREDICTION_TYPES.items()])
-    return write_snapshots(typed, root, date="inference_date")
+    return write_snapshots(typed, root, date="inference_date", days=days)
 
 
 def write_predictions_csv(df: DataFrame, path: str) -> str:
@@ -69,6 +86,6 @@ def write_summary(df: DataFrame, path: str) -> str:
 
 
 def write_table_csv(df: DataFrame, path: str) -> str:
-    """A small report table (importances, PSI, statistics) as CSV."""
-    df.repartition(1).write.option("header", True).mode("overwrite").csv(path)
+    """A report table (importances, PSI, statistics) as CSV, in as few files as its size asks for."""
+    df.hint("rebalance").write.option("header", True).mode("overwrite").csv(path)
     return path
