@@ -28,7 +28,21 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+#: Bytes of an Arrow batch.  Two workers share an executor with the JVM, and texts are long.
+BATCH_BYTES = 16 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hold Arrow batches at ``BATCH_BYTES`` from now on, unless the session asks for less."""
+    now = spark.conf.get(_BATCH)
+    if not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for a registered query."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -49,7 +63,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds about ``most_bytes`` a piece."""
     for batch in batches:
         if batch.num_rows == 0:

@@ -251,13 +251,12 @@ class Pieces:
         if len(self.recent) > CACHE:
             self.recent, self.older = {}, self.recent
         recent, older, new = self.recent, self.older, []
-        for word in {w for words in cut for w in words}:
-            if word not in recent:
-                known = older.get(word)
-                if known is None:
-                    new.append(word)
-                else:
-                    recent[word] = known
+        for word in {w for words in cut for w in words if w not in recent}:
+            known = older.get(word)
+            if known is None:
+                new.append(word)
+            else:
+                recent[word] = known
         recent.update(zip(new, self.encode_words(new)))
         return [np.frombuffer(b"".join([recent[w] for w in words]), np.int32) for words in cut]
 

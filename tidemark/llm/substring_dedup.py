@@ -37,6 +37,8 @@ from tidemark.llm.common import as_bytes, pieces, power_of_two, query, shuffle_p
 
 WINDOW = 50
 BLOCK = 25
+#: Text of a chunk; the arrays over it take about a hundred times as much.
+CHUNK_BYTES = 1 << 20
 #: From here on numbers stand for rows without an id.
 NO_ID = 1 << 62
 _LANES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)  # odd bases of the two rolling hashes
@@ -80,7 +82,7 @@ def _powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     known = _POWERS.get(base)
     if known is None or len(known) < n:
-        known = np.ones(power_of_two(max(n, 1 << 20)), np.uint64)
+        known = np.ones(power_of_two(max(n, 1 << 18)), np.uint64)
         size = 1
         while size < len(known):
             known[size : 2 * size] = known[:size] * np.uint64(pow(base, size, 1 << 64))
@@ -139,7 +141,7 @@ def _anchor_chunks(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
-        for piece in pieces(batches):
+        for piece in pieces(batches, most_bytes=CHUNK_BYTES):
             texts = as_bytes(piece.column("text"))
             words = Words(texts)
             chunk = part << 24 | seq
@@ -271,7 +273,7 @@ def _window_chunks(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
-        for piece in pieces(batches):
+        for piece in pieces(batches, most_bytes=CHUNK_BYTES):
             chunk = part << 24 | seq
             seq += 1
             ids, texts = piece.column("id").to_pylist(), as_bytes(piece.column("text"))

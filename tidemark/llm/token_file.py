@@ -38,7 +38,9 @@ MAGIC = b"TMEF0001"
 SAMPLE = 256
 END_ID = 2
 #: Words kept with their ids in a worker.
-CACHE = 200_000
+CACHE = 300_000
+#: New words that are encoded as one text.
+TOGETHER = 64
 
 
 class EliasFano:
@@ -96,13 +98,14 @@ class EliasFano:
 # A text is cut before each run of these four characters.  The tokenizer's own word
 # pattern has a boundary there too, so the pieces encode one by one; texts with any
 # other white space are encoded whole.
+_SPACE = frozenset(" \n\r\t")
 _PIECE = re.compile("[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
 _OTHER_SPACE = re.compile("[" + "".join(map(chr, (
     0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF))) + "]")
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library; words that come again are looked up."""
+    """Ids of whole texts by a byte-level model of the tokenizers library; words that come again are looked up."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -111,29 +114,47 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        # A byte-level token is written with one character per byte.
+        self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())])
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of pieces that start with white space and end without, many to a call.
+
+        One behind the other they have a boundary at each joint; how many bytes
+        each id stands for tells the words apart again.
+        """
+        groups = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        out: list[bytes] = []
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, self.dtype)
+            ends = np.cumsum([len(w.encode()) for w in group])
+            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+            packed, size = ids.tobytes(), self.dtype.itemsize
+            out += [packed[a * size : b * size] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
         cut = [None if _OTHER_SPACE.search(t) else _PIECE.findall(t) for t in texts]
         if len(self.recent) > CACHE:
             self.recent, self.older = {}, self.recent
         recent, older = self.recent, self.older
-        missing = []
-        for word in {w for words in cut if words for w in words}:
-            if word not in recent:
-                known = older.get(word)
-                if known is None:
-                    missing.append(word)
-                else:
-                    recent[word] = known
-        for at in range(0, len(missing), 4096):
-            some = missing[at : at + 4096]
-            recent.update(zip(some, self._ids(some)))
+        inner, outer = [], []
+        for word in {w for words in cut if words for w in words if w not in recent}:
+            known = older.get(word)
+            if known is not None:
+                recent[word] = known
+            elif word[0] in _SPACE and word[-1] not in _SPACE:
+                inner.append(word)
+            else:
+                outer.append(word)
+        recent.update(zip(inner, self._word_ids(inner)))
+        recent.update(zip(outer, self._ids(outer)))
         return [self._ids([t])[0] if words is None else b"".join([recent[w] for w in words]) for t, words in zip(texts, cut)]
 
 

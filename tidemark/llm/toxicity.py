@@ -9,7 +9,8 @@ from 0 to 1.
 
 Lexicon, weights and curve are learned from labelled rows: at most
 ``SAMPLE_ROWS`` of each label, taken by a hash of their id.  An entry's weight is
-the log ratio of the shares of toxic and of clean texts that hold it.
+a cautious log ratio of the shares of toxic and of clean texts that hold it: what is left after
+``CAUTION`` standard errors, so an entry that few texts hold weighs little.
 
 Null and empty texts have no hits and take the curve's lowest score.  Labels of rows without a
 text, and null labels, are not used.  Without toxic or clean rows to learn from, the
@@ -34,11 +35,11 @@ from tidemark.llm.common import as_bytes, pieces, query, stored, table
 #: Labelled rows of each label that are learned from, at most.
 SAMPLE_ROWS = 6000
 #: Entries of the lexicon, at most.
-MAX_ENTRIES = 2000
+MAX_ENTRIES = 150
 #: Toxic texts that must hold an entry, at least, as a share of the sample, and as a number.
 MIN_SHARE, MIN_TEXTS = 0.005, 5
-#: Log ratio from which on an entry is used.
-MIN_WEIGHT = 2.5
+#: Weight from which on an entry is used, and the standard errors taken off it.
+MIN_WEIGHT, CAUTION = 1.5, 1.64
 PREFIXES = range(4, 9)
 #: Phrases (folded) in which an entry is harmless.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "sore loser wins")
@@ -182,7 +183,8 @@ def learn(rows: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
         return Lexicon({}, exceptions)
     spread = rows.repartition(max(1, min(200, (n_toxic + n_clean) // 200)))
     counts = spread.mapInArrow(_count_features, _COUNTS).groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    weight = F.log(((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((F.col("clean") + 0.5) / (n_clean + 1)))
+    ratio = F.log(((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((F.col("clean") + 0.5) / (n_clean + 1)))
+    weight = ratio - CAUTION * F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     least = max(MIN_TEXTS, math.ceil(MIN_SHARE * n_toxic))
     best = counts.withColumn("w", weight).filter((F.col("toxic") >= least) & (F.col("w") >= MIN_WEIGHT)).orderBy(F.desc("w"), "entry").limit(MAX_ENTRIES)
     lexicon = Lexicon({r["entry"]: r["w"] for r in best.collect()}, exceptions)
@@ -199,8 +201,8 @@ def learn(rows: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
 
 
 def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic slope and offset by Newton steps, with a slight pull to 0; both labels weigh the same."""
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+    """Logistic slope and offset by Newton steps, with a slight pull to 0."""
+    weight = np.full(len(y), 1.0 / len(y))
     design, beta, pull = np.stack([x, np.ones_like(x)], 1), np.zeros(2), np.diag([1e-4, 1e-6])
     for _ in range(50):
         p = 1.0 / (1.0 + np.exp(-np.clip(design @ beta, -30, 30)))
