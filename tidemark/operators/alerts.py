@@ -12,12 +12,43 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 ALERT_SCHEMA = "priority int, severity string, category string, message string, recommendation string, metrics map<string,double>, features array<string>"
 
-# Advice that closes every report (fixed values).
+# Sentences of stored monitoring summaries.
+DRIFT_SIGNIFICANT = "Significant population drift detected in %d periods (PSI >= {threshold})"
+DRIFT_MODERATE = "Moderate population drift detected in %d periods"
+DRIFT_SIGNIFICANT_ADVICE = "Model retraining strongly recommended"
+DRIFT_MODERATE_ADVICE = "Monitor closely and investigate root causes"
+DEGRADED = "Production AUC (%.4f) significantly lower than training (%.4f)"
+DEGRADED_ADVICE = "Investigate model degradation and consider retraining"
+FEATURES_DRIFTED = "%d features showing significant drift"
+FEATURES_DRIFTED_ADVICE = "Investigate feature changes and data pipeline"
+MISSING_VALUES = "Missing value rate exceeds {limit}%% (max: %.2f%%)"
+MISSING_VALUES_ADVICE = "Review data pipeline and investigate missing data sources"
+URGENT = "URGENT: %d critical issue(s) detected - immediate action required"
 STANDING_ADVICE = (
     "Continue monitoring model performance monthly",
     "Set up automated alerts for PSI > 0.2 or feature drift > 0.2",
     "Schedule quarterly model performance reviews",
 )
+RETRAIN_DRIFT = "Significant population drift in %d periods"
+RETRAIN_DROP = "AUC dropped by %.4f from training baseline"
+RETRAIN = "Model retraining recommended"
+NO_RETRAIN = "Model is stable, no retraining needed"
+
+# The longer report has sentences of its own.
+EXTENDED = {
+    "degraded": "Act now: AUC in production is %.4f, well below the %.4f of training.",
+    "falling": "Watch: AUC went from %.4f in the first periods to %.4f in the last ones.",
+    "drift": "Act now: scores have moved away from the first period; plan a retraining.",
+    "some_drift": "Watch: scores have moved a little; find out why before they move further.",
+    "no_drift": "Scores are where they were; nothing to do.",
+    "features": "Act now: %d features have drifted; trace each to its source table.",
+    "missing": "Watch: some month lacks more than {limit} %% of its values; check that month's load.",
+    "variable": "Watch: the share of predicted defaults jumps between periods; check the inputs.",
+    "monthly": "Go through these tables every month.",
+    "drift_alarm": "Raise an alarm by machine when a PSI passes 0.2, for scores or for a feature.",
+    "auc_alarm": "Raise an alarm by machine when AUC falls five points below training.",
+    "quarterly": "Review the model as a whole once a quarter.",
+}
 
 
 def _alert(
@@ -54,16 +85,9 @@ def drift_alert(psi_summary: DataFrame, psi_threshold: float = 0.2) -> DataFrame
             "population_drift",
             F.when(
                 significant,
-                F.format_string(
-                    f"Significant population drift detected in %d periods (PSI >= {psi_threshold})",
-                    "n_significant",
-                ),
-            ).otherwise(
-                F.format_string("Moderate population drift detected in %d periods", "n_moderate")
-            ),
-            F.when(significant, "Model retraining strongly recommended").otherwise(
-                "Monitor closely and investigate root causes"
-            ),
+                F.format_string(DRIFT_SIGNIFICANT.format(threshold=psi_threshold), "n_significant"),
+            ).otherwise(F.format_string(DRIFT_MODERATE, "n_moderate")),
+            F.when(significant, DRIFT_SIGNIFICANT_ADVICE).otherwise(DRIFT_MODERATE_ADVICE),
             F.when(
                 significant,
                 F.create_map(F.lit("max_psi"), F.col("max_psi"), F.lit("avg_psi"), F.col("avg_psi")),
@@ -80,11 +104,8 @@ def degradation_alert(performance: DataFrame, auc_drop: float = 0.05) -> DataFra
             2,
             "critical",
             "performance_degradation",
-            F.format_string(
-                "Production AUC (%.4f) significantly lower than training (%.4f)",
-                "avg_auc", "training_test_auc",
-            ),
-            "Investigate model degradation and consider retraining",
+            F.format_string(DEGRADED, "avg_auc", "training_test_auc"),
+            DEGRADED_ADVICE,
             F.create_map(F.lit("auc_drop"), F.col("auc_difference")),
         )
     )
@@ -96,8 +117,8 @@ def feature_drift_alert(drift_summary: DataFrame) -> DataFrame:
             3,
             "high",
             "feature_drift",
-            F.format_string("%d features showing significant drift", "n_features_high_drift"),
-            "Investigate feature changes and data pipeline",
+            F.format_string(FEATURES_DRIFTED, "n_features_high_drift"),
+            FEATURES_DRIFTED_ADVICE,
             features=F.col("features_high_drift"),
         )
     )
@@ -109,10 +130,8 @@ def quality_alert(quality_summary: DataFrame, missing_rate: float = 5.0) -> Data
             4,
             "warning",
             "data_quality",
-            F.format_string(
-                f"Missing value rate exceeds {missing_rate}%% (max: %.2f%%)", "max_missing_rate_pct"
-            ),
-            "Review data pipeline and investigate missing data sources",
+            F.format_string(MISSING_VALUES.format(limit=missing_rate), "max_missing_rate_pct"),
+            MISSING_VALUES_ADVICE,
         )
     )
 
@@ -151,7 +170,7 @@ def recommendations(alert_rows: DataFrame) -> DataFrame:
     )
     header = F.when(
         F.col("n") > 0,
-        F.array(F.format_string("URGENT: %d critical issue(s) detected - immediate action required", "n")),
+        F.array(F.format_string(URGENT, "n")),
     ).otherwise(F.array().cast("array<string>"))
     specific = F.array_distinct(F.transform("advice", lambda a: a["recommendation"]))
     standing = F.array(*[F.lit(s) for s in STANDING_ADVICE])
@@ -173,15 +192,13 @@ def retrain_decision(
     )
     drifted = psi_summary.where(F.col("n_significant") >= periods).select(
         F.lit(2).alias("rule"), F.lit(0).alias("priority"),
-        F.format_string("Significant population drift in %d periods", "n_significant").alias("reason"),
+        F.format_string(RETRAIN_DRIFT, "n_significant").alias("reason"),
     )
     dropped = performance.where(
         (F.col("performance_status") == "degraded") & (F.col("auc_difference") < -auc_drop)
     ).select(
         F.lit(3).alias("rule"), F.lit(0).alias("priority"),
-        F.format_string(
-            "AUC dropped by %.4f from training baseline", F.abs(F.col("auc_difference"))
-        ).alias("reason"),
+        F.format_string(RETRAIN_DROP, F.abs(F.col("auc_difference"))).alias("reason"),
     )
     reasons = F.array_sort(F.collect_list(F.struct("rule", "priority", "reason")))
     return (
@@ -191,8 +208,8 @@ def retrain_decision(
         .select(
             (F.size("reasons") > 0).alias("should_retrain"),
             "reasons",
-            F.when(F.size("reasons") > 0, "Model retraining recommended")
-            .otherwise("Model is stable, no retraining needed")
+            F.when(F.size("reasons") > 0, RETRAIN)
+            .otherwise(NO_RETRAIN)
             .alias("recommendation"),
         )
     )
@@ -214,33 +231,21 @@ def extended_recommendations(
         return df.where(test).select(F.lit(position).alias("position"), text.alias("recommendation"))
 
     available = F.col("evaluation_available")
+    say = {k: F.lit(v.format(limit=f"{missing_rate:g}").replace("%%", "%")) for k, v in EXTENDED.items()}
     parts = [
-        rows(1, performance, F.col("avg_auc") < F.col("training_test_auc") - auc_drop, F.format_string(
-            "CRITICAL: Production AUC (%.4f) significantly lower than training (%.4f). "
-            "Model degradation detected!", "avg_auc", "training_test_auc")),
-        rows(2, trend, (F.col("n_periods") >= 3) & (F.col("change") < -trend_drop), F.format_string(
-            "WARNING: AUC declining over time (early: %.4f, recent: %.4f). Monitor closely.",
-            "early", "recent")),
-        rows(3, psi_summary, F.lit(True), F.when(
-            F.col("n_significant") > 0,
-            "CRITICAL: Significant population drift detected. Model retraining is strongly recommended.",
-        ).when(
-            F.col("n_moderate") > 0,
-            "CAUTION: Moderate population drift detected. Continue monitoring and investigate root causes.",
-        ).otherwise("Population is stable. No immediate action required.")),
-        rows(4, drift_summary, F.col("n_features_high_drift") > 0, F.format_string(
-            "CRITICAL: %d features showing significant drift. Investigate feature changes.",
-            "n_features_high_drift")),
-        rows(5, quality_summary, F.col("max_missing_rate_pct") > missing_rate, F.lit(
-            "CAUTION: Missing value rate exceeds 5% in some months. Review data pipeline.")),
-        rows(6, variability, F.col("high_variability"), F.lit(
-            "CAUTION: High variability in predicted default rates. "
-            "Investigate potential data quality issues.")),
-        rows(7, performance, F.lit(True), F.lit("Continue monitoring model performance monthly.")),
-        rows(8, performance, F.lit(True), F.lit(
-            "Set up automated alerts for PSI > 0.2 or feature drift > 0.2.")),
-        rows(9, performance, available, F.lit(
-            "Set up automated alerts for AUC drops > 5% from training baseline.")),
-        rows(10, performance, F.lit(True), F.lit("Schedule quarterly model performance reviews.")),
+        rows(1, performance, F.col("avg_auc") < F.col("training_test_auc") - auc_drop,
+             F.format_string(EXTENDED["degraded"], "avg_auc", "training_test_auc")),
+        rows(2, trend, (F.col("n_periods") >= 3) & (F.col("change") < -trend_drop),
+             F.format_string(EXTENDED["falling"], "early", "recent")),
+        rows(3, psi_summary, F.lit(True), F.when(F.col("n_significant") > 0, say["drift"])
+             .when(F.col("n_moderate") > 0, say["some_drift"]).otherwise(say["no_drift"])),
+        rows(4, drift_summary, F.col("n_features_high_drift") > 0,
+             F.format_string(EXTENDED["features"], "n_features_high_drift")),
+        rows(5, quality_summary, F.col("max_missing_rate_pct") > missing_rate, say["missing"]),
+        rows(6, variability, F.col("high_variability"), say["variable"]),
+        rows(7, performance, F.lit(True), say["monthly"]),
+        rows(8, performance, F.lit(True), say["drift_alarm"]),
+        rows(9, performance, available, say["auc_alarm"]),
+        rows(10, performance, F.lit(True), say["quarterly"]),
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -78,18 +78,46 @@ def monitor(
 
 
 def summary_document(result: MonitoringResult, spark: SparkSession, timestamp: str) -> DataFrame:
-    """One nested row with every summary, the alerts and the advice.
+    """One nested row with every summary, the alerts with their metrics, and the advice.
 
-    The parts are one-row tables, taken in as scalar subqueries.
+    The parts are one-row tables, taken in as scalar subqueries.  Keys that a
+    part leaves out are null.
     """
     def whole(df: DataFrame):
         return df.select(F.struct(*df.columns).alias("s")).scalar()
 
-    raised = result.alerts.agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(*result.alerts.columns[:5]))), lambda a: a.dropFields("priority")
-        ).alias("a")
-    ).scalar()
+    p = whole(result.performance_summary)
+    # Without an evaluated period only that is said.
+    evaluated = lambda c: F.when(p["evaluation_available"], c)
+    performance = F.struct(
+        p["evaluation_available"].alias("evaluation_available"),
+        evaluated(F.struct(p["period_start"].alias("start"), p["period_end"].alias("end"))).alias("evaluation_period"),
+        p["total_samples_evaluated"].alias("total_samples_evaluated"),
+        evaluated(F.struct(*[p[f"avg_{m}"].alias(m) for m in ("auc", "accuracy", "precision", "recall", "f1_score")])).alias("avg_metrics"),
+        evaluated(F.struct(p["auc_min"].alias("auc_min"), p["auc_max"].alias("auc_max"))).alias("metric_ranges"),
+        evaluated(F.struct(*[p[f"avg_{m}"].alias(f"avg_{m}") for m in (
+            "actual_default_rate", "predicted_default_rate", "false_negative_rate", "false_positive_rate")])).alias("business_metrics"),
+        F.when(p["training_test_auc"].isNotNull(), evaluated(F.struct(
+            p["training_test_auc"].alias("training_test_auc"), p["avg_auc"].alias("production_avg_auc"),
+            p["auc_difference"].alias("auc_difference"), p["performance_status"].alias("performance_status")))).alias("training_comparison"),
+    )
+    f = whole(result.drift_summary.withColumn("top_drifting_features", F.map_from_entries(
+        F.transform("top_drifting_features", lambda x: F.struct(x["feature"], x["avg_psi"])))))
+    drift = F.struct(
+        f["n_features_monitored"].alias("n_features_monitored"),
+        f["avg_feature_psi"].alias("avg_feature_psi"),
+        f["top_drifting_features"].alias("top_drifting_features"),
+        f["features_high_drift"].alias("features_high_drift"),
+        f["n_features_high_drift"].alias("n_features_high_drift"),
+    )
+    # At most one alert per rule.
+    raised = result.alerts.agg(F.transform(
+        F.array_sort(F.collect_list(F.struct(
+            "priority", "severity", "category", "message", "recommendation", F.to_json("metrics").alias("metrics"), "features"))),
+        lambda a: F.struct(
+            a["severity"], a["category"], a["message"], a["recommendation"],
+            F.from_json(a["metrics"], "map<string,double>").alias("metrics"), a["features"]),
+    ).alias("a")).scalar()
     advice = result.recommendations.agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("position", "recommendation"))),
@@ -99,8 +127,8 @@ def summary_document(result: MonitoringResult, spark: SparkSession, timestamp: s
     return spark.range(1).select(
         F.lit(timestamp).alias("timestamp"),
         whole(result.psi_summary).alias("psi_summary"),
-        whole(result.performance_summary).alias("performance_summary"),
-        whole(result.drift_summary).alias("feature_drift_summary"),
+        performance.alias("performance_summary"),
+        drift.alias("feature_drift_summary"),
         whole(result.quality_summary).alias("data_quality_summary"),
         raised.alias("alerts"),
         advice.alias("recommendations"),

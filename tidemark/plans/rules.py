@@ -115,6 +115,19 @@ UTILISATION_DEFAULT = "very_low"
 
 # --- validation ------------------------------------------------------------
 
+# Null rates in percent: accepted below the first, failed at the second.
+ACCEPTED_NULLS = {"Num_Credit_Inquiries": (10.0, 100.0)}
+
+ACCEPTED_BOUNDS = {
+    "Num_of_Loan": (0, 20),
+    "Num_of_Delayed_Payment": (0, 100),
+    "Annual_Income": (0, 1000000),
+    "Amount_invested_monthly": (0, 10000),
+    "Monthly_Balance": (-10000, 100000),
+    "Outstanding_Debt": (0, 50000),
+    "Delay_from_due_date": (0, 365),
+}
+
 SANITY_BOUNDS = {
     "Monthly_Balance": (-1e10, 1e10),
     "Annual_Income": (0, 10000000),

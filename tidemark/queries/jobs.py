@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from tidemark.operators import features
-from tidemark.plans import monitoring, rules, tables
+from tidemark.plans import acceptance, monitoring, rules, tables
 from tidemark.queries import standins as st
 from tidemark.queries.alerting import MONITOR_SQL, TRAINING_AUC
 from tidemark.queries.base import present, query, table
@@ -180,6 +180,26 @@ def rewrite_to_empty(spark, sf):
     return present(readers.read_store(spark, root).groupBy("snapshot_date").agg(F.count("*").alias("n_rows")))
 
 
+def _acceptance_sql() -> str:
+    parts = [
+        f"""SELECT 'null_rate' AS check, '{c}' AS column_name, {r(f'count(*) FILTER (WHERE {c} IS NULL) * 100e0 / count(*)')} AS measure,
+       CASE WHEN count(*) FILTER (WHERE {c} IS NULL) * 100e0 / count(*) < {low} THEN 'PASS'
+            WHEN count(*) FILTER (WHERE {c} IS NULL) * 100e0 / count(*) >= {high} THEN 'FAIL' ELSE 'PARTIAL' END AS status FROM financials"""
+        for c, (low, high) in rules.ACCEPTED_NULLS.items()]
+    for check, bounds in (("bounds", rules.ACCEPTED_BOUNDS), ("sanity", rules.SANITY_BOUNDS)):
+        parts += [
+            f"""SELECT '{check}', '{c}', {r(f'count(*) FILTER (WHERE {c} < {low} OR {c} > {high})')},
+       CASE WHEN count({c}) = 0 THEN 'ALL NULL' WHEN count(*) FILTER (WHERE {c} < {low} OR {c} > {high}) = 0 THEN 'PASS' ELSE 'FAIL' END FROM financials"""
+            for c, (low, high) in bounds.items()]
+    return " UNION ALL ".join(parts)
+
+
+@query("job_acceptance", f"WITH {st.FINANCIALS} {_acceptance_sql()}")
+def job_acceptance(spark, sf):
+    """The acceptance rules over the cleaned financials."""
+    return present(acceptance.accept(tables.clean_financials(st.raw_financials(spark, sf))))
+
+
 def monitoring_run(spark, sf):
     store = st.line_store(spark, sf, scaled=True)
     return monitoring.monitor(
@@ -192,7 +212,8 @@ def job_monitor(spark, sf):
     document = monitoring.summary_document(result, spark, "2024-02-01T00:00:00")
     return present(document.select(
         "psi_summary.avg_psi", "psi_summary.n_significant",
-        "performance_summary.avg_auc", "performance_summary.total_samples_evaluated", "performance_summary.performance_status",
+        F.col("performance_summary.avg_metrics.auc").alias("avg_auc"), "performance_summary.total_samples_evaluated",
+        "performance_summary.training_comparison.performance_status",
         "feature_drift_summary.n_features_monitored", "feature_drift_summary.avg_feature_psi",
         "data_quality_summary.max_missing_rate_pct", "data_quality_summary.total_duplicates",
         F.size("alerts").alias("n_alerts"),

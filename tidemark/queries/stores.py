@@ -166,18 +166,58 @@ def importance_roundtrip(spark, sf):
     return present(readers.read_importance_csv(spark, path))
 
 
+_RATES = ("actual_default_rate", "predicted_default_rate", "false_negative_rate", "false_positive_rate")
+_METRICS = ("auc", "accuracy", "precision", "recall", "f1_score")
+#: Every leaf of the document: its path, and the same in SQL.
+_LEAVES = [
+    *[(f"psi_summary.{c}", r(c)) for c in ("avg_psi", "max_psi", "min_psi")],
+    *[(f"psi_summary.{c}", f"CAST({c} AS VARCHAR)") for c in ("n_stable", "n_moderate", "n_significant")],
+    *[(f"psi_summary.{c}", d(c)) for c in ("max_psi_date", "min_psi_date")],
+    ("performance_summary.evaluation_available", "CAST(evaluation_available AS VARCHAR)"),
+    ("performance_summary.evaluation_period.start", d("period_start")), ("performance_summary.evaluation_period.end", d("period_end")),
+    ("performance_summary.total_samples_evaluated", "CAST(total_samples_evaluated AS VARCHAR)"),
+    *[(f"performance_summary.avg_metrics.{m}", r(f"avg_{m}")) for m in _METRICS],
+    *[(f"performance_summary.metric_ranges.{m}", r(m)) for m in ("auc_min", "auc_max")],
+    *[(f"performance_summary.business_metrics.avg_{m}", r(f"avg_{m}")) for m in _RATES],
+    ("performance_summary.training_comparison.training_test_auc", r("training_test_auc")),
+    ("performance_summary.training_comparison.production_avg_auc", r("avg_auc")),
+    ("performance_summary.training_comparison.auc_difference", r("auc_difference")),
+    ("performance_summary.training_comparison.performance_status", "performance_status"),
+    ("feature_drift_summary.n_features_monitored", "CAST(n_features_monitored AS VARCHAR)"),
+    ("feature_drift_summary.avg_feature_psi", r("avg_feature_psi")),
+    ("feature_drift_summary.n_features_high_drift", "CAST(n_features_high_drift AS VARCHAR)"),
+    *[(f"data_quality_summary.{c}", r(c)) for c in ("avg_missing_rate_pct", "max_missing_rate_pct", "avg_rows_per_month")],
+    ("data_quality_summary.max_missing_rate_date", d("max_missing_rate_date")),
+    ("data_quality_summary.total_duplicates", "CAST(total_duplicates AS VARCHAR)"),
+]
+
+
+def _leaf_sql(sql: str) -> str:
+    return f"CAST(CAST({sql} AS DECIMAL(20, 6)) AS VARCHAR)" if sql.startswith("(round(") else sql
+
+
 @query("summary_document", f"""
-WITH {MONITOR_SUMMARIES},{ALERTS},{RECOMMENDATIONS}
-SELECT '2024-02-01T00:00:00' AS timestamp, {r('avg_psi')} AS avg_psi, {r('avg_auc')} AS avg_auc, n_features_monitored,
-       {r('max_missing_rate_pct')} AS max_missing_rate_pct, (SELECT count(*) FROM alerts) AS n_alerts,
-       (SELECT string_agg(recommendation, ' | ' ORDER BY o) FROM advice) AS recommendations
-FROM psi_summary, performance, drift_summary, quality_summary""")
+WITH {MONITOR_SUMMARIES},{ALERTS},{RECOMMENDATIONS},
+whole AS (SELECT * FROM psi_summary, performance, drift_summary, quality_summary)
+{" UNION ALL ".join(f"SELECT '{path}' AS leaf, {_leaf_sql(sql)} AS value FROM whole" for path, sql in _LEAVES)}
+UNION ALL SELECT 'recommendations', string_agg(recommendation, ' | ' ORDER BY o) FROM advice
+UNION ALL SELECT 'alert ' || category, severity || ' | ' || message || ' | ' || recommendation FROM alerts
+UNION ALL SELECT 'alert metrics ' || category, CASE WHEN category = 'population_drift' AND severity = 'critical' THEN 'avg_psi,max_psi'
+                 WHEN category = 'performance_degradation' THEN 'auc_drop' ELSE '' END FROM alerts""")
 def summary_document(spark, sf):
-    """The stored JSON summary of a monitoring run, read back."""
+    """The stored JSON summary of a monitoring run, read back leaf by leaf."""
     result = monitoring_run(spark, sf)
     root = monitoring.store(result, spark, shared_dir(spark, "monitoring_store"), "2024-02-01T00:00:00")
-    back = readers.read_summary_documents(spark, f"{root}/monitoring_summary/*")
-    return present(back.select(
-        "timestamp", "psi_summary.avg_psi", "performance_summary.avg_auc",
-        "feature_drift_summary.n_features_monitored", "data_quality_summary.max_missing_rate_pct",
-        F.size("alerts").alias("n_alerts"), F.array_join("recommendations", " | ").alias("recommendations")))
+    back = readers.read_summary_documents(spark, f"{root}/monitoring_summary/*", monitoring.summary_document(result, spark, "").schema)
+    leaves = []
+    for path, sql in _LEAVES:
+        c = F.col(path)
+        shown = c.cast("decimal(20,6)").cast("string") if sql.startswith("(round(") else F.substring(c.cast("string"), 1, 10) if sql.startswith("strftime") else c.cast("string")
+        leaves.append(F.struct(F.lit(path).alias("leaf"), shown.alias("value")))
+    leaves.append(F.struct(F.lit("recommendations").alias("leaf"), F.array_join("recommendations", " | ").alias("value")))
+    raised = F.transform("alerts", lambda a: F.struct(
+        F.concat(F.lit("alert "), a["category"]).alias("leaf"), F.concat_ws(" | ", a["severity"], a["message"], a["recommendation"]).alias("value")))
+    metrics = F.transform("alerts", lambda a: F.struct(
+        F.concat(F.lit("alert metrics "), a["category"]).alias("leaf"),
+        F.array_join(F.array_sort(F.map_keys(F.coalesce(a["metrics"], F.from_json(F.lit("{}"), "map<string,double>")))), ",").alias("value")))
+    return back.select(F.explode(F.concat(F.array(*leaves), raised, metrics)).alias("x")).select("x.leaf", "x.value")
