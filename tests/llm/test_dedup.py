@@ -161,7 +161,7 @@ def plain_repeats(rows, width=50):
 def test_repeats(docs, rows, buckets):
     got = substring_dedup.remove_repeats(docs, buckets=buckets).collect()
     assert sorted((r["id"], r["n_words"], r["n_removed"], bytes(r["digest"])) for r in got) == plain_repeats([(r[0], r[1]) for r in rows])
-    assert sum(r["n_removed"] > 0 for r in got) > 40
+    assert sum(r["n_removed"] > 0 for r in got) > 10
     for r in got:
         assert sum(b - a for a, b in zip(r["spans"][::2], r["spans"][1::2])) == r["n_removed"]
 
