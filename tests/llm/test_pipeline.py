@@ -11,7 +11,7 @@ import sentencepiece
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline  # noqa: E402
-from conftest import DOCS, LABELS  # noqa: E402  (the folder's own)
+from llm_tables import DOCS, LABELS  # noqa: E402
 from test_dedup import plain_components, plain_fingerprint  # noqa: E402
 from tidemark.llm import toxicity  # noqa: E402
 from tidemark.llm.queries import ORACLES, QUERIES  # noqa: E402

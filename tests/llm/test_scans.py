@@ -5,6 +5,7 @@ import re
 import zlib
 
 import pytest
+from llm_tables import DOCS, LABELS
 
 from tidemark.llm import licenses, toxicity, url_rules
 
@@ -81,8 +82,6 @@ def labelled(n=400):
 
 
 def test_held_out_accuracy(spark, no_docs):
-    from conftest import DOCS, LABELS  # the folder's own
-
     docs, labels = labelled()
     docs_df, labels_df = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels + [(None, 1, 1), (3, 1, None)], LABELS)
     score = toxicity.learned_scorer(docs_df, labels_df)
@@ -98,8 +97,6 @@ def test_held_out_accuracy(spark, no_docs):
 
 
 def test_held_out_rows_are_not_learned_from(spark):
-    from conftest import DOCS, LABELS
-
     docs, labels = labelled(100)
     rows = toxicity.training_rows(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS))
     assert rows.count() == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(100))
