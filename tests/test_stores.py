@@ -5,7 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import rules, tables
+from tidemark.operators import features
+from tidemark.plans import acceptance, rules, tables
 from tidemark.session import shared_dir
 from tidemark.sources import readers, writers
 
@@ -69,3 +70,51 @@ def test_bronze_to_gold_for_some_dates(spark, tmp_path):
     assert store["C0"].Debt_to_income_ratio == pytest.approx(0.2)
     labels = {r.loan_id: r.label for r in readers.read_store(spark, roots["label_store"]).collect()}
     assert labels == {"L0": 0, "L1": 1, "L2": 1}
+
+
+def test_a_date_that_is_now_empty_has_no_rows(spark):
+    rows = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-02-01"), ("c", "2024-03-01")], "k string, d string").select(
+        "k", F.to_date("d").alias("snapshot_date"))
+    root = writers.write_snapshots(rows, shared_dir(spark, "t"))
+    writers.write_snapshots(rows.where("k = 'a'").withColumn("k", F.lit("new")), root, days=["2024-01-01", "2024-02-01", "2024-04-01"])
+    got = sorted((r.k, str(r.snapshot_date)) for r in readers.read_store(spark, root).collect())
+    assert got == [("c", "2024-03-01"), ("new", "2024-01-01")]
+
+
+def test_header_only_month_is_ingested(spark, tmp_path):
+    (tmp_path / "clicks.csv").write_text(",".join(rules.CLICKSTREAM_COLUMNS) + "\n")
+    bronze, silver = shared_dir(spark, "bronze"), shared_dir(spark, "silver")
+    tables.ingest(spark, "clickstream", str(tmp_path / "clicks.csv"), bronze, ["2025-01-01"])
+    tables.refine(spark, "clickstream", bronze, silver)
+    assert [str(r.snapshot_date) for r in tables.ingested(spark, bronze, "clickstream").collect()] == ["2025-01-01"]
+    assert tables.ingested(spark, bronze, "lms").count() == 0
+    assert readers.read_store(spark, f"{silver}/clickstream", schema=tables.silver_schema(spark, "clickstream")).count() == 0
+
+
+def test_reconciled_read_keeps_the_partition_column(spark):
+    rows = spark.range(20).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 2).cast("int")).alias("snapshot_date"))
+    root = writers.write_snapshots(rows, shared_dir(spark, "t"))
+    target = rows.schema
+    back = readers.read_reconciled(spark, [f"{root}/snapshot_date=2024-01-01", f"{root}/snapshot_date=2024-01-02"], target)
+    assert (back.count(), back.where("snapshot_date IS NOT NULL").count()) == (20, 20)
+    found = readers.partition_schemas(spark, [f"{root}/snapshot_date=2024-01-01"])
+    assert found[f"{root}/snapshot_date=2024-01-01"]["snapshot_date"].dataType.typeName() == "date"
+
+
+def test_second_feature_snapshot_of_a_customer_fails(spark):
+    day = F.lit("2024-01-01").cast("date")
+    store = spark.createDataFrame([("a", 1), ("b", 2)], "Customer_ID string, x int").withColumn("snapshot_date", day)
+    labels = spark.createDataFrame([("a", "L1", 1)], "Customer_ID string, loan_id string, label int").withColumn("snapshot_date", day)
+    assert features.merge_features_labels(store, labels).count() == 1
+    with pytest.raises(Exception, match="more than one feature snapshot"):
+        features.merge_features_labels(store.unionByName(store), labels).collect()
+
+
+def test_acceptance(spark):
+    store = spark.createDataFrame([(5, None, 1.0), (30, 3.0, 2.0)], "Num_of_Loan int, Num_Credit_Inquiries double, Annual_Income double")
+    got = {(r.check, r.column_name): r.status for r in acceptance.accept(store).collect()}
+    assert got["null_rate", "Num_Credit_Inquiries"] == "PARTIAL"
+    assert got["bounds", "Num_of_Loan"] == "FAIL" and got["bounds", "Annual_Income"] == "PASS"
+    assert got["bounds", "Monthly_Balance"] == "NOT FOUND" and ("sanity", "Monthly_Balance") not in got
+    assert got["sanity", "Num_of_Loan"] == "PASS"
+    assert {r.status for r in acceptance.accept(store.select("Annual_Income")).where("check = 'null_rate'").collect()} == {"NOT FOUND"}

@@ -17,9 +17,12 @@ def merged(spark, sf):
     return features.merge_features_labels(st.model_features(spark, sf), st.model_labels(spark, sf))
 
 
-def split_rows(spark, sf):
-    """The merge is written once; dates, fits and rows then read the table."""
-    return prepare.temporal_split(cut_lineage(merged(spark, sf), "merged"), "snapshot_date")
+def split_rows(spark, sf, columns=None):
+    """The merge is written once, with the columns asked for; dates, fits and rows then read the table."""
+    rows = merged(spark, sf)
+    if columns is not None:
+        rows = rows.select("snapshot_date", *columns)
+    return prepare.temporal_split(cut_lineage(rows, "merged"), "snapshot_date")
 
 
 @query("feature_label_merge", f"""
@@ -35,7 +38,7 @@ def feature_label_merge(spark, sf):
 WITH {st.SPLIT}
 SELECT {d('snapshot_date')} AS snapshot_date, split, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_positive FROM split_rows GROUP BY ALL""")
 def temporal_split(spark, sf):
-    return present(split_rows(spark, sf).groupBy("snapshot_date", "split").agg(
+    return present(split_rows(spark, sf, ["label"]).groupBy("snapshot_date", "split").agg(
         F.count("*").alias("n_rows"), F.sum("label").alias("n_positive")))
 
 
@@ -44,7 +47,7 @@ WITH {st.SPLIT}, c AS (SELECT label, count(*) AS n FROM split_rows WHERE split =
 SELECT label, n, {r('(SELECT sum(n) FROM c) / (CAST((SELECT count(*) FROM c) AS DOUBLE) * n)')} AS balanced_weight,
        {r('CAST((SELECT n FROM c WHERE label = 0) AS DOUBLE) / (SELECT n FROM c WHERE label = 1)')} AS scale_pos_weight FROM c""")
 def class_weights(spark, sf):
-    train = split_rows(spark, sf).where(F.col("split") == "train")
+    train = split_rows(spark, sf, ["label"]).where(F.col("split") == "train")
     return present(prepare.class_weights(train, "label"))
 
 
@@ -57,7 +60,7 @@ WITH {st.SPLIT}, m AS (SELECT {_train_medians(_NUM)}),
 filled AS (SELECT split, {', '.join(f'coalesce({c}, m_{c}) AS {c}' for c in _NUM)} FROM split_rows, m)
 SELECT split, count(*) AS n, {', '.join(f'{r(f"avg({c})", 4)} AS avg_{c}, count(*) FILTER (WHERE {c} IS NULL) AS null_{c}' for c in _NUM)} FROM filled GROUP BY split""")
 def impute_median(spark, sf):
-    rows = split_rows(spark, sf)
+    rows = split_rows(spark, sf, _NUM)
     medians = prepare.fit_medians(rows.where(F.col("split") == "train"), _NUM)
     filled = prepare.impute_medians(rows, medians, _NUM)
     return present(filled.groupBy("split").agg(
@@ -101,10 +104,10 @@ LEFT JOIN codes s ON s.column_name = 'c_mktsegment' AND s.value = coalesce(x.c_m
 GROUP BY ALL""")
 def encode_categories(spark, sf):
     """Fitted without one segment and without nulls, so that unseen values occur."""
-    rows = split_rows(spark, sf)
+    rows = split_rows(spark, sf, _CAT)
     early = rows.where(
         (F.col("split") == "train") & (F.col("c_mktsegment") != "MACHINERY") & F.col("o_orderpriority").isNotNull())
-    coded = prepare.encode(rows, prepare.fit_encoder(early, _CAT), _CAT)
+    coded = prepare.encode(rows, cut_lineage(prepare.fit_encoder(early, _CAT), "encoder"), _CAT)
     return present(coded.groupBy("split", *_CAT).agg(F.count("*").alias("n")))
 
 
@@ -114,7 +117,7 @@ p AS (SELECT {', '.join(f'avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 THEN
 SELECT split, {', '.join(f'{r(f"avg(({c} - m_{c}) / s_{c})", 5)} AS avg_{c}, {r(f"min(({c} - m_{c}) / s_{c})", 5)} AS min_{c}, {r(f"max(({c} - m_{c}) / s_{c})", 5)} AS max_{c}' for c in _NUM)}
 FROM split_rows, p GROUP BY split""")
 def scale_numeric(spark, sf):
-    rows = split_rows(spark, sf)
+    rows = split_rows(spark, sf, _NUM)
     scaler = prepare.fit_scaler(rows.where(F.col("split") == "train"), _NUM)
     scaled = prepare.scale(rows, scaler, _NUM)
     return present(scaled.groupBy("split").agg(
@@ -132,7 +135,7 @@ def feature_matrix(spark, sf):
     rows = split_rows(spark, sf)
     medians = prepare.fit_medians(rows.where(F.col("split") == "train"), _NUM)
     coded = prepare.encode(
-        prepare.impute_medians(rows, medians, _NUM), prepare.fit_encoder(rows, _CAT), _CAT)
+        prepare.impute_medians(rows, medians, _NUM), cut_lineage(prepare.fit_encoder(rows, _CAT), "encoder"), _CAT)
     return present(prepare.feature_matrix(coded, ["loan_id", "label"], _NUM, _CAT), digits=4)
 
 
