@@ -38,7 +38,9 @@ from tidemark.llm.common import as_bytes, pieces, power_of_two, query, shuffle_p
 WINDOW = 50
 BLOCK = 25
 #: Text of a chunk; the arrays over it take about a hundred times as much.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
+#: Buckets of hashes for each shuffle partition; a task holds one bucket at a time.
+BUCKETS_PER_PARTITION = 4
 #: From here on numbers stand for rows without an id.
 NO_ID = 1 << 62
 _LANES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)  # odd bases of the two rolling hashes
@@ -112,11 +114,11 @@ def _unpack_places(data: bytes, n: int) -> np.ndarray:
     return np.cumsum(gaps)
 
 
-_SCHEMA = "bucket int, chunk long, kind int, n int, payload binary, ids array<long>, counts array<long>, texts array<binary>, local binary, keys array<long>"
+_SCHEMA = "bucket int, chunk long, kind int, n int, payload binary, ids array<long>, counts array<long>, texts array<binary>, local binary, keys array<long>, digests array<binary>"
 _FIELDS = pa.schema([
     ("bucket", pa.int32()), ("chunk", pa.int64()), ("kind", pa.int32()), ("n", pa.int32()), ("payload", pa.binary()),
     ("ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("texts", pa.list_(pa.binary())), ("local", pa.binary()),
-    ("keys", pa.list_(pa.int64()))])
+    ("keys", pa.list_(pa.int64())), ("digests", pa.list_(pa.binary()))])
 PROBES, CHUNK = 0, 1
 
 
@@ -124,6 +126,11 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _FIELDS)], schema=_FIELDS)
 
 
+def _bucket_of(chunk: int, buckets: int) -> int:
+    """Where a chunk's own row goes: evenly, whatever the pattern of chunk numbers."""
+    return (chunk * int(_LANES[0]) % (1 << 64) >> 40) % buckets
+
+
 def _dealt(hashes: np.ndarray, places: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, entries in order of place) by the top bits of the hash."""
     shift = np.uint64(64 - (buckets.bit_length() - 1))
@@ -164,9 +171,9 @@ def _anchor_chunks(buckets: int):
                 # 39 bits of the hash and whether a block has it, in five bytes.
                 code = ((entry_h[which] >> short) & np.uint64((1 << 39) - 1)) << np.uint64(1) | has_block[which].astype(np.uint64)
                 planes = code.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                rows.append((b, chunk, PROBES, len(which), planes.tobytes() + _pack_places(entry_at[which]), None, None, None, None, None))
-            rows.append((chunk % buckets, chunk, CHUNK, len(local), None, piece.column("id").to_pylist(), words.per_text.tolist(), None,
-                         _pack_places(local), piece.column("key").to_pylist()))
+                rows.append((b, chunk, PROBES, len(which), planes.tobytes() + _pack_places(entry_at[which]), *[None] * 6))
+            rows.append((_bucket_of(chunk, buckets), chunk, CHUNK, len(local), None, piece.column("id").to_pylist(), words.per_text.tolist(), None,
+                         _pack_places(local), piece.column("key").to_pylist(), None))
             yield _rows(rows)
 
     return run
@@ -209,7 +216,7 @@ def _meet_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 at += r[3]
                 if mine.any():
                     places = _unpack_places(r[4][5 * r[3] :], r[3])[mine]
-                    out.append((r[0], r[1], PROBES, len(places), _pack_places(places), None, None, None, None, None))
+                    out.append((r[0], r[1], PROBES, len(places), _pack_places(places), *[None] * 6))
         if out:
             yield _rows(out)
 
@@ -282,8 +289,8 @@ def _window_chunks(buckets: int):
             done = [k for k, s in enumerate(spans) if s is None]
             if done:
                 split = [texts[k].split() for k in done]
-                rows.append((chunk % buckets, chunk, DONE, 0, None, [ids[k] for k in done], [len(w) for w in split],
-                             [hashlib.sha256(b" ".join(w)).digest() for w in split], None, None))
+                rows.append((_bucket_of(chunk, buckets), chunk, DONE, 0, None, [ids[k] for k in done], [len(w) for w in split],
+                             None, None, None, [hashlib.sha256(b" ".join(w)).digest() for w in split]))
             todo = [k for k, s in enumerate(spans) if s is not None]
             if todo:
                 rows += _window_rows(chunk, buckets, [ids[k] for k in todo], [texts[k] for k in todo], [spans[k] for k in todo])
@@ -314,8 +321,8 @@ def _window_rows(chunk: int, buckets: int, ids: list, texts: list[bytes], spans:
         owners, cuts = owner[pick], np.flatnonzero(np.diff(owner[pick])) + 1
         starts = np.append(0, cuts)
         rows.append((b, chunk, PROBES, len(pick), code.tobytes() + _pack_places(at[pick]), owners[starts].tolist(),
-                     np.diff(np.append(starts, len(pick))).tolist(), None, None, None))
-    rows.append((chunk % buckets, chunk, CHUNK, len(local), None, ids, words.per_text.tolist(), texts, _pack_places(local), None))
+                     np.diff(np.append(starts, len(pick))).tolist(), None, None, None, None))
+    rows.append((_bucket_of(chunk, buckets), chunk, CHUNK, len(local), None, ids, words.per_text.tolist(), texts, _pack_places(local), None, None))
     return rows
 
 
@@ -341,7 +348,7 @@ def _meet_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 at += r[3]
                 if mine.any():
                     places = _unpack_places(r[4][_WINDOW_BYTES * r[3] :], r[3])[mine]
-                    out.append((r[0], r[1], PROBES, len(places), _pack_places(places), None, None, None, None, None))
+                    out.append((r[0], r[1], PROBES, len(places), _pack_places(places), *[None] * 6))
         if out:
             yield _rows(out)
 
@@ -373,7 +380,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """id, n_words, n_removed, digest (sha256 of the kept words) and spans (word ranges removed) of every row."""
     spark = df.sparkSession
-    buckets = buckets or power_of_two(max(16, shuffle_partitions(spark)))
+    buckets = buckets or power_of_two(max(16, BUCKETS_PER_PARTITION * shuffle_partitions(spark)))
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
     docs = docs.withColumn("id", F.coalesce("id", F.shiftrightunsigned("key", 2).bitwiseOR(F.lit(NO_ID))))
 
@@ -381,16 +388,16 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hits = stored(anchors.mapInArrow(_meet_anchors, _SCHEMA), "repeat-anchors")
     spans = _chunked(hits).mapInArrow(_spans, "id long, key long, spans array<long>")
     # Equal rows have equal spans: every stretch of theirs meets the other's.
-    merged = stored(spans.groupBy(F.col("id").alias("i"), F.col("key").alias("k")).agg(F.max("spans").alias("spans")), "repeat-spans")
+    merged = spans.groupBy(F.col("id").alias("i"), F.col("key").alias("k")).agg(F.max("spans").alias("spans"))
     windows = (
         docs.join(merged, (F.col("id") == F.col("i")) & (F.col("key") == F.col("k")), "left").select("id", "text", "spans")
         .mapInArrow(_window_chunks(buckets), _SCHEMA).repartition("bucket").sortWithinPartitions("bucket")
     )
     found = stored(windows.mapInArrow(_meet_windows, _SCHEMA), "repeat-windows")
     cut = _chunked(found.filter(F.col("kind") != DONE)).mapInArrow(_remove, _RESULT)
-    done = found.filter(F.col("kind") == DONE).select(F.explode(F.arrays_zip("ids", "counts", "texts")).alias("d")).select(
+    done = found.filter(F.col("kind") == DONE).select(F.explode(F.arrays_zip("ids", "counts", "digests")).alias("d")).select(
         F.col("d.ids").alias("id"), F.col("d.counts").alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
-        F.col("d.texts").alias("digest"), F.array().cast("array<long>").alias("spans"))
+        F.col("d.digests").alias("digest"), F.array().cast("array<long>").alias("spans"))
     return cut.unionByName(done).withColumn("id", F.when(F.col("id") < NO_ID, F.col("id")))
 
 
