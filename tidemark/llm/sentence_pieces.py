@@ -32,9 +32,9 @@ from tidemark.llm.common import as_bytes, pieces, query, table
 MARK = chr(0x2581)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Distinct words that advance together.
-BATCH_WORDS = 1 << 14
+BATCH_WORDS = 1 << 13
 #: Encoded words kept in a worker, and one generation more.
-CACHE = 300_000
+CACHE = 200_000
 #: Slots of the table of neighbouring pieces.
 PAIRS = 1 << 21
 
@@ -282,7 +282,7 @@ def encoder(path: str):
         model = _model(path)
         batch = pa.RecordBatch.from_arrays([text], names=["text"])
         chunks = []
-        for piece in pieces([batch], most_bytes=2 << 20):
+        for piece in pieces([batch], most_bytes=1 << 20):
             ids = model.encode([t.decode() for t in as_bytes(piece.column("text"))])
             offsets = np.append(0, np.cumsum([len(x) for x in ids])).astype(np.int32)
             chunks.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32), pa.int32())))
@@ -320,7 +320,7 @@ def _summaries(path: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(path)
-        for piece in pieces(batches, most_bytes=2 << 20):
+        for piece in pieces(batches, most_bytes=1 << 20):
             texts = [t.decode() for t in as_bytes(piece.column("text"))]
             ids = model.encode(texts)
             yield pa.RecordBatch.from_arrays([
