@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, mixing, sentence_pieces, simhash, toxicity
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import small_batches, stored, table
 
 REJECT_FROM = 0.5
 MAX_EPOCHS = 2.0
@@ -37,18 +37,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return exact_dedup.keep_one(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return mixing.mix(docs, max_epochs=MAX_EPOCHS)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     encoded = sentence_pieces.encode(docs.select("doc_id", "source", "text"), public_tokenizers.path(MODEL), out="ids")
     return encoded.select("doc_id", "source", F.size("ids").alias("n_tokens"), "ids")
 

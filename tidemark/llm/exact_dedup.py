@@ -35,13 +35,14 @@ def _digest(text: pa.Array) -> pa.Array:
     return pa.array([hashlib.sha256(t.lower()).digest() for t in as_bytes(text)], pa.binary())
 
 
-def _content_sorted(df: DataFrame) -> DataFrame:
-    """``df`` with id and text, range-partitioned and sorted by content, larger ids first."""
+def _content_sorted(df: DataFrame, without: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with id and text, range-partitioned and sorted by content, larger ids first; ``without`` some columns."""
     keys = [F.col("lead"), F.col("digest"), F.col("id").desc_nulls_last()]
     return (
         df.withColumn("text", F.coalesce("text", F.lit("")))
         .withColumn("digest", _digest("text"))
         .withColumn("lead", F.translate(F.substring("text", 1, LEAD), _UPPER, _LOWER))
+        .drop(*without)
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .drop("lead")
@@ -137,23 +138,26 @@ def decisions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    near = _Neighbours()
-    for batch in batches:
-        found = [near.run_of(d, t.lower()) for d, t in zip(batch.column("digest").to_pylist(), as_bytes(batch.column("text")))]
-        mask = pa.array([first for _, first, _ in found], pa.bool_())
-        out = batch.select(["row", "digest"]).append_column("run", pa.array([r for r, _, _ in found], pa.int64()))
-        yield out.filter(mask)
+def _heads(text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near = _Neighbours()
+        for batch in batches:
+            texts = as_bytes(batch.column("row").field(text_col))
+            found = [near.run_of(d, t.lower()) for d, t in zip(batch.column("digest").to_pylist(), texts)]
+            mask = pa.array([first for _, first, _ in found], pa.bool_())
+            yield batch.select(["row", "digest"]).append_column("run", pa.array([r for r, _, _ in found], pa.int64())).filter(mask)
+
+    return run
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
     packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
                        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    ordered = _content_sorted(packed)
+    ordered = _content_sorted(packed, ("text",))  # the row holds it
     out = F.col("row")
     schema = f"row {packed.schema['row'].dataType.simpleString()}, digest binary, run long"
-    heads = stored(ordered.mapInArrow(_heads, schema), "exact-dedup-heads")
+    heads = stored(ordered.mapInArrow(_heads(text_col), schema), "exact-dedup-heads")
     # Heads that share a digest: a run cut by a partition edge, or two texts with one digest.
     twice = heads.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
     norm = F.translate(F.coalesce(out[text_col], F.lit("")), _UPPER, _LOWER)
