@@ -104,6 +104,24 @@ def test_held_out_rows_are_not_learned_from(spark):
     assert few.groupBy("toxic").count().orderBy("toxic").collect() == [(0, 5), (1, 5)]
 
 
+def test_a_smaller_sample_keeps_the_label_mix(spark):
+    """A word of clean and toxic texts: its score follows the shares of all labelled rows, not of the sample."""
+    rng = random.Random(6)
+    docs = [(i, " ".join(["plain"] * 6 + ["weakword"] * (rng.random() < (0.8 if i % 10 == 0 else 0.06))), "en", "s", 0) for i in range(3000)]
+    docs_df, labels_df = spark.createDataFrame(docs, DOCS), spark.createDataFrame([(i, 1, int(i % 10 == 0)) for i, *_ in docs], LABELS)
+    scores = {}
+    for sample in (200, 3000):
+        rows = toxicity.training_rows(docs_df, labels_df, sample=sample)
+        for label in (0, 1):
+            usable = sum(zlib.crc32(str(i).encode()) % 5 != 0 and (i % 10 == 0) == label for i in range(3000))
+            assert rows.filter(f"toxic = {label}").agg({"stands_for": "sum"}).first()[0] == pytest.approx(usable)
+        lexicon = toxicity.learn(rows)
+        assert lexicon.weights
+        scores[sample] = [lexicon.score("plain " * 6), lexicon.score("plain " * 6 + "weakword")]
+    assert scores[200] == pytest.approx(scores[3000], abs=0.12)
+    assert scores[200][0] < 0.1
+
+
 URLS = ["http://a.example.net/en/x", "https://EXAMPLE.net/en/", "http://example.net/en", "http://net/", "http://net", "http://x.net?a=/b", "HTTP://foo.org/fr/1?x#y",
         "http://forg/fr/", "http://m.example.com/de/a/b", "http://notexample.com/de/", "ftp://u@x.example.com:80/de/", "no scheme", "", None, "://", "a://b://c.net/", "http://cheap-pills.example.com/en/",
         "http://x.example.org/fr/#frag", "http://example.com#/de/", "http://..net/", "http://" + "a." * 2000 + "net/" + "p" * 5000, "http://ÉX.Example.NET/en/é"]

@@ -10,7 +10,9 @@ from 0 to 1.
 Lexicon, weights and curve are learned from labelled rows: at most
 ``SAMPLE_ROWS`` of each label, taken by a hash of their id.  An entry's weight is
 a cautious log ratio of the shares of toxic and of clean texts that hold it: what is left after
-``CAUTION`` standard errors, so an entry that few texts hold weighs little.
+``CAUTION`` standard errors, so an entry that few texts hold weighs little.  The curve
+weighs each sampled row by the rows of its label that it stands for, so its scores follow the label
+mix of all labelled rows and not the sample's.
 
 Null and empty texts have no hits and take the curve's lowest score.  Labels of rows without a
 text, and null labels, are not used.  Without toxic or clean rows to learn from, the
@@ -161,14 +163,23 @@ def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
                   sample: int = SAMPLE_ROWS) -> DataFrame:
-    """text, toxic of at most ``sample`` labelled rows of each label; held-out ids stay out."""
+    """text, toxic, stands_for of at most ``sample`` labelled rows of each label; held-out ids stay out.
+
+    ``stands_for``: usable rows of the label by rows taken of it.
+    """
     usable = labels.select(F.col(id_col).cast("long").alias("lid"), F.col(label_col).cast("int").alias("toxic")).filter(
         "lid IS NOT NULL AND toxic IN (0, 1)").filter(~held_out(F.col("lid")))
     usable = usable.groupBy("lid").agg(F.max("toxic").alias("toxic")).withColumn("h", F.xxhash64("lid"))
-    chosen = usable.filter("toxic = 1").orderBy("h", "lid").limit(sample).unionByName(usable.filter("toxic = 0").orderBy("h", "lid").limit(sample))
+    sizes = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+
+    def taken(label: int) -> DataFrame:
+        share = max(1.0, sizes.get(label, 0) / sample)
+        return usable.filter(F.col("toxic") == label).orderBy("h", "lid").limit(sample).withColumn("stands_for", F.lit(share))
+
+    chosen = taken(1).unionByName(taken(0))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
     # At most 2 * sample ids of a few bytes each.
-    return stored(texts.join(F.broadcast(stored(chosen, "toxic-sample")), F.col("id") == F.col("lid")).select("text", "toxic"), "toxic-training")
+    return stored(texts.join(F.broadcast(stored(chosen, "toxic-sample")), F.col("id") == F.col("lid")).select("text", "toxic", "stands_for"), "toxic-training")
 
 
 def held_out(id_):
@@ -176,7 +187,7 @@ def held_out(id_):
 
 
 def learn(rows: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
-    """Lexicon and curve from (text, toxic) rows."""
+    """Lexicon and curve from (text, toxic, stands_for) rows."""
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
@@ -194,15 +205,16 @@ def learn(rows: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
         mine = Lexicon.load(wire)
         for piece in pieces(batches):
             yield pa.RecordBatch.from_pydict({
-                "x": pa.array([mine.signal(t.decode()) for t in as_bytes(piece.column("text"))], pa.float64()), "toxic": piece.column("toxic")})
+                "x": pa.array([mine.signal(t.decode()) for t in as_bytes(piece.column("text"))], pa.float64()), "toxic": piece.column("toxic"),
+                "stands_for": piece.column("stands_for")})
 
-    points = np.array([(r["x"], r["toxic"]) for r in spread.mapInArrow(signals, "x double, toxic int").collect()])
-    return Lexicon(lexicon.weights, exceptions, _fit_curve(points[:, 0], points[:, 1]))
+    points = np.array([tuple(r) for r in spread.mapInArrow(signals, "x double, toxic int, stands_for double").collect()])
+    return Lexicon(lexicon.weights, exceptions, _fit_curve(*points.T))
 
 
-def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic slope and offset by Newton steps, with a slight pull to 0."""
-    weight = np.full(len(y), 1.0 / len(y))
+def _fit_curve(x: np.ndarray, y: np.ndarray, stands_for: np.ndarray) -> tuple[float, float]:
+    """Logistic slope and offset by Newton steps over rows weighed by ``stands_for``, with a slight pull to 0."""
+    weight = stands_for / stands_for.sum()
     design, beta, pull = np.stack([x, np.ones_like(x)], 1), np.zeros(2), np.diag([1e-4, 1e-6])
     for _ in range(50):
         p = 1.0 / (1.0 + np.exp(-np.clip(design @ beta, -30, 30)))
