@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -44,6 +45,23 @@ def test_expressions(expression, labels, free):
     assert licenses.evaluate(expression) == (labels, free)
 
 
+def test_several_tags_on_a_line():
+    tag = "SPDX-License-Identifier: "
+    found = licenses.Scanner().scan(f"a {tag}MIT */ b {tag}GPL-3.0-only c {tag}\n{tag}BSD-3-Clause OR {tag}ISC".encode())
+    assert found.labels == {"mit", "gpl", "bsd", "isc"} and found.permissive is False
+    assert found.expressions == ["mit */ b", "gpl-3.0-only c", "", "bsd-3-clause or", "isc"]
+    assert licenses.Scanner().scan(f"{tag}MIT {tag}GPL-3.0-only".encode()).permissive is False
+
+
+@pytest.mark.parametrize("line", ["MIT " + "some minified code " * 55_000, "(" * 300_000 + "MIT", "MIT" + " OR (MIT" * 120_000, " OR ".join(f"x{i}" for i in range(120_000)),
+                                  "MIT SPDX-License-Identifier: " * 40_000])
+def test_long_lines_take_time_in_proportion(line):
+    began = time.process_time()
+    found = licenses.Scanner().scan(f"SPDX-License-Identifier: {line}".encode())
+    assert time.process_time() - began < 8
+    assert found.labels == ({f"x{i}" for i in range(120_000)} if line.startswith("x") else {"mit"})
+
+
 def test_scan_edges(clashing, odd_ids, no_docs):
     assert licenses.scan(clashing).count() == clashing.count()
     assert licenses.scan(odd_ids).count() == odd_ids.count() and licenses.scan(no_docs).count() == 0

@@ -3,8 +3,8 @@
 Text is lower-cased (A-Z) and cut into words of ASCII letters and digits and all
 characters beyond ASCII.  One Aho-Corasick automaton finds all phrases in the
 words; overlapping places all count.  Where it finds the identifier tag, the
-expression behind the tag is read from the text and a shunting-yard parser
-evaluates it: ``with`` binds a licence to its exception, ``and`` asks for both
+expression behind the tag, up to the next tag or the end of the line, is read from the text and a
+shunting-yard parser evaluates its longest whole beginning: ``with`` binds a licence to its exception, ``and`` asks for both
 sides, ``or`` for one.  Broken expressions give their identifiers as labels and no value.
 
 Null and empty texts have no words, no labels and score 0.  The score is the chance that at least
@@ -44,7 +44,7 @@ FAMILIES = {
 STRENGTH = {"base": 0.9, "notice": 0.7, "tag": 0.99}
 
 _TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-_TAG_LINE = re.compile(r"spdx[^a-z0-9\n]+license[^a-z0-9\n]+identifier[^a-z0-9(\n]*([^\n]*)")
+_TAG = re.compile(r"spdx[^a-z0-9\n]+license[^a-z0-9\n]+identifier[^a-z0-9(\n]*")
 _TOKEN = re.compile(r"\(|\)|[a-z0-9][a-z0-9.+-]*")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
@@ -58,38 +58,40 @@ def family(identifier: str) -> tuple[str, bool | None]:
 
 
 def to_postfix(tokens: list[str]) -> list[str] | None:
-    """Shunting yard: operands and operators in postfix order, or None if the expression is broken."""
+    """Shunting yard: the longest beginning that is a whole expression in postfix order, or None if there is none."""
     out: list[str] = []
     stack: list[str] = []
+    depth = 0  # open brackets
     operand = False  # whether the last thing read was a complete operand
+    whole: tuple[int, list[str]] | None = None  # length of ``out`` and operators left (three at most) where it was last complete
     for t in tokens:
         if t == "(":
             if operand:
-                return None
+                break
             stack.append(t)
+            depth += 1
         elif t == ")":
-            if not operand:
-                return None
-            while stack and stack[-1] != "(":
+            if not operand or not depth:
+                break
+            while stack[-1] != "(":
                 out.append(stack.pop())
-            if not stack:
-                return None
             stack.pop()
+            depth -= 1
         elif t in _BINDS:
             if not operand:
-                return None
+                break
             while stack and stack[-1] != "(" and _BINDS[stack[-1]] >= _BINDS[t]:
                 out.append(stack.pop())
             stack.append(t)
             operand = False
         else:
             if operand:
-                return None
+                break
             out.append(t)
             operand = True
-    if not operand or "(" in stack:
-        return None
-    return out + stack[::-1]
+        if operand and not depth:
+            whole = len(out), stack[::-1]
+    return None if whole is None else out[: whole[0]] + whole[1]
 
 
 def _either(a: bool | None, b: bool | None) -> bool | None:
@@ -103,13 +105,7 @@ def _both(a: bool | None, b: bool | None) -> bool | None:
 def evaluate(expression: str) -> tuple[set[str], bool | None]:
     """Labels of an expression (lower case), and whether it lets anyone use the text freely."""
     tokens = _TOKEN.findall(expression)
-    postfix = to_postfix(tokens)
-    if postfix is None:
-        # Prose may follow on the line: read the longest beginning that is whole.
-        for n in range(len(tokens) - 1, 0, -1):
-            postfix = to_postfix(tokens[:n])
-            if postfix is not None:
-                break
+    postfix = to_postfix(tokens)  # prose may follow on the line
     if postfix is None:
         return {family(t)[0] for t in tokens if t not in _BINDS and t not in "()"}, None
     stack: list[tuple[set[str], bool | None]] = []
@@ -121,10 +117,10 @@ def evaluate(expression: str) -> tuple[set[str], bool | None]:
         (right, right_free), (left, left_free) = stack.pop(), stack.pop()
         if t == "with":  # the exception adds leave, it is no licence of its own
             stack.append((left, left_free))
-        elif t == "or":
-            stack.append((left | right, _either(left_free, right_free)))
-        else:
-            stack.append((left | right, _both(left_free, right_free)))
+            continue
+        small, large = sorted((left, right), key=len)
+        large |= small
+        stack.append((large, (_either if t == "or" else _both)(left_free, right_free)))
     return stack[0]
 
 
@@ -172,10 +168,14 @@ class Scanner:
         out.labels |= out.base_labels
         if ("tag", "") in kinds:
             values = []
-            for m in _TAG_LINE.finditer(_lower(text)):
-                labels, free = evaluate(m.group(1))
+            lower = _lower(text)
+            tags = [m.span() for m in _TAG.finditer(lower)]
+            for (_, begin), (stop, _) in zip(tags, [*tags[1:], (len(lower), None)]):
+                line_end = lower.find("\n", begin, stop)
+                expression = lower[begin : stop if line_end < 0 else line_end]
+                labels, free = evaluate(expression)
                 out.labels |= labels
-                out.expressions.append(m.group(1).strip())
+                out.expressions.append(expression.strip())
                 values.append(free)
             for free in values:
                 out.permissive = free if out.permissive is None else _both(out.permissive, free)
