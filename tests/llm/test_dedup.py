@@ -139,6 +139,25 @@ def test_simhash_edges(clashing, odd_ids, no_docs):
     assert simhash.near_groups(no_docs).count() == 0 and simhash.keep_one(no_docs).count() == 0
 
 
+def test_simhash_keeps_a_row_of_every_component(spark, odd_ids, clashing):
+    """A shared id that goes from one component stays in another, whose smallest it is."""
+    a, b = "first text with several words of its own", "second one that shares nothing at all with it"
+    shared = spark.createDataFrame([(1, a), (2, a), (2, b), (3, b), (3, b), (None, a)], "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_one(shared).collect()), key=repr) == [(1, a), (2, b), (None, a)]
+    near = " ".join(["start", *(f"word{k}" for k in range(400))])
+    chained = spark.createDataFrame([(1, near), (2, near + " end"), (2, b), (3, b)], "doc_id long, text string")
+    assert 0 < (simhash.fingerprint(near.encode()) ^ simhash.fingerprint((near + " end").encode())).bit_count() <= 2
+    assert sorted(map(tuple, simhash.keep_one(chained).collect()), key=repr) == [(1, near), (2, b)]
+    for frame in (odd_ids.unionByName(odd_ids.selectExpr("doc_id + 1 AS doc_id", "text", "lang", "source", "n_chars")), clashing):
+        groups = simhash.near_groups(frame).collect()
+        left = simhash.keep_one(frame)
+        stays = [(r["id"], r["fp"]) for r in groups if r["id"] is None or r["id"] == r["component"]]
+        got = simhash.fingerprints(left, "doc_id", "text").collect()
+        assert left.columns == frame.columns and sorted(map(repr, stays)) == sorted(repr((r["id"], r["fp"])) for r in got)
+        component = {(r["id"], r["fp"]): r["component"] for r in groups}
+        assert {component[r["id"], r["fp"]] for r in got} == {r["component"] for r in groups}
+
+
 def plain_repeats(rows, width=50):
     first = {}
     words = [(i, (t or "").encode().split()) for i, t in rows]

@@ -15,9 +15,9 @@ all fingerprints below a node share.  A search adds up differences from the
 root down and leaves a node, with all that is below it, once they pass the limit.
 A group emits a spanning set of its links, not all pairs.
 
-Components follow by alternating large and small stars.  ``component_id`` is
-the smallest id that can be reached; rows without an id take part with the
-smallest id of their fingerprint and are null only if no row of it has one.
+Components of fingerprints follow by alternating large and small stars.
+``component_id`` is the smallest id that a component holds, and null only if no
+row of it has one; a shared id does not link texts.
 """
 
 from __future__ import annotations
@@ -38,8 +38,6 @@ WIDTH = 3
 MAX_BITS = 2
 #: Members above which a group is dealt once more.
 HOT_GROUP = 4096
-#: Ids are below this; stand-ins for classes without an id are not.
-NO_ID = 1 << 62
 _FAN = 8
 _CHUNK = 1 << 16
 
@@ -63,14 +61,19 @@ def fingerprint(text: bytes, width: int = WIDTH) -> int:
     return int(np.packbits(counts * 2 > len(starts)).view(">u8")[0])
 
 
-def fingerprints(df: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
-    """id and fp (the fingerprint's bits as a signed long) of every row."""
+def printer(width: int = WIDTH):
+    """Column function: text to the fingerprint's bits as a signed long."""
 
     @F.arrow_udf("long")
     def fp(text: pa.Array) -> pa.Array:
         return pa.array(np.array([fingerprint(t, width) for t in as_bytes(text)], np.uint64).view(np.int64))
 
-    return df.select(F.col(id_col).cast("long").alias("id"), fp(F.col(text_col)).alias("fp"))
+    return fp
+
+
+def fingerprints(df: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
+    """id and fp of every row."""
+    return df.select(F.col(id_col).cast("long").alias("id"), printer(width)(F.col(text_col)).alias("fp"))
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -231,25 +234,26 @@ def components(edges: DataFrame) -> DataFrame:
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, hot: int = HOT_GROUP) -> DataFrame:
     """id, fp, component of every row."""
     rows = stored(fingerprints(df, id_col, text_col, width), "simhash-fingerprints")
-    # A class without any id takes part under a stand-in above all ids, so that it is no component's smallest.
-    rep = F.coalesce(F.min("id"), F.shiftrightunsigned(F.xxhash64("fp"), 2).bitwiseOR(F.lit(NO_ID)))
-    prints = stored(rows.groupBy("fp").agg(rep.alias("rep")), "simhash-distinct")
-    found = components(links(prints, hot))
-    root = F.coalesce("component", "rep")
-    classes = stored(
-        prints.join(found, F.col("rep") == F.col("node"), "left").select("fp", F.when(root < NO_ID, root).alias("component")),
-        "simhash-components")
+    # Classes meet under their fingerprints, not under ids: texts that differ may share an id.
+    prints = stored(rows.groupBy("fp").agg(F.min("id").alias("least_id")), "simhash-distinct")
+    found = components(links(prints.select("fp", F.col("fp").alias("rep")), hot))
+    rooted = stored(
+        prints.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least_id", F.coalesce("component", "fp").alias("root")), "simhash-rooted")
+    least = stored(rooted.groupBy("root").agg(F.min("least_id").alias("component")), "simhash-least")
+    classes = stored(rooted.join(least, "root").select("fp", "component"), "simhash-components")
     return rows.join(classes, "fp", "left").select("id", "fp", "component")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """The rows that stay, with all their columns: of each component the one with the smallest id.
 
-    Rows without an id and rows that share the smallest id of a component stay.
+    Rows without an id and rows that share the smallest id of a component stay.  Rows are removed by id and
+    fingerprint, since texts of several components may share an id.
     """
     found = stored(near_groups(df, id_col, text_col, width), "simhash-groups")
-    gone = stored(found.filter("id <> component").select(F.col("id").alias("gone_id")).distinct(), "simhash-gone")
-    return df.join(gone, df[id_col] == F.col("gone_id"), "left_anti")
+    gone = stored(found.filter("id <> component").select(F.col("id").alias("gone_id"), F.col("fp").alias("gone_fp")).distinct(), "simhash-gone")
+    own = df.withColumn("simhash_of_row", printer(width)(F.col(text_col)))
+    return own.join(gone, (F.col(id_col).cast("long") == F.col("gone_id")) & (F.col("simhash_of_row") == F.col("gone_fp")), "left_anti").select(*df.columns)
 
 
 @query("op4_simhash_near_dedup")
