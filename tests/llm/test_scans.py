@@ -73,6 +73,22 @@ def test_folding():
     assert toxicity.fold("") == "  " and toxicity.fold(" .,;") == "  "
 
 
+@pytest.mark.parametrize("written", [
+    "c1own", "c|own", "cIown", "C1OWN", "\uff43\uff4c\uff4f\uff57\uff4e", "\uff23\uff2c\uff2f\uff37\uff2e", "cl\u00f6wn", "clo\u0308wn", "c\u0336l\u0336own",
+    "clo\u200bwn", "\ufeffclown", "cl\u00adown", "\U0001d41c\U0001d425\U0001d428\U0001d430\U0001d427", "\u0441lown", "c\u04cfown", "the|clown|here"])
+def test_written_otherwise(written):
+    lexicon = toxicity.Lexicon({"clown": 3.0, "worthles*": 1.0})
+    assert lexicon.raw(f"a {written}!")[0] == 3.0 == toxicity.Lexicon.load(lexicon.dump()).raw(written)[0]
+
+
+def test_folding_of_looks_and_exceptions():
+    for written, word in (("\u043a\u043c\u0442\u043d\u0432", "kmthb"), ("\u039a\u03a4\u03a5", "ktu"), ("\u03cd\u03c4", "ut"), ("worth1ess 1oser", "worthless loser")):
+        assert toxicity.fold(written) == toxicity.fold(word)
+    assert toxicity.fold("a | b || c") == " a b c " and toxicity.fold("a|b") == " aib a b "
+    lexicon = toxicity.Lexicon({"clown": 3.0, "loser": 2.0}, ("clown fish",))
+    assert lexicon.raw("c1own fish") == (0.0, 2) and lexicon.raw("c1own fish, c1own") == (3.0, 3) and lexicon.raw("1oser") == (2.0, 1)
+
+
 def test_lexicon_hits():
     lexicon = toxicity.Lexicon({"trash": 3.0, "low*": 2.0, "lowei*": 4.0}, ("trash can",))
     assert lexicon.raw("Trash!") == (3.0, 1)

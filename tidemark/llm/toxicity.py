@@ -1,7 +1,9 @@
 """Toxicity by a weighted lexicon.
 
-Text is folded first: lower case, homoglyphs of Latin letters, digits and signs
-that stand for letters; all other signs cut words.  An Aho-Corasick automaton finds the lexicon's
+Text is folded first: compatibility forms, marks and zero-width characters go, then lower
+case, homoglyphs of Latin letters, digits and signs that stand for letters; ``1``, ``l``, ``i`` and ``|``
+are one letter.  All other signs cut words, and what holds a bar is read both with and without
+it as a letter.  The lexicon is folded likewise.  An Aho-Corasick automaton finds the lexicon's
 entries: whole words, and word beginnings (an entry with ``*``).  Hits
 that an exception phrase covers don't count.  The rest are summed by
 weight, normalised by the length of the text, and a logistic curve gives a score
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import json
 import math
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -43,38 +46,53 @@ MIN_SHARE, MIN_TEXTS = 0.005, 5
 #: Weight from which on an entry is used, and the standard errors taken off it.
 MIN_WEIGHT, CAUTION = 1.5, 1.64
 PREFIXES = range(4, 9)
-#: Phrases (folded) in which an entry is harmless.
+#: Phrases in which an entry is harmless.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "sore loser wins")
 
 # Characters that are written for Latin letters.
 _LOOKS = {
-    "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s",
+    "0": "o", "1": "i", "l": "i", "|": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s",
     "\N{CYRILLIC SMALL LETTER A}": "a", "\N{CYRILLIC SMALL LETTER IE}": "e", "\N{CYRILLIC SMALL LETTER O}": "o",
     "\N{CYRILLIC SMALL LETTER ER}": "p", "\N{CYRILLIC SMALL LETTER ES}": "c", "\N{CYRILLIC SMALL LETTER U}": "y",
     "\N{CYRILLIC SMALL LETTER HA}": "x", "\N{CYRILLIC SMALL LETTER BYELORUSSIAN-UKRAINIAN I}": "i",
     "\N{CYRILLIC SMALL LETTER DZE}": "s", "\N{CYRILLIC SMALL LETTER JE}": "j",
-    "\N{GREEK SMALL LETTER ALPHA}": "a", "\N{GREEK SMALL LETTER EPSILON}": "e", "\N{GREEK SMALL LETTER IOTA}": "i",
+    "\N{CYRILLIC SMALL LETTER KA}": "k", "\N{CYRILLIC SMALL LETTER EM}": "m", "\N{CYRILLIC SMALL LETTER TE}": "t",
+    "\N{CYRILLIC SMALL LETTER EN}": "h", "\N{CYRILLIC SMALL LETTER VE}": "b", "\N{CYRILLIC SMALL LETTER PALOCHKA}": "i",
+    "\N{GREEK SMALL LETTER KAPPA}": "k", "\N{GREEK SMALL LETTER TAU}": "t", "\N{GREEK SMALL LETTER UPSILON}": "u",
+    "\N{LATIN SMALL LETTER DOTLESS I}": "i", "\N{GREEK SMALL LETTER ALPHA}": "a", "\N{GREEK SMALL LETTER EPSILON}": "e", "\N{GREEK SMALL LETTER IOTA}": "i",
     "\N{GREEK SMALL LETTER OMICRON}": "o", "\N{GREEK SMALL LETTER RHO}": "p", "\N{GREEK SMALL LETTER NU}": "v",
 }
 
 class _Fold(dict):
-    """str.translate table: letters stay, looks become letters, all else becomes a space."""
+    """str.translate table: letters stay, looks become letters, marks and format characters go, all else becomes a space."""
 
     def __missing__(self, code: int) -> str:
-        c = chr(code).lower()
-        out = _LOOKS.get(c) or (c if all(x.isalpha() for x in c) else " ")
-        self[code] = out
+        plain = unicodedata.normalize("NFKD", unicodedata.normalize("NFKD", chr(code)).lower())
+        kept = [c for c in plain if unicodedata.category(c) not in ("Mn", "Mc", "Me", "Cf")]
+        self[code] = out = "".join(_LOOKS.get(c) or (c if c.isalpha() else " ") for c in kept)
         return out
 
 
 _FOLD = _Fold()
 
 
+def _read_bars(word: str) -> str:
+    apart = word.replace("|", " ")
+    return f"{word} {apart}" if apart.strip() else ""
+
+
 def fold(text: str) -> str:
     """Words of the folded text, one space between them and at both ends."""
+    if "|" in text:
+        text = " ".join([_read_bars(w) if "|" in w else w for w in text.split()])
     return " " + " ".join(text.translate(_FOLD).split()) + " "
 
 
+def fold_entry(entry: str) -> str:
+    """An entry of the lexicon as it stands in folded texts."""
+    return fold(entry.removesuffix("*")).strip() + "*" * entry.endswith("*")
+
+
 def features(folded: str) -> set[str]:
     """Words of a folded text, and their beginnings with a star."""
     out = set()
@@ -85,10 +103,14 @@ def features(folded: str) -> set[str]:
 
 
 class Lexicon:
-    """Finds weighted entries in folded texts."""
+    """Finds weighted entries in texts; both are folded."""
 
     def __init__(self, weights: dict[str, float], exceptions: tuple[str, ...] = EXCEPTIONS, curve: tuple[float, float] = (0.0, 0.0)):
-        self.weights, self.exceptions, self.curve = dict(weights), tuple(exceptions), tuple(curve)
+        self.weights: dict[str, float] = {}
+        for entry, w in weights.items():  # of entries that fold to one, the largest weight
+            folded = fold_entry(entry)
+            self.weights[folded] = max(w, self.weights.get(folded, w))
+        self.exceptions, self.curve = tuple(fold(x).strip() for x in exceptions), tuple(curve)
         self.find = ahocorasick.Automaton()
         for entry, w in self.weights.items():
             self.find.add_word(" " + entry[:-1] if entry.endswith("*") else f" {entry} ", (entry, w))
