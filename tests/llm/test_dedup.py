@@ -202,6 +202,17 @@ def test_repeats_at_the_edge_of_a_window(spark):
     assert got == {0: 0, 1: 0, 2: 50, 3: 50, 4: 60, 5: 0, 6: 70, 7: 0}
 
 
+@pytest.mark.parametrize("h0,met", [(5, True), (5 + (1 << 32), False), (5 + (1 << 50), False)])
+def test_windows_of_two_chunks_are_compared_by_all_bits(monkeypatch, h0, met):
+    rows = []
+    for chunk, lanes in ((1, (5, 9)), (2, (h0, 9))):
+        monkeypatch.setattr(substring_dedup.Words, "hashes", lambda self, lane, at, *_, lanes=lanes: np.full(len(at), lanes[lane], np.uint64))
+        rows += substring_dedup._window_rows(chunk, 1, [chunk], [b"w " * 50], [[0, 0]])
+    found = [r for batch in substring_dedup._meet_windows(iter([substring_dedup._rows(rows)])) for r in batch.to_pylist()]
+    kind = list(found[0])[2]
+    assert [r[list(r)[1]] for r in found if r[kind] == substring_dedup.PROBES] == ([2] if met else [])
+
+
 def test_packed_places():
     for gaps in ([0], [0, 0, 3, 254, 255, 256, 70_000, 1], [300]):
         places = np.cumsum(gaps)

@@ -272,7 +272,7 @@ def _split_at(keys: np.ndarray, values: np.ndarray) -> tuple[list, list]:
 
 
 DONE = 2
-_WINDOW_BYTES = 12
+_WINDOW_BYTES = 16
 
 
 def _window_chunks(buckets: int):
@@ -317,7 +317,7 @@ def _window_rows(chunk: int, buckets: int, ids: list, texts: list[bytes], spans:
         pick = stay[which]
         code = np.empty((len(pick), _WINDOW_BYTES), np.uint8)
         code[:, :8] = h1[pick].astype("<u8").view(np.uint8).reshape(-1, 8)
-        code[:, 8:] = h0[pick].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :4]
+        code[:, 8:] = h0[pick].astype("<u8").view(np.uint8).reshape(-1, 8)
         owners, cuts = owner[pick], np.flatnonzero(np.diff(owner[pick])) + 1
         starts = np.append(0, cuts)
         rows.append((b, chunk, PROBES, len(pick), code.tobytes() + _pack_places(at[pick]), owners[starts].tolist(),
@@ -334,7 +334,7 @@ def _meet_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if len(probes) > 1:
             planes = np.frombuffer(b"".join(r[4][: _WINDOW_BYTES * r[3]] for r in probes), np.uint8).reshape(-1, _WINDOW_BYTES)
             h1 = planes[:, :8].copy().view("<u8").ravel()
-            h0 = planes[:, 8:].copy().view("<u4").ravel()
+            h0 = planes[:, 8:].copy().view("<u8").ravel()
             owner = np.concatenate([np.repeat(np.array(r[5], np.int64), r[6]) for r in probes])
             order = np.lexsort((owner, h0, h1))
             s0, s1, so = h0[order], h1[order], owner[order]
