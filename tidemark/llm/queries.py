@@ -2,6 +2,8 @@
 
 from tidemark.llm import (  # noqa: F401
     exact_dedup,
+    jaccard_join,
+    lexical_search,
     licenses,
     mixing,
     neighbours,
@@ -11,6 +13,7 @@ from tidemark.llm import (  # noqa: F401
     token_file,
     toxicity,
     url_rules,
+    vector_codes,
 )
 from tidemark.llm.common import ORACLES, QUERIES
 
