@@ -116,7 +116,7 @@ class GrayIndex:
         return q, self.order[node]
 
 
-def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest-member labels after joining a[i] with b[i]; ``label`` points at roots."""
     while True:
         low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
@@ -138,7 +138,7 @@ def group_links(codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     step = max(1, (1 << 20) // len(codes))
     for at in range(0, len(codes), step):
         q, member = index.search(codes[at : at + step], most)
-        label = _unite(label, q + at, member)
+        label = unite(label, q + at, member)
     member = np.flatnonzero(label != np.arange(len(codes)))
     return label[member], member
 
