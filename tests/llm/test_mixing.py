@@ -90,3 +90,19 @@ def test_mix_keeps_rows_and_columns(clashing, odd_ids, no_docs):
 def test_sources_without_tokens(spark):
     empty = spark.createDataFrame([(1, None, "a"), (2, " ", "b")], "doc_id long, text string, source string")
     assert sorted(r["doc_id"] for r in mixing.mix(empty, max_epochs=4.0).collect()) == [1, 2]
+
+
+def test_a_tiny_source_beside_an_entropy_target(spark):
+    """One word beside 200,000: equal weights would show it 200,000 times, the limit holds it."""
+    rows = [(0, "word", "tiny")] + [(i, "many words here " * 50, "large") for i in range(1, 1335)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    counts = mixing.token_counts(docs, "doc_id", "text", "source")
+    target = mixing.entropy_target(counts, 0.95)
+    per = mixing.shares(counts)
+    assert mixing.find_exponent(per, entropy=target) < mixing.find_exponent(per, entropy=target, max_epochs=20.0)
+    shown = mixing.mix(docs, entropy=target, max_epochs=20.0).groupBy("source").count().collect()
+    n = {r["source"]: r["count"] for r in shown}
+    assert n["tiny"] <= 20 and n["large"] == 1334
+    # A limit that the entropy does not touch changes nothing.
+    loose = mixing.find_exponent(per, entropy=target, max_epochs=1e9)
+    assert loose == mixing.find_exponent(per, entropy=target)

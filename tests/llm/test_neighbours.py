@@ -71,3 +71,34 @@ def test_ties_and_repeated_rows(spark, monkeypatch):
     assert [i for i, _ in got[100]] == [0, 0, *range(1, 19)]
     assert len(got[0]) == 40 and sorted(i for i, _ in got[0])[:2] == [0, 0]
     assert [i for i, _ in got[500]][:3] == [539, 538, 537]
+
+
+@pytest.mark.parametrize("sizes", [[1e-200] * 50, [1.0] * 50 + [1e200], [1e-300, 1.0, 1e300] * 20, [1e308] * 30])
+def test_extreme_lengths(spark, sizes):
+    """Lengths that under- or overflow: the search ends, and with ``exact`` gives what doubles give."""
+    rng = np.random.default_rng(1)
+    m = rng.uniform(0.1, 1, (len(sizes), 8)) * rng.choice([-1, 1], (len(sizes), 8)) * np.array(sizes)[:, None]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    with np.errstate(all="ignore"):
+        scores = np.nan_to_num(np.einsum("ij,kj->ik", m, m), nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+    got = searched(frame, exact=True, k=5)
+    for q, found in got.items():
+        order = [i for i in np.lexsort((np.arange(len(m)), -scores[q])) if i != q][:5]
+        assert [s for _, s in found] == pytest.approx([scores[q][i] for i in order])
+        if np.isfinite(scores[q]).all():
+            assert [i for i, _ in found] == order
+    assert {q: len(f) for q, f in searched(frame, k=5).items()} == {q: 5 for q in got}
+
+
+def test_exact_setting(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 300)
+    m = np.random.default_rng(8).standard_normal((1000, 16))
+    vectors = {i: m[i] for i in range(1000)}
+    got = searched(spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id long, embedding array<double>"), exact=True)
+    want = plain(vectors)
+    assert {q: [i for i, _ in f] for q, f in got.items()} == {q: [i for i, _ in f] for q, f in want.items()}
+
+
+def test_verified_vectors_grow_slower_than_the_table():
+    sizes = [neighbours.share_verified(n) * n for n in (2_000, 20_000, 200_000, 2_000_000)]
+    assert all(1 < b / a < 10 ** 0.86 for a, b in zip(sizes, sizes[1:]))

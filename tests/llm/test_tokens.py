@@ -2,6 +2,7 @@
 
 import glob
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -32,7 +33,6 @@ def test_elias_fano_is_small():
 
 def whole_texts(rows):
     encoder = Tokenizer.from_file(BYTE_BPE)
-    encoder.encode_special_tokens = True
     start = 0
     for i, t, *_ in sorted(rows, key=lambda r: r[0]):
         ids = encoder.encode(t or "", add_special_tokens=False).ids + [2]
@@ -49,6 +49,29 @@ def test_written_ids(spark, docs, rows, tmp_path, monkeypatch):
     assert len(glob.glob(f"{tmp_path}/tokens/ids-*.bin")) == shards.count()
 
 
+def test_written_ids_of_clashing_columns_and_added_tokens(spark, tmp_path):
+    texts = ["end <|endoftext|> of", "<|endoftext|>", "plain"]
+    frame = spark.createDataFrame([(i, t, 1.5, 2.5) for i, t in enumerate(texts)], "doc_id long, text string, id double, place double")
+    shards = token_file.write_tokens(frame, f"file://{tmp_path}/c", BYTE_BPE, end_id=2)
+    got = {r["id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in token_file.read_tokens(spark, f"file://{tmp_path}/c", shards).collect()}
+    library = Tokenizer.from_file(BYTE_BPE)
+    assert got == {i: library.encode(t, add_special_tokens=False).ids + [2] for i, t in enumerate(texts)}
+    assert len(got[1]) == 2
+
+
+def test_shards_are_read_by_as_many_tasks(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_file, "SHARD_BYTES", 1 << 12)
+    shards = token_file.write_tokens(docs, f"file://{tmp_path}/d", BYTE_BPE)
+    read = token_file.read_tokens(spark, f"file://{tmp_path}/d", shards)
+    assert shards.count() >= 4 and read.rdd.getNumPartitions() == shards.count()
+
+
+def test_long_words_are_not_kept():
+    encoder = token_file.Encoder(BYTE_BPE)
+    encoder.encode(["short " + "x" * 10_000 + " words"])
+    assert all(len(w) <= token_file.LONGEST_KEPT for w in encoder.recent) and encoder.kept < 1000
+
+
 def test_written_ids_with_odd_ids(spark, odd_ids, no_docs, tmp_path):
     shards = token_file.write_tokens(odd_ids, f"file://{tmp_path}/a", BYTE_BPE)
     got = token_file.read_tokens(spark, f"file://{tmp_path}/a", shards).orderBy("start", F.length("ids")).collect()
@@ -71,12 +94,14 @@ def odd_texts():
     return texts + ["", " ", "   ", "\n\n\n", " a", "a ", "a  ", "a \n b", "<|endoftext|>", "<s> </s>", "x" * 5000, " " * 300, chr(0x2581) * 3, "a" + chr(0x2581) + "b"]
 
 
-def test_pieces_of_texts_encode_like_whole_texts(monkeypatch):
-    """The cut into words and the caches don't change any id."""
-    monkeypatch.setattr(token_file, "CACHE", 50)
-    encoder, plain = token_file.Encoder(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
-    plain.encode_special_tokens = True
-    texts = odd_texts()
+@pytest.mark.parametrize("special", [False, True])
+def test_pieces_of_texts_encode_like_whole_texts(monkeypatch, special):
+    """The cut into words and the caches don't change any id; added tokens are what the untouched library makes of them."""
+    monkeypatch.setattr(token_file, "CACHE_BYTES", 20_000)
+    encoder, plain = token_file.Encoder(BYTE_BPE, special), Tokenizer.from_file(BYTE_BPE)
+    if special:
+        plain.encode_special_tokens = True
+    texts = odd_texts() + ["some <|endoftext|> here", "a<|endoftext|>b<|endoftext|>", " <|endoftext|> ", "<|endoftext|", "< |endoftext|>"]
     for at in range(0, len(texts), 30):
         got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts[at : at + 30])]
         assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts[at : at + 30]]
@@ -88,7 +113,7 @@ def model():
 
 
 def test_pieces_like_the_library(model, rows, monkeypatch):
-    monkeypatch.setattr(sentence_pieces, "CACHE", 100)
+    monkeypatch.setattr(sentence_pieces, "CACHE_BYTES", 40_000)
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     texts = odd_texts() + [t or "" for _, t, *_ in rows]
     for at in range(0, len(texts), 40):
@@ -99,6 +124,35 @@ def test_pieces_like_the_library(model, rows, monkeypatch):
             assert model.decode(ids) == library.decode(ids.tolist()) == t.replace(sentence_pieces.MARK, " ")
 
 
+def test_long_words_like_the_library(model):
+    """Chinese, base64, repeated letters and marks inside: cut at joints, and in time in proportion to the length."""
+    rng = random.Random(3)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    han = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(30_000))
+    base64 = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(30_000))
+    for text in (han, base64, "x" * 3000, "word" * 800, "a" + chr(0x2581) * 99 + "b" * 99, " " * 200 + "end"):
+        assert model.encode([text])[0].tolist() == library.encode(text)
+        assert all(len(w) <= sentence_pieces.LONG for w in model.recent)
+    times = []
+    for n in (1, 8):
+        began = time.process_time()
+        model.encode([han[:3000] * n + base64[:3000] * n])
+        times.append(time.process_time() - began)
+    assert times[1] < 16 * times[0] + 0.5
+
+
+def test_a_hash_alone_is_no_hit(model, monkeypatch):
+    """Pieces under wrong hashes are not taken for the substrings that have these hashes."""
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    text = "some words that have pieces of their own"
+    monkeypatch.setattr(model, "key_ids", np.roll(model.key_ids, 1))
+    monkeypatch.setattr(model, "recent", {})
+    monkeypatch.setattr(model, "older", {})
+    wrong = model.encode([text])[0].tolist()
+    assert wrong != library.encode(text) and all(i in set(model.byte_id.values()) for i in wrong)
+    model.recent.clear()
+
+
 def test_every_piece_encodes_to_itself(model):
     """Behind a mark of its own, each reachable piece is one piece."""
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)

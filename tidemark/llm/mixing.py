@@ -2,7 +2,7 @@
 
 Each source has a share p of all tokens (words).  Its weight is p**a, normalised.
 Smaller exponents flatten the mix; the exponent is bisected in [0, 1] until the mix meets a target
-entropy, or until no source repeats more often than a limit.  All sums over sources are
+entropy, or until no source repeats more often than a limit; with both, the limit goes first.  All sums over sources are
 Spark aggregates; one pass evaluates several halvings at once.
 
 A budget of tokens is dealt to the sources by weight.  ``budget=None`` takes the
@@ -15,7 +15,8 @@ no task orders a whole source.
 
 A null source is a source of its own; null and empty texts have no tokens, take part in whole epochs and
 in the beginning of one more by their hash.  Rows that are equal in id and text
-share their hash and stay together.  Without any token every weight is zero and each document
+share their hash and stay together.  Texts are counted whole, extra columns of any name pass through ``mix``, empty
+tables give empty mixes.  Without any token every weight is zero and each document
 is shown once.
 """
 
@@ -79,9 +80,13 @@ def _repetition(per: DataFrame, exponents: list[float]) -> list[float]:
 def find_exponent(per: DataFrame, entropy: float | None = None, max_epochs: float | None = None) -> float:
     """The largest exponent whose entropy is at least ``entropy``, or the least one
     whose repetitions stay within ``max_epochs``; the nearer end of [0, 1] if none does.
+
+    With both the limit goes first: the larger of the two exponents, whose entropy may be below the target.
     """
-    if (entropy is None) == (max_epochs is None):
+    if entropy is None and max_epochs is None:
         raise ValueError("give a target entropy or a repetition limit")
+    if entropy is not None and max_epochs is not None:
+        return max(find_exponent(per, entropy=entropy), find_exponent(per, max_epochs=max_epochs))
     low, high = 0.0, 1.0
     for _ in range(PASSES):
         steps = 1 << HALVINGS
@@ -182,8 +187,8 @@ def mix(df: DataFrame, entropy: float | None = None, max_epochs: float | None =
     return joined.select("row", F.explode(times)).select("row.*")
 
 
-#: Share of the largest possible entropy that the registered query asks for.
-TARGET_ENTROPY = 0.95
+#: Share of the largest possible entropy that the registered query asks for, and the epochs that a source may take for it.
+TARGET_ENTROPY, MOST_EPOCHS = 0.95, 64.0
 
 
 def entropy_target(counts: DataFrame, share: float) -> float:
@@ -194,8 +199,8 @@ def entropy_target(counts: DataFrame, share: float) -> float:
 
 @query("op1_mix_sources")
 def op1_mix_sources(spark, sf_dir):
-    """Every showing of every document in a mix with 95 % of the largest entropy."""
+    """Every showing of every document in a mix with 95 % of the largest entropy, no source shown more than ``MOST_EPOCHS`` times."""
     counts = stored(token_counts(table(spark, sf_dir, "documents"), "doc_id", "text", "source"), "mix-counts")
-    mixed = weights(counts, entropy=entropy_target(counts, TARGET_ENTROPY))
+    mixed = weights(counts, entropy=entropy_target(counts, TARGET_ENTROPY), max_epochs=MOST_EPOCHS)
     return shown(counts, plan(counts, mixed)).select(
         F.col("id").alias("doc_id"), "source", "epoch", "block", "place", F.col("tokens").alias("n_tokens"), F.round("weight", 12).alias("weight"))

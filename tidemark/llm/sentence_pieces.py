@@ -8,13 +8,15 @@ place e may use a piece only behind a last piece that it may follow.  For each e
 one candidate is left; the maximum over candidates by score stores its backpointer.
 
 Words (a run of word marks and what follows up to the next) encode one by one,
-since no piece has a mark behind another character.  Distinct words of a batch are grouped by
+since no piece has a mark behind another character.  Long ones are cut further, between any two neighbouring
+characters that no piece has side by side: no merge joins what stands on both sides.  Distinct words of a batch are grouped by
 length and advance together, a character at a time: hashes of all substrings that end there
-are looked up in the sorted hashes of the pieces.  Whether a piece may follow
+are looked up in the sorted hashes of the pieces, and the characters of a hit compared with the piece's.  Whether a piece may follow
 another is found by taking back their merges, for all open pairs together.
 
 Encoding follows the model's settings: white space becomes the mark, a mark is put in front, other characters
-without a piece become their bytes.  Null and empty texts have no ids.
+without a piece become their bytes.  Null and empty texts have no ids.  Texts are encoded whole; empty tables give
+empty results and other columns pass through.
 """
 
 from __future__ import annotations
@@ -33,8 +35,10 @@ MARK = chr(0x2581)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Distinct words that advance together.
 BATCH_WORDS = 1 << 13
-#: Encoded words kept in a worker, and one generation more.
-CACHE = 200_000
+#: Bytes that the encoded words kept in a worker may take, and the length from which on a word is cut and not kept.
+CACHE_BYTES, LONG = 64 << 20, 48
+#: What a kept word takes besides its characters and ids.
+_KEPT_OVERHEAD = 220
 #: Slots of the table of neighbouring pieces.
 PAIRS = 1 << 21
 
@@ -70,6 +74,13 @@ class Pieces:
         self.keys, self.key_ids = hashes[order], np.array(reachable)[order]
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two pieces share a hash")
+        self.codes = np.zeros((n, self.longest), np.uint32)
+        self.sizes = np.zeros(n, np.int64)
+        for i in reachable:
+            self.sizes[i] = len(self.text[i])
+            self.codes[i, : len(self.text[i])] = [ord(c) for c in self.text[i]]
+        # Characters that stand side by side in a piece.
+        self.joints = np.unique(np.array([ord(a) << 21 | ord(b) for i in normal for a, b in zip(self.text[i], self.text[i][1:])], np.int64))
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.keys >> np.uint64(44)] = True
         # Characters without a piece never merge, so white space of that kind cuts words as well.
@@ -78,6 +89,7 @@ class Pieces:
         self.pair_seen, self.pair_answer = np.full(PAIRS, -1, np.int64), np.zeros(PAIRS, bool)
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.kept = 0
 
     def _learn_merges(self, normal: list[int]) -> list[int]:
         """Which merges make each piece; the pieces that the model's own merges reach.
@@ -172,6 +184,10 @@ class Pieces:
             hit = self.keys[at] == wanted
             row, col, cand = row[hit], col[hit], self.key_ids[at[hit]]
             start = begin + col
+            same = self.sizes[cand] == end - start
+            for back_by in range(1, int((end - start).max(initial=0)) + 1):  # a hash alone decides nothing
+                same &= (back_by > end - start) | (codes[row, end - back_by] == self.codes[cand, np.maximum(self.sizes[cand] - back_by, 0)])
+            row, col, cand, start = row[same], col[same], cand[same], start[same]
             single = np.ones(n, bool)
             single[row[col == open_.shape[1] - 1]] = False
             before = last[row, start]
@@ -248,17 +264,34 @@ class Pieces:
         """Ids of each text."""
         # Words keep spaces for marks until their characters are looked up.
         cut = [self.cut.findall(" " + (t.replace(MARK, " ") if MARK in t else t)) if t else [] for t in texts]
-        if len(self.recent) > CACHE:
-            self.recent, self.older = {}, self.recent
-        recent, older, new = self.recent, self.older, []
+        cut = [[x for w in words for x in (self.apart(w) if len(w) > LONG else (w,))] if max(map(len, words), default=0) > LONG else words for words in cut]
+        recent, older = self.recent, self.older
+        fresh, new = {}, []
         for word in {w for words in cut for w in words if w not in recent}:
             known = older.get(word)
             if known is None:
                 new.append(word)
             else:
-                recent[word] = known
-        recent.update(zip(new, self.encode_words(new)))
-        return [np.frombuffer(b"".join([recent[w] for w in words]), np.int32) for words in cut]
+                fresh[word] = known
+        fresh.update(zip(new, self.encode_words(new)))
+        out = [np.frombuffer(b"".join([recent[w] if w in recent else fresh[w] for w in words]), np.int32) for words in cut]
+        for word, ids in fresh.items():
+            if len(word) <= LONG:
+                recent[word] = ids
+                self.kept += _KEPT_OVERHEAD + 2 * len(word) + len(ids)
+        # Two generations: a word that is used again moves to the recent ones before its generation goes.
+        if self.kept > CACHE_BYTES // 2:
+            self.recent, self.older, self.kept = {}, recent, 0
+        return out
+
+    def apart(self, word: str) -> list[str]:
+        """A word cut where no piece joins."""
+        codes = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        codes = np.where(codes == 32, ord(MARK), codes)
+        pairs = codes[:-1] << 21 | codes[1:]
+        at = np.minimum(np.searchsorted(self.joints, pairs), len(self.joints) - 1)
+        ends = [0, *(np.flatnonzero(self.joints[at] != pairs) + 1).tolist(), len(word)]
+        return [word[a:b] for a, b in zip(ends, ends[1:])]
 
     def decode(self, ids: np.ndarray) -> str:
         raw = b"".join([self.bytes[i] for i in ids.tolist()])

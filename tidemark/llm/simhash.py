@@ -231,29 +231,39 @@ def components(edges: DataFrame) -> DataFrame:
         edges = stored(small.select("e.u", "e.v").filter("u <> v").distinct(), "links")
 
 
-def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, hot: int = HOT_GROUP) -> DataFrame:
-    """id, fp, component of every row."""
-    rows = stored(fingerprints(df, id_col, text_col, width), "simhash-fingerprints")
+def grouped(rows: DataFrame, hot: int = HOT_GROUP) -> DataFrame:
+    """fp, component of every distinct fingerprint of ``rows`` (id, fp; a stored table)."""
     # Classes meet under their fingerprints, not under ids: texts that differ may share an id.
     prints = stored(rows.groupBy("fp").agg(F.min("id").alias("least_id")), "simhash-distinct")
     found = components(links(prints.select("fp", F.col("fp").alias("rep")), hot))
     rooted = stored(
         prints.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least_id", F.coalesce("component", "fp").alias("root")), "simhash-rooted")
     least = stored(rooted.groupBy("root").agg(F.min("least_id").alias("component")), "simhash-least")
-    classes = stored(rooted.join(least, "root").select("fp", "component"), "simhash-components")
-    return rows.join(classes, "fp", "left").select("id", "fp", "component")
+    return stored(rooted.join(least, "root").select("fp", "component"), "simhash-components")
+
+
+def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, hot: int = HOT_GROUP) -> DataFrame:
+    """id, fp, component of every row."""
+    rows = stored(fingerprints(df, id_col, text_col, width), "simhash-fingerprints")
+    return rows.join(grouped(rows, hot), "fp", "left").select("id", "fp", "component")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """The rows that stay, with all their columns: of each component the one with the smallest id.
 
     Rows without an id and rows that share the smallest id of a component stay.  Rows are removed by id and
-    fingerprint, since texts of several components may share an id.
+    fingerprint, since texts of several components may share an id.  The rows are stored once with their
+    fingerprint, which is made once.
     """
-    found = stored(near_groups(df, id_col, text_col, width), "simhash-groups")
+    own_fp = "simhash_of_row"
+    while own_fp in df.columns:
+        own_fp += "_"
+    own = stored(df.withColumn(own_fp, printer(width)(F.col(text_col))), "simhash-rows")
+    rows = own.select(F.col(id_col).cast("long").alias("id"), F.col(own_fp).alias("fp"))
+    found = rows.join(grouped(rows), "fp")
     gone = stored(found.filter("id <> component").select(F.col("id").alias("gone_id"), F.col("fp").alias("gone_fp")).distinct(), "simhash-gone")
-    own = df.withColumn("simhash_of_row", printer(width)(F.col(text_col)))
-    return own.join(gone, (F.col(id_col).cast("long") == F.col("gone_id")) & (F.col("simhash_of_row") == F.col("gone_fp")), "left_anti").select(*df.columns)
+    return own.join(gone, (F.col(id_col).cast("long") == F.col("gone_id")) & (F.col(own_fp) == F.col("gone_fp")), "left_anti").select(
+        *[F.col(f"`{c}`") for c in df.columns])
 
 
 @query("op4_simhash_near_dedup")

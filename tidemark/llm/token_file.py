@@ -9,6 +9,10 @@ vector; the place of every ``SAMPLE``-th one bit is sampled, so ``select(i)`` re
 a bounded stretch.  That takes about 2 + log2(n_ids / n_docs) bits a document and no
 table of 64-bit offsets.
 
+A text is encoded whole however long it is, and a document's ids stand in one shard, so a shard
+is as large as its longest document at least.  Extra columns are not read, whatever their names; an empty table
+writes no shard and reads back empty.
+
 Documents stand in ascending order of their id; those that share an id stand next
 to each other, in order of their text, and those without an id come last.  Null texts count as empty.
 A written file is complete under its final name, so a repeated task replaces it
@@ -37,8 +41,10 @@ MAGIC = b"TMEF0001"
 #: One bits between two samples of a select structure.
 SAMPLE = 256
 END_ID = 2
-#: Words kept with their ids in a worker.
-CACHE = 300_000
+#: Bytes that the words kept in a worker may take, with their ids, and the length from which on a word is not kept.
+CACHE_BYTES, LONGEST_KEPT = 96 << 20, 64
+#: What a kept word takes besides its characters and ids.
+_KEPT_OVERHEAD = 200
 #: New words that are encoded as one text.
 TOGETHER = 64
 
@@ -105,19 +111,27 @@ _OTHER_SPACE = re.compile("[" + "".join(map(chr, (
 
 
 class Encoder:
-    """Ids of whole texts by a byte-level model of the tokenizers library; words that come again are looked up."""
+    """Ids of whole texts by a byte-level model of the tokenizers library; words that come again are looked up.
+
+    With ``plain_special`` the strings of added tokens in a text are ordinary text; else
+    they give their own ids, as the library has it by default.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain_special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_special
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         # A byte-level token is written with one character per byte.
         self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())])
+        added = [] if plain_special else [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Texts that are encoded whole: with white space that the cut does not know, or an added token.
+        self.whole = re.compile("|".join([_OTHER_SPACE.pattern, *added]))
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.kept = 0
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -138,24 +152,49 @@ class Encoder:
             out += [packed[a * size : b * size] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text."""
-        cut = [None if _OTHER_SPACE.search(t) else _PIECE.findall(t) for t in texts]
-        if len(self.recent) > CACHE:
-            self.recent, self.older = {}, self.recent
-        recent, older = self.recent, self.older
-        inner, outer = [], []
-        for word in {w for words in cut if words for w in words if w not in recent}:
+    def _look_up(self, wanted: set[str]) -> dict[str, bytes]:
+        """Ids of words that are not among the recent ones."""
+        older, inner, outer, found = self.older, [], [], {}
+        for word in wanted:
             known = older.get(word)
             if known is not None:
-                recent[word] = known
+                found[word] = known
             elif word[0] in _SPACE and word[-1] not in _SPACE:
                 inner.append(word)
             else:
                 outer.append(word)
-        recent.update(zip(inner, self._word_ids(inner)))
-        recent.update(zip(outer, self._ids(outer)))
-        return [self._ids([t])[0] if words is None else b"".join([recent[w] for w in words]) for t, words in zip(texts, cut)]
+        found.update(zip(inner, self._word_ids(inner)))
+        found.update(zip(outer, self._ids(outer)))
+        return found
+
+    def _keep(self, found: dict[str, bytes]) -> None:
+        for word, ids in found.items():
+            if len(word) <= LONGEST_KEPT:
+                self.recent[word] = ids
+                self.kept += _KEPT_OVERHEAD + len(word) + len(ids)
+        # Two generations: a word that is used again moves to the recent ones before its generation goes.
+        if self.kept > CACHE_BYTES // 2:
+            self.recent, self.older, self.kept = {}, self.recent, 0
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text."""
+        cut = [None if self.whole.search(t) else _PIECE.findall(t) for t in texts]
+        flat = [w for words in cut if words is not None for w in words]
+        parts = list(map(self.recent.get, flat))
+        missing = [i for i, p in enumerate(parts) if p is None]
+        if missing:
+            found = self._look_up({flat[i] for i in missing})
+            for i in missing:
+                parts[i] = found[flat[i]]
+            self._keep(found)
+        out, at = [], 0
+        for t, words in zip(texts, cut):
+            if words is None:
+                out.append(self._ids([t])[0])
+            else:
+                out.append(b"".join(parts[at : at + len(words)]))
+                at += len(words)
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -279,7 +318,9 @@ def read_tokens(spark: SparkSession, root: str, shards: DataFrame) -> DataFrame:
         shards.withColumn("g", group).join(sums, "g")
         .select("shard", "place", (F.col("group_start") + F.coalesce(F.sum("n_ids").over(within), F.lit(0))).alias("start"))
     )
-    starts = stored(starts, "token-starts").repartition("place")
+    starts = stored(starts, "token-starts")
+    # As many tasks as shards: a number that is given is not joined up again at run time.
+    starts = starts.repartition(max(1, starts.count()), "place")
     return starts.select("shard", "start").mapInArrow(_read_shards(root), "id long, start long, ids binary")
 
 

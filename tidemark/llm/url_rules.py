@@ -7,11 +7,17 @@ the given rules only.  For each url all rules that could fit (the host and its p
 path length that rules have) are hashed and probed by one vectorised binary search a
 batch; a hit counts only if the stored rule is equal, so colliding digests do no harm.
 
+The index also holds host labels that are listed, as keys of a kind of their own: urls that fit no rule are
+blocked if a label of their host is one of them, else allowed.
+
 A rule fits its host and all subdomains if the url's path starts with the rule's;
 the longest rule wins.  Host: behind the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z
 lower-cased; path: from there up to ``?``, ``#`` or the end.  Null urls and urls without
-``://`` have an empty host and path and fit no rule.  Urls that fit no rule are blocked
-if a host label is one of ``LISTED``, else allowed.
+``://`` have an empty host and path, fit no rule and have no label.
+
+Of a host's parents only those with no more labels than the longest rule's host are keys, so a url takes time and
+memory in proportion to its length.  Repeated rows are judged each; an empty table gives an empty result; columns
+besides id and url are not read.
 """
 
 from __future__ import annotations
@@ -32,8 +38,10 @@ from tidemark.llm.common import as_bytes, query, table
 from tidemark.session import shared_dir
 
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-#: Host labels that are blocked where no rule fits.
+#: Host labels that are blocked where no rule fits; a parameter of ``judge``, which takes any number.
 LISTED = ("cheap-pills", "spam-farm")
+#: In front of a label's key; no host begins so.
+_LABEL = b"?"
 MAGIC = b"TMURL001"
 
 
@@ -105,9 +113,7 @@ def parts(url: bytes) -> tuple[bytes, bytes]:
     return rest[:end].lower(), path[:cut]
 
 
-def _judge(address: str, lengths: list[int], listed: tuple[str, ...]):
-    blocked = {x.encode() for x in listed}
-
+def _judge(address: str, lengths: list[int], most_labels: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(address)
         for batch in batches:
@@ -115,25 +121,23 @@ def _judge(address: str, lengths: list[int], listed: tuple[str, ...]):
             keys, owner = [], []
             for row, (host, path) in enumerate(split):
                 labels = host.split(b".") if host else []
-                for k in range(len(labels)):
-                    parent = b".".join(labels[k:])
-                    for n in lengths:
-                        if n <= len(path):
-                            keys.append(parent + path[:n])
-                            owner.append(row)
+                own = [_LABEL + x for x in set(labels)]
+                for k in range(1, min(most_labels, len(labels)) + 1):
+                    parent = b".".join(labels[-k:])
+                    own += [parent + path[:n] for n in lengths if n <= len(path)]
+                keys += own
+                owner += [row] * len(own)
             best: dict[int, tuple[int, bytes, str]] = {}
+            listed = set()
             for i, verdict in index.probe(keys).items():
+                if keys[i].startswith(_LABEL):
+                    listed.add(owner[i])
+                    continue
                 mine = (len(keys[i]), keys[i], verdict)
                 if owner[i] not in best or mine > best[owner[i]]:
                     best[owner[i]] = mine
-            rules, verdicts = [], []
-            for row, (host, _) in enumerate(split):
-                if row in best:
-                    rules.append(best[row][1].decode())
-                    verdicts.append(best[row][2])
-                else:
-                    rules.append(None)
-                    verdicts.append("block" if blocked & set(host.split(b".")) else "allow")
+            rules = [best[row][1].decode() if row in best else None for row in range(len(split))]
+            verdicts = [best[row][2] if row in best else "block" if row in listed else "allow" for row in range(len(split))]
             yield pa.RecordBatch.from_pydict({
                 "id": batch.column("id"), "host": pa.array([h.decode() for h, _ in split], pa.string()),
                 "path": pa.array([p.decode() for _, p in split], pa.string()),
@@ -145,10 +149,12 @@ def _judge(address: str, lengths: list[int], listed: tuple[str, ...]):
 def judge(df: DataFrame, rules=RULES, listed: tuple[str, ...] = LISTED, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """id, host, path, rule and verdict of every row."""
     spark: SparkSession = df.sparkSession
-    address = write_index(shared_dir(spark, "url-rules"), [(v, h.encode() + p.encode()) for h, p, v in rules])
+    entries = [(v, h.encode() + p.encode()) for h, p, v in rules] + [("block", _LABEL + x.encode()) for x in listed]
+    address = write_index(shared_dir(spark, "url-rules"), entries)
     lengths = sorted({len(p.encode()) for _, p, _ in rules})
+    most_labels = max((h.count(".") + 1 for h, _, _ in rules), default=0)
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url")).mapInArrow(
-        _judge(address, lengths, listed), "id long, host string, path string, rule string, verdict string")
+        _judge(address, lengths, most_labels), "id long, host string, path string, rule string, verdict string")
 
 
 @query("op8_url_filter", r"""
