@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import bins
-from tidemark.operators import evaluate, match, ordering, prepare, profile, quality, stability
+from tidemark.operators import comoments, evaluate, match, ordering, prepare, profile, quality, quantiles, stability
 
 DATES = [dt.date(2024, m, 1) for m in (1, 2, 3)]
 
@@ -106,7 +106,7 @@ def test_exact_quantiles(spark, kind):
     }[kind]
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
     df = spark.createDataFrame([("k", float(v)) for v in values] + [("k", None), ("empty", None)], "k string, v double")
-    got = {r.k: r for r in ordering.exact_quantiles(df, ["k"], F.col("v"), probs).collect()}
+    got = {r.k: r for r in quantiles.exact_quantiles(df, ["k"], F.col("v"), probs).collect()}
     assert set(got) == {"k"}
     for i, p in enumerate(probs):
         assert got["k"][f"q_{i}"] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-15)
@@ -114,11 +114,108 @@ def test_exact_quantiles(spark, kind):
 
 def test_quantiles_of_many_keys_need_no_broadcast(spark):
     df = spark.range(900).select((F.col("id") % 300).alias("k"), F.col("id").cast("double").alias("v"))
-    got = ordering.exact_quantiles(df, ["k"], F.col("v"), [0.5])
+    got = quantiles.exact_quantiles(df, ["k"], F.col("v"), [0.5])
     assert all(r.q_0 == r.k + 300 for r in got.collect())
     assert "BroadcastExchange" not in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("within", [10**9, 40])
+@pytest.mark.parametrize("slack", [quantiles.SLACK, 0.0, -0.2])
+def test_missed_brackets_are_widened(spark, monkeypatch, slack, within):
+    """A slack below zero makes brackets that can't hold their ranks; a small ``WITHIN`` narrows them first."""
+    monkeypatch.setattr(quantiles, "WITHIN", within)
+    monkeypatch.setattr(quantiles, "GRID", 32)
+    tries = []
+    ranked = quantiles._ranked
+    monkeypatch.setattr(quantiles, "_ranked", lambda *a: (tries.append(a), ranked(*a))[1])
+    rng = np.random.default_rng(7)
+    values = {"a": rng.normal(0, 1, 4000), "b": np.round(rng.exponential(2, 3000), 1), "c": np.array([1.0, 2.0])}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in values.items() for v in vs] + [("a", None), ("d", None), ("b", float("nan"))], "k string, v double").repartition(4)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
+    got = {r.k: r for r in quantiles.exact_quantiles(df, ["k"], F.col("v"), probs, also={"n": F.count("*")}, slack=slack).collect()}
+    assert {k: r.n for k, r in got.items()} == {"a": 4001, "b": 3001, "c": 2, "d": 1} and got["d"].q_0 is None
+    for k, vs in values.items():
+        assert [got[k][f"q_{i}"] for i in range(len(probs))] == pytest.approx(np.quantile(vs, probs), rel=1e-12)
+    if slack < 0:
+        assert len(tries) > 1
+
+
+def test_infinite_values_have_ranks(spark):
+    values = [float("-inf")] * 3 + [float(i) for i in range(2000)] + [float("inf")] * 2
+    df = spark.createDataFrame([("k", v) for v in values], "k string, v double")
+    got = quantiles.exact_quantiles(df, ["k"], F.col("v"), [0.0, 0.5, 0.9]).first()
+    assert (got.q_0, got.q_1) == (float("-inf"), 999.0) and got.q_2 == pytest.approx(1800.6)
+
+
+def test_codes_of_values_that_begin_alike_come_from_many_parts(spark):
+    """20,000 values with one beginning: even parts, codes in the order of the values."""
+    names = spark.range(20_000).select(F.format_string("Customer#%09d", (F.col("id") * 7919) % 20_000).alias("c"), F.when(F.col("id") % 2 == 0, "p").alias("d"))
+    encoder = prepare.fit_encoder(names.unionByName(names.limit(3000)), ["c", "d"])
+    got = encoder.orderBy("column_name", "value").collect()
+    assert [(r.value, r.code) for r in got[:20_000]] == [(f"Customer#{i:09d}", i) for i in range(20_000)]
+    assert [(r.value, r.code) for r in got[20_000:]] == [("Unknown", 0), ("p", 1)]
+    parts = spark.range(20_000).select(F.format_string("Customer#%09d", "id").alias("c")).repartitionByRange(8, "c").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in parts) < 2 * 20_000 / 8
+
+
+def test_encoding_joins_the_rows_once(spark):
+    rows = spark.createDataFrame([(1, "a", "x"), (2, None, "y"), (3, "new", None), (4, "b", "x")], "id int, c string, d string")
+    train = spark.createDataFrame([("a", "x"), ("b", "y"), (None, "x")], "c string, d string")
+    encoder = prepare.fit_encoder(train, ["c", "d"])
+    got = prepare.encode(rows, encoder, ["c", "d"])
+    assert got.columns == rows.columns
+    assert {r.id: (r.c, r.d) for r in got.collect()} == {1: (1, 0), 2: (0, 1), 3: (0, 2), 4: (2, 0)}
+    assert {r.id: (r.c, r.u) for r in prepare.encode(rows, encoder, ["c"], ["u"]).collect()} == {1: ("a", 1), 2: (None, 0), 3: ("new", 0), 4: ("b", 2)}
+
+
+@pytest.mark.parametrize("k", [5, 300])
+def test_correlation_of_many_columns(spark, monkeypatch, k):
+    """Against pandas: missing values, constants, large offsets, and partial results of many tasks."""
+    monkeypatch.setattr(comoments, "FAN", 3)
+    rng = np.random.default_rng(k)
+    m = rng.normal(0, 1, (400, k)) + rng.normal(0, 1, (400, 1)) * rng.random(k)
+    m[:, 1] += 1e8
+    m[:, 2] = 3.7
+    m[rng.random((400, k)) < 0.1] = np.nan
+    m[:, 3] = np.nan
+    names = [f"col {i}" for i in range(k)]
+    pdf = pd.DataFrame(m, columns=names)
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), ", ".join(f"`{c}` double" for c in names)).repartition(11)
+    got = {(r[0], r[1]): r[2] for r in profile.correlation_long(df, names).collect()}
+    want = pdf.corr(min_periods=2)
+    assert len(got) == k * k
+    for (a, b), r in got.items():
+        w = want.loc[a, b]
+        if names.index(a) in (2, 3) or names.index(b) in (2, 3):
+            assert r is None
+        elif a == b:
+            assert r == 1.0
+        else:
+            assert r == pytest.approx(w, abs=2e-6 if "col 1" in (a, b) else 1e-9)
+
+
+def test_correlation_without_rows(spark):
+    df = spark.createDataFrame([], "a double, b double")
+    assert profile.correlation_long(df, ["a", "b"]).collect() == []
+
+
+def test_distinct_sketches_merge(spark):
+    rows = spark.range(60_000).select((F.col("id") % 3).alias("p"), (F.col("id") % 20_000).cast("string").alias("c"), F.when(F.col("id") % 4 == 0, "z").alias("d"))
+    states = profile.distinct_states(rows, "p", ["c", "d"])
+    got = {r.column_name: r for r in profile.categorical_profile_from_states(states).collect()}
+    assert abs(got["c"].n_unique - 20_000) <= profile.distinct_error() * 20_000 and got["d"].n_unique == 1
+    assert (got["d"].null_count, got["d"].null_percent, got["c"].null_count) == (45_000, 75.0, 0)
+
+
+def test_shares_of_more_categories_than_columns(spark, monkeypatch):
+    monkeypatch.setattr(quality, "MAX_CATEGORIES", 3)
+    rows = spark.createDataFrame([("p", c) for c in "aabcde"] + [("q", "a"), ("q", None)], "p string, c string")
+    got = quality.category_shares_wide(rows, "p", "c")
+    assert got.columns == ["p", "category", "n", "percent"]
+    assert {(r.p, r.category): r.percent for r in got.collect()} == pytest.approx({("p", "a"): 100 / 3, **{("p", c): 100 / 6 for c in "bcde"}, ("q", "a"): 100.0})
+    assert quality.category_shares_wide(rows.where("c < 'd'"), "p", "c").columns == ["p", "pct_a", "pct_b", "pct_c"]
+
+
 @pytest.mark.parametrize("descending", [False, True])
 def test_running_totals(spark, descending):
     rng = np.random.default_rng(5)

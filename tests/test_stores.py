@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from tidemark.operators import features
 from tidemark.plans import acceptance, rules, tables
@@ -118,3 +119,78 @@ def test_acceptance(spark):
     assert got["bounds", "Monthly_Balance"] == "NOT FOUND" and ("sanity", "Monthly_Balance") not in got
     assert got["sanity", "Num_of_Loan"] == "PASS"
     assert {r.status for r in acceptance.accept(store.select("Annual_Income")).where("check = 'null_rate'").collect()} == {"NOT FOUND"}
+
+
+@pytest.mark.parametrize("day", ["1996-3-1", " 1996-03-01", dt.date(1996, 3, 1), dt.datetime(1996, 3, 1, 12)])
+def test_a_date_written_without_rows_is_empty(spark, day):
+    rows = spark.createDataFrame([("a", "1996-03-01"), ("b", "1996-04-01")], "k string, d string").select("k", F.to_date("d").alias("snapshot_date"))
+    root = writers.write_snapshots(rows, shared_dir(spark, "t"))
+    assert writers.write_counted(rows.where("false"), root, days=[day]) == {"1996-03-01": 0}
+    assert [r.k for r in readers.read_store(spark, root).collect()] == ["b"]
+    assert writers.write_counted(rows.where("k = 'a'"), root, days=[day, "1996-04-01"]) == {"1996-03-01": 1, "1996-04-01": 0}
+    assert [r.k for r in readers.read_store(spark, root).collect()] == ["a"]
+
+
+def test_a_malformed_day_is_an_error(spark):
+    with pytest.raises(ValueError):
+        writers.iso_day("1996-13-1")
+
+
+def test_rows_are_counted_while_written(spark):
+    """Counts per date, a date that holds most rows and rows without a date included in no count."""
+    day = F.when(F.col("id") % 50 == 3, None).when(F.col("id") % 3 == 0, F.lit("2024-02-01")).otherwise(F.date_add(F.lit("2024-03-01"), (F.col("id") % 400).cast("int")))
+    rows = spark.range(20_000).select("id", day.cast("date").alias("snapshot_date"))
+    counts = writers.write_counted(rows, shared_dir(spark, "t"))
+    want = {str(r[0]): r[1] for r in rows.where("snapshot_date IS NOT NULL").groupBy("snapshot_date").count().collect()}
+    assert counts == want and len(want) > 300
+
+
+def test_ingest_scans_its_source_once(spark, tmp_path):
+    """The rows that the scan of the source gives, counted where it is read, are those of one pass."""
+    columns = rules.RAW_LAYOUTS["attributes"]
+    lines = [",".join(columns)] + [",".join(f"2024-0{i % 3 + 1}-01" if c == "snapshot_date" else "1" for c in columns) for i in range(90)]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    seen = spark.sparkContext.accumulator(0)
+    read = readers.read_csv_text
+
+    def counting(*args, **kwargs):
+        raw = read(*args, **kwargs)
+
+        def each(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        return raw.mapInArrow(each, raw.schema)
+
+    readers.read_csv_text = counting
+    try:
+        bronze = shared_dir(spark, "bronze")
+        tables.ingest(spark, "attributes", str(tmp_path / "a.csv"), bronze, ["2024-1-1", "2024-02-01", "2024-06-01"])
+    finally:
+        readers.read_csv_text = read
+    assert seen.value == 90
+    register = spark.read.schema(tables.REGISTER_TYPE).parquet(f"{bronze}/{tables.REGISTER}")
+    assert {(str(r.snapshot_date), r.n_rows) for r in register.collect()} == {("2024-01-01", 30), ("2024-02-01", 30), ("2024-06-01", 0)}
+
+
+def test_registered_folders_need_no_footer(spark, monkeypatch):
+    """Schemas come from the register; a folder that another tool wrote is asked, and a folder written again has its last schema."""
+    register, root = shared_dir(spark, "register"), shared_dir(spark, "store")
+    day = lambda d: F.lit(d).cast("date").alias("snapshot_date")
+    writers.write_snapshots(spark.range(3).select("id", day("2024-01-01")), root, register=register)
+    writers.write_snapshots(spark.range(4).select(F.col("id").cast("string").alias("id"), day("2024-02-01")), root, register=register)
+    writers.write_snapshots(spark.range(5).select(F.col("id").cast("int").alias("id"), day("2024-03-01")), root, register=register)
+    writers.write_snapshots(spark.range(5).select(F.col("id").cast("double").alias("id"), day("2024-03-01")), root, register=register)
+    writers.write_snapshots(spark.range(6).select("id", day("2024-04-01")), root)
+    asked, footers = [], readers.footer_schemas
+    monkeypatch.setattr(readers, "footer_schemas", lambda spark, paths: (asked.extend(paths), footers(spark, paths))[1])
+    paths = [f"{root}/snapshot_date=2024-0{m}-01" for m in range(1, 5)]
+    found = readers.partition_schemas(spark, paths, register)
+    assert asked == paths[3:]
+    assert [found[p]["id"].dataType.simpleString() for p in paths] == ["bigint", "string", "double", "bigint"]
+    assert found == readers.partition_schemas(spark, paths)
+    target = StructType([StructField("id", LongType()), StructField("snapshot_date", DateType())])
+    got = readers.read_reconciled(spark, paths, target, register)
+    assert {(str(r[0]), r[1], r[2]) for r in got.groupBy("snapshot_date").agg(F.count("id"), F.sum("id")).collect()} == {
+        ("2024-01-01", 3, 3), ("2024-02-01", 4, 6), ("2024-03-01", 5, 10), ("2024-04-01", 6, 15)}

@@ -14,13 +14,7 @@ ALERT_SCHEMA = "priority int, severity string, category string, message string,
 
 # Sentences of stored monitoring summaries.
 DRIFT_SIGNIFICANT = "Significant population drift detected in %d periods (PSI >= {threshold})"
-DRIFT_MODERATE = "Moderate population drift detected in %d periods"
 DRIFT_SIGNIFICANT_ADVICE = "Model retraining strongly recommended"
-DRIFT_MODERATE_ADVICE = "Monitor closely and investigate root causes"
-DEGRADED = "Production AUC (%.4f) significantly lower than training (%.4f)"
-DEGRADED_ADVICE = "Investigate model degradation and consider retraining"
-FEATURES_DRIFTED = "%d features showing significant drift"
-FEATURES_DRIFTED_ADVICE = "Investigate feature changes and data pipeline"
 MISSING_VALUES = "Missing value rate exceeds {limit}%% (max: %.2f%%)"
 MISSING_VALUES_ADVICE = "Review data pipeline and investigate missing data sources"
 URGENT = "URGENT: %d critical issue(s) detected - immediate action required"
@@ -29,26 +23,18 @@ STANDING_ADVICE = (
     "Set up automated alerts for PSI > 0.2 or feature drift > 0.2",
     "Schedule quarterly model performance reviews",
 )
-RETRAIN_DRIFT = "Significant population drift in %d periods"
-RETRAIN_DROP = "AUC dropped by %.4f from training baseline"
-RETRAIN = "Model retraining recommended"
-NO_RETRAIN = "Model is stable, no retraining needed"
-
-# The longer report has sentences of its own.
-EXTENDED = {
-    "degraded": "Act now: AUC in production is %.4f, well below the %.4f of training.",
-    "falling": "Watch: AUC went from %.4f in the first periods to %.4f in the last ones.",
-    "drift": "Act now: scores have moved away from the first period; plan a retraining.",
-    "some_drift": "Watch: scores have moved a little; find out why before they move further.",
-    "no_drift": "Scores are where they were; nothing to do.",
-    "features": "Act now: %d features have drifted; trace each to its source table.",
-    "missing": "Watch: some month lacks more than {limit} %% of its values; check that month's load.",
-    "variable": "Watch: the share of predicted defaults jumps between periods; check the inputs.",
-    "monthly": "Go through these tables every month.",
-    "drift_alarm": "Raise an alarm by machine when a PSI passes 0.2, for scores or for a feature.",
-    "auc_alarm": "Raise an alarm by machine when AUC falls five points below training.",
-    "quarterly": "Review the model as a whole once a quarter.",
-}
+
+# Sentences of this library.
+DRIFT_MODERATE = "Scores moved between the two drift limits; periods concerned: %d"
+DRIFT_MODERATE_ADVICE = "Compare the drifted periods with the first one, source by source"
+DEGRADED = "AUC is %.4f on labelled predictions and was %.4f in training: more is lost than accepted"
+DEGRADED_ADVICE = "Check labels and inputs of the weakest periods, then fit anew"
+FEATURES_DRIFTED = "Features beyond the drift limit: %d"
+FEATURES_DRIFTED_ADVICE = "Trace each feature listed to its table and load date"
+RETRAIN_DRIFT = "Periods beyond the drift limit: %d"
+RETRAIN_DROP = "AUC lost since training: %.4f"
+RETRAIN = "Fit the model anew"
+NO_RETRAIN = "Keep the model"
 
 
 def _alert(
@@ -215,6 +201,10 @@ def retrain_decision(
     )
 
 
+#: The standing points of the longer report; the second-last one asks for an evaluation.
+STANDING_RULES = ("monthly_review", "drift_alarm", "auc_alarm", "quarterly_review")
+
+
 def extended_recommendations(
     psi_summary: DataFrame,
     performance: DataFrame,
@@ -226,26 +216,35 @@ def extended_recommendations(
     trend_drop: float = 0.03,
     missing_rate: float = 5.0,
 ) -> DataFrame:
-    """The longer report: degradation, falling trend, drift, quality, variability, advice."""
-    def rows(position: int, df: DataFrame, test: Column, text: Column) -> DataFrame:
-        return df.where(test).select(F.lit(position).alias("position"), text.alias("recommendation"))
+    """The longer report: degradation, falling trend, drift, quality, variability, standing points.
+
+    ``(position, rule, level, values, recommendation)``; the text is made from the
+    other columns, values with four digits in the order of their names.
+    """
+    def rows(position: int, df: DataFrame, rule: str, level: Column | str, test: Column | None = None, **values: Column) -> DataFrame:
+        kept = df if test is None else df.where(test)
+        entries = [x for k, v in values.items() for x in (F.lit(k), v.cast("double"))]
+        return kept.select(
+            F.lit(position).alias("position"), F.lit(rule).alias("rule"),
+            (F.lit(level) if isinstance(level, str) else level).alias("level"),
+            (F.create_map(*entries) if entries else F.create_map()).cast("map<string,double>").alias("values"),
+        )
 
-    available = F.col("evaluation_available")
-    say = {k: F.lit(v.format(limit=f"{missing_rate:g}").replace("%%", "%")) for k, v in EXTENDED.items()}
     parts = [
-        rows(1, performance, F.col("avg_auc") < F.col("training_test_auc") - auc_drop,
-             F.format_string(EXTENDED["degraded"], "avg_auc", "training_test_auc")),
-        rows(2, trend, (F.col("n_periods") >= 3) & (F.col("change") < -trend_drop),
-             F.format_string(EXTENDED["falling"], "early", "recent")),
-        rows(3, psi_summary, F.lit(True), F.when(F.col("n_significant") > 0, say["drift"])
-             .when(F.col("n_moderate") > 0, say["some_drift"]).otherwise(say["no_drift"])),
-        rows(4, drift_summary, F.col("n_features_high_drift") > 0,
-             F.format_string(EXTENDED["features"], "n_features_high_drift")),
-        rows(5, quality_summary, F.col("max_missing_rate_pct") > missing_rate, say["missing"]),
-        rows(6, variability, F.col("high_variability"), say["variable"]),
-        rows(7, performance, F.lit(True), say["monthly"]),
-        rows(8, performance, F.lit(True), say["drift_alarm"]),
-        rows(9, performance, available, say["auc_alarm"]),
-        rows(10, performance, F.lit(True), say["quarterly"]),
+        rows(1, performance, "auc_against_training", "critical", F.col("avg_auc") < F.col("training_test_auc") - auc_drop,
+             production=F.col("avg_auc"), training=F.col("training_test_auc")),
+        rows(2, trend, "auc_trend", "warning", (F.col("n_periods") >= 3) & (F.col("change") < -trend_drop),
+             first_periods=F.col("early"), last_periods=F.col("recent")),
+        rows(3, psi_summary, "score_drift", F.when(F.col("n_significant") > 0, "critical").when(F.col("n_moderate") > 0, "caution").otherwise("ok"),
+             moderate=F.col("n_moderate"), significant=F.col("n_significant")),
+        rows(4, drift_summary, "feature_drift", "critical", F.col("n_features_high_drift") > 0, features=F.col("n_features_high_drift")),
+        rows(5, quality_summary, "missing_values", "caution", F.col("max_missing_rate_pct") > missing_rate,
+             limit_pct=F.lit(missing_rate), max_pct=F.col("max_missing_rate_pct")),
+        rows(6, variability, "predicted_rate_varies", "caution", F.col("high_variability")),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    for i, rule in enumerate(STANDING_RULES):
+        parts.append(rows(7 + i, performance, rule, "standing", F.col("evaluation_available") if rule == "auc_alarm" else None))
+    shown = F.transform(
+        F.array_sort(F.map_entries("values")), lambda e: F.format_string(" %s=%.4f", e["key"], e["value"]))
+    return reduce(DataFrame.unionByName, parts).withColumn(
+        "recommendation", F.concat("level", F.lit(": "), "rule", F.array_join(shown, "")))

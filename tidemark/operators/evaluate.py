@@ -9,12 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions.bands import comparison_status
 from tidemark.functions.bins import bin_index
 from tidemark.functions.numbers import share
-from tidemark.operators.ordering import (
-    exact_quantiles,
-    levels,
-    running_totals,
-    value_counts_ordered,
-)
+from tidemark.operators.ordering import levels, running_totals, value_counts_ordered
+from tidemark.operators.quantiles import exact_quantiles
 
 _COUNTS = ("tp", "fp", "tn", "fn")
 
@@ -326,30 +322,24 @@ def box_stats(
     range of the box, and never inside the box.
     """
     keys = list(keys)
-    quartiles = exact_quantiles(df, keys, F.col(value), [0.25, 0.5, 0.75]).select(
-        *keys,
-        F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3"),
-    )
+    v = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
+    box = exact_quantiles(
+        df, keys, v, [0.25, 0.5, 0.75], also={"n": F.count(v), "mean": F.avg(v)}
+    ).select(*keys, "n", "mean", F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3"))
     spread = F.col("q3") - F.col("q1")
-    v = F.col(value).cast("double")
-    fenced = df.select(*keys, v.alias("__v")).join(quartiles, keys)
-    return (
-        fenced.groupBy(*keys)
-        .agg(
-            F.count("__v").alias("n"),
-            F.avg("__v").alias("mean"),
-            F.first("q1").alias("q1"),
-            F.first("median").alias("median"),
-            F.first("q3").alias("q3"),
-            F.min(F.when(F.col("__v") >= F.col("q1") - reach * spread, F.col("__v"))).alias("__lo"),
-            F.max(F.when(F.col("__v") <= F.col("q3") + reach * spread, F.col("__v"))).alias("__hi"),
-        )
-        .select(
-            *keys, "n", "mean", "q1", "median", "q3",
-            F.least("__lo", "q1").alias("whisker_low"),
-            F.greatest("__hi", "q3").alias("whisker_high"),
+    # Only the ends of the whiskers need another pass.
+    fences = box.select(*keys, (F.col("q1") - reach * spread).alias("__from"), (F.col("q3") + reach * spread).alias("__to"))
+    ends = (
+        df.select(*keys, v.alias("__v")).join(fences, keys).groupBy(*keys).agg(
+            F.min(F.when(F.col("__v") >= F.col("__from"), F.col("__v"))).alias("__lo"),
+            F.max(F.when(F.col("__v") <= F.col("__to"), F.col("__v"))).alias("__hi"),
         )
     )
+    return box.where("n > 0").join(ends, keys).select(
+        *keys, "n", "mean", "q1", "median", "q3",
+        F.least("__lo", "q1").alias("whisker_low"),
+        F.greatest("__hi", "q3").alias("whisker_high"),
+    )
 
 
 def trend_check(metrics: DataFrame, period: str, value: str, k: int = 3) -> DataFrame:

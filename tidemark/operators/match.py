@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark.functions.dates import month_number
 
 
+#: Months from a prediction back and ahead to a label (fixed values).
+BACK, AHEAD = 6, 12
+
+
 def _least(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key in the given order.
 
@@ -23,8 +27,8 @@ def nearest_label(
     predictions: DataFrame,
     labels: DataFrame,
     key: str = "Customer_ID",
-    back: int = 6,
-    ahead: int = 12,
+    back: int = BACK,
+    ahead: int = AHEAD,
 ) -> DataFrame:
     """One row per (key, inference_date): the prediction and its closest label.
 

@@ -129,67 +129,6 @@ def running_totals(
     )
 
 
-def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: Column, probs: Sequence[float]
-) -> DataFrame:
-    """Exact quantiles with linear interpolation, one column ``q_<i>`` per prob.
-
-    The first scan counts rows per coarse bucket, which is combined on the map
-    side to almost nothing; it tells which buckets hold the wanted ranks.  The
-    second scan counts the values of those buckets only, at most two per key
-    and probability, and narrows them level by level before ordering values.
-    """
-    keys = list(keys)
-    v = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
-    rows = df.where(v.isNotNull()).select(*keys, v.alias(_VALUE), coarse_bucket(v).alias(_COARSE))
-    narrowest, *_ = levels(keys)
-    # Zero-based positions in the sorted values; a fraction lies between two ranks.
-    positions = [F.lit(float(p)) * (F.col("__total") - 1) for p in probs]
-
-    def holds(rank: Column) -> Column:
-        return (rank >= F.col("__start")) & (rank < F.col("__end"))
-
-    wanted = reduce(
-        lambda a, b: a | b, [holds(side(p)) for p in positions for side in (F.floor, F.ceil)]
-    )
-
-    def ranked(counts: DataFrame, base: Column, group: Sequence[str], order: str) -> DataFrame:
-        """Add the ranks ``[__start, __end)`` that each row of ``counts`` covers."""
-        return counts.withColumn(
-            "__end", base + F.sum("__n").over(_upto(group, order))
-        ).withColumn("__start", F.col("__end") - F.col("__n"))
-
-    histogram = rows.groupBy(*keys, _COARSE).agg(F.count("*").alias("__n"))
-    # At most 2 * len(probs) rows per key, here and at each level below.
-    crowded = (
-        ranked(histogram, F.lit(0), keys, _COARSE)
-        .withColumn("__total", F.sum("__n").over(Window.partitionBy(*keys)))
-        .where(wanted)
-        .select(*keys, _COARSE, F.col("__start").alias("__base"), "__total")
-    )
-    counts = (
-        rows.join(crowded, on=[*keys, _COARSE])
-        .groupBy(*keys, _COARSE, _VALUE)
-        .agg(F.count("*").alias("__n"), F.max("__base").alias("__base"), F.max("__total").alias("__total"))
-    )
-    for group, name in (([*keys, _COARSE], _FINE), ([*keys, _COARSE, _FINE], _FINEST)):
-        counts = _split(counts, group, name)
-        totals = counts.groupBy(*group, name).agg(
-            F.sum("__n").alias("__n"), F.max("__base").alias("__base"), F.max("__total").alias("__total")
-        )
-        holders = ranked(totals, F.col("__base"), group, name).where(wanted).select(*group, name, F.col("__start").alias("__first"))
-        counts = counts.join(holders, on=[*group, name]).withColumn("__base", F.col("__first")).drop("__first")
-    values = ranked(counts, F.col("__base"), *narrowest)
-
-    def interpolated(i: int) -> Column:
-        p = positions[i]
-        low = F.max(F.when(holds(F.floor(p)), F.col(_VALUE)))
-        high = F.max(F.when(holds(F.ceil(p)), F.col(_VALUE)))
-        return (low + (high - low) * F.max(p - F.floor(p))).alias(f"q_{i}")
-
-    return values.groupBy(*keys).agg(*[interpolated(i) for i in range(len(probs))])
-
-
 def numbered_in_strata(
     df: DataFrame,
     stratum: str,

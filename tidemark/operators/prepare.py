@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.operators.ordering import exact_quantiles, numbered_in_strata
+from tidemark.operators.ordering import numbered_in_strata
+from tidemark.operators.quantiles import exact_quantiles
 from tidemark.operators.stability import unpivot_numeric
+from tidemark.session import cut_lineage
 
 UNKNOWN = "Unknown"
 
@@ -98,53 +100,61 @@ def fit_encoder(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Codes of the sorted distinct values, null as ``Unknown``.
 
     ``(column_name, value, code)``.  Pass the training rows, or all rows for
-    the variant that knows every category.  Values are ordered among those that
-    begin alike, then the beginnings, so no task orders a whole vocabulary
-    unless all its values begin with the same characters.
+    the variant that knows every category.  Spark samples the distinct values
+    for range bounds, so a vocabulary of any size, however alike its values
+    begin, is sorted in even parts; a value's code is its place in its part plus
+    what the parts before hold.  The numbered values are stored.
     """
     values = (
         df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias(c) for c in columns])
         .unpivot([], list(columns), "column_name", "value")
         .distinct()
-        .withColumn("__begin", F.substring("value", 1, 2))
-        .withColumn("__next", F.substring("value", 3, 3))
     )
-    alike = ["column_name", "__begin", "__next"]
-    inside = F.row_number().over(Window.partitionBy(*alike).orderBy("value")) - 1
-
-    def before(table: DataFrame, group: Sequence[str], order: str, name: str) -> DataFrame:
-        window = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return table.withColumn(name, F.coalesce(F.sum("__n").over(window), F.lit(0)))
-
-    counts = values.groupBy(*alike).agg(F.count("*").alias("__n"))
-    wide = before(counts.groupBy(*alike[:2]).agg(F.sum("__n").alias("__n")), alike[:1], "__begin", "__wide").drop("__n")
-    offsets = before(counts, alike[:2], "__next", "__narrow").join(wide, alike[:2])
-    return values.join(offsets, alike).select(
-        "column_name", "value", (inside + F.col("__narrow") + F.col("__wide")).cast("int").alias("code")
+    order = ["column_name", "value"]
+    # The id's upper bits are the partition, its lower 33 bits the place in it.
+    numbered = cut_lineage(
+        values.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id()),
+        "encoder",
+    ).withColumn("__part", F.shiftrightunsigned("__id", 33))
+    # A row per column and partition.
+    parts = numbered.groupBy("column_name", "__part").agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))
+    before = Window.partitionBy("column_name").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(
+        "column_name", "__part", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__shift")
+    )
+    return numbered.join(offsets, ["column_name", "__part"]).select(
+        "column_name", "value", (F.col("__id") + F.col("__shift")).cast("int").alias("code")
     )
 
 
-def encode(df: DataFrame, encoder: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace categories by their codes.
+def encode(df: DataFrame, encoder: DataFrame, columns: Sequence[str], names: Sequence[str] | None = None) -> DataFrame:
+    """Categories as codes, in place or as the columns ``names``.
 
     A value unseen in fitting takes the code of ``Unknown``, or one past the
     last code where training had no unknowns.  Pass a stored encoder: each
-    column reads it.  Its size decides at run time whether a join shuffles; one
-    that does is split where a value is hot.
+    column reads it.
+
+    Codes are looked up for the distinct combinations of the columns; the rows
+    themselves are joined once, with the combinations, however many columns there are.
     """
-    for c in columns:
+    if not columns:
+        return df
+    names = list(names or columns)
+    asked = [f"__value_{i}" for i in range(len(columns))]
+    valued = df.withColumns({a: F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)) for a, c in zip(asked, columns)})
+    combinations = valued.select(*asked).distinct()
+    for i, c in enumerate(columns):
         own = encoder.where(F.col("column_name") == c)
         fallback = own.agg(
             F.coalesce(F.max(F.when(F.col("value") == UNKNOWN, F.col("code"))), F.max("code") + 1)
         ).scalar()
-        codes = own.select(F.col("value").alias("__value"), F.col("code").alias("__code"))
-        df = (
-            df.withColumn("__value", F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)))
-            .join(codes, "__value", "left")
-            .withColumn(c, F.coalesce(F.col("__code"), fallback))
-            .drop("__value", "__code")
-        )
-    return df
+        codes = own.select(F.col("value").alias(asked[i]), F.col("code").alias(f"__code_{i}"))
+        combinations = combinations.join(codes, asked[i], "left").withColumn(
+            f"__code_{i}", F.coalesce(F.col(f"__code_{i}"), fallback))
+    out = valued.join(combinations, asked, "left")
+    out = out.withColumns({n: F.col(f"__code_{i}") for i, n in enumerate(names)})
+    kept = df.columns + [n for n in names if n not in df.columns]
+    return out.select(*[F.col(f"`{c}`") for c in kept])
 
 
 def feature_matrix(

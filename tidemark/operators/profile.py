@@ -7,14 +7,14 @@ the long result is made afterwards from the one wide row.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.numbers import is_missing
 from tidemark.functions.text import non_numeric
-from tidemark.operators.ordering import exact_quantiles
+from tidemark.operators.comoments import correlations
+from tidemark.operators.quantiles import exact_quantiles
 from tidemark.operators.stability import unpivot_numeric
 
 
@@ -60,15 +60,9 @@ def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, exact quartiles and max of each column."""
     long = unpivot_numeric(df, [], columns, "column_name")
     value = F.when(~F.isnan("value"), F.col("value"))
-    basic = long.groupBy("column_name").agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    )
-    quartiles = exact_quantiles(long, ["column_name"], F.col("value"), [0.25, 0.5, 0.75])
-    return basic.join(quartiles, "column_name", "left").select(
+    return exact_quantiles(long, ["column_name"], F.col("value"), [0.25, 0.5, 0.75], also={
+        "n": F.count(value), "mean": F.avg(value), "std": F.stddev_samp(value), "min": F.min(value), "max": F.max(value),
+    }).select(
         "column_name", "n", "mean", "std", "min",
         F.col("q_0").alias("q25"), F.col("q_1").alias("q50"), F.col("q_2").alias("q75"), "max",
     )
@@ -133,6 +127,41 @@ def categorical_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+#: A distinct sketch has 2**SKETCH_BITS registers.
+SKETCH_BITS = 14
+
+
+def distinct_error(bits: int = SKETCH_BITS) -> float:
+    """Relative error that an estimate exceeds in about one of 400 cases."""
+    return 3 * 1.04 / 2 ** (bits / 2)
+
+
+def distinct_states(df: DataFrame, period: str, columns: Sequence[str], bits: int = SKETCH_BITS) -> DataFrame:
+    """``(period, column_name, n_rows, null_count, sketch)``: distinct counts that can be merged.
+
+    A sketch has a fixed size (about 2**bits bytes at most), however many values there are.
+    Store a row per snapshot and column; the profile of any set of snapshots follows without their rows.
+    """
+    long = df.select(period, *[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
+        [period], list(columns), "column_name", "value"
+    )
+    return long.groupBy(period, "column_name").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("value").isNull()).alias("null_count"),
+        F.hll_sketch_agg("value", bits).alias("sketch"),
+    )
+
+
+def categorical_profile_from_states(states: DataFrame) -> DataFrame:
+    """The approximate ``categorical_profile`` of all periods in ``states``."""
+    nulls = F.sum("null_count")
+    return states.groupBy("column_name").agg(
+        nulls.alias("null_count"),
+        F.round(nulls / F.sum("n_rows") * 100, 1).alias("null_percent"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_unique"),
+    )
+
+
 def key_checks(
     df: DataFrame, unique_key: str, entity_key: str, date: str
 ) -> DataFrame:
@@ -288,26 +317,8 @@ def availability_verdict(rate: DataFrame, pass_below: float = 5.0, fail_above: f
 
 
 def correlation_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation, the full matrix in long form.
-
-    All pairs are aggregates of one pass; partial sums are combined on the map side.
-    """
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    pairs = list(combinations(columns, 2))
-    both = lambda a, b: F.corr(F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b)))
-    wide = values.agg(
-        *[both(a, b).alias(f"r__{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.when(F.stddev_pop(c) > 0, F.lit(1.0)).alias(f"d__{i}") for i, c in enumerate(columns)],
-    )
-    entries = [
-        F.struct(F.lit(x).alias("feature_1"), F.lit(y).alias("feature_2"), F.col(f"r__{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)
-        for x, y in ((a, b), (b, a))
-    ] + [
-        F.struct(F.lit(c).alias("feature_1"), F.lit(c).alias("feature_2"), F.col(f"d__{i}").alias("correlation"))
-        for i, c in enumerate(columns)
-    ]
-    return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    """Pairwise-complete Pearson correlation, the full matrix in long form, for any number of columns."""
+    return correlations(df, columns)
 
 
 def high_correlations(

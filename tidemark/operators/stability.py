@@ -119,13 +119,17 @@ def psi_between(
     )
 
 
-def psi_over_time(df: DataFrame, score: str, period: str, bins: int = 10) -> DataFrame:
-    """PSI of every later period against the first: ``(date, psi, baseline_date)``."""
-    shares = (
-        bin_counts(df.where(F.col(period).isNotNull()), [period], F.col(score), bins)
-        .select(period, floored_shares(F.col("counts"), F.col("n_rows")).alias("shares"))
-    )
-    # One row per period from here on.
+def score_state(df: DataFrame, score: str, period: str, bins: int = 10) -> DataFrame:
+    """Per period what the PSI needs of its rows: ``(period, n_rows, n_values, counts)``.
+
+    The states of two parts of a period add up (``merge_states``).
+    """
+    return bin_counts(df.where(F.col(period).isNotNull()), [period], F.col(score), bins)
+
+
+def psi_from_state(state: DataFrame, period: str) -> DataFrame:
+    """PSI of every later period against the first, from one row per period."""
+    shares = state.select(period, floored_shares(F.col("counts"), F.col("n_rows")).alias("shares"))
     first = Window.orderBy(period).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         shares.select(
@@ -137,6 +141,32 @@ def psi_over_time(df: DataFrame, score: str, period: str, bins: int = 10) -> Dat
     )
 
 
+def psi_over_time(df: DataFrame, score: str, period: str, bins: int = 10) -> DataFrame:
+    """PSI of every later period against the first: ``(date, psi, baseline_date)``."""
+    return psi_from_state(score_state(df, score, period, bins), period)
+
+
+def merge_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """States of parts, several rows per key, to one row per key.
+
+    Counts add up; the mean and the sum of squared deviations, where there are
+    any, are combined around the common mean.
+    """
+    width = F.max(F.size("counts"))
+    counts = F.transform(
+        F.sequence(F.lit(0), width - 1),
+        lambda i: F.aggregate(F.collect_list("counts"), F.lit(0).cast("long"), lambda total, c: total + c[i]),
+    )
+    out = [F.sum("n_rows").alias("n_rows"), F.sum("n_values").alias("n_values")]
+    if "mean" in states.columns:
+        whole = Window.partitionBy(*keys)
+        n = F.col("n_values").cast("double")
+        states = states.withColumn("__all", F.sum(n * F.col("mean")).over(whole) / F.nullif(F.sum(n).over(whole), F.lit(0.0)))
+        gap = F.col("mean") - F.col("__all")
+        out += [F.first("__all").alias("mean"), F.sum(F.col("squares") + n * gap * gap).alias("squares")]
+    return states.groupBy(*keys).agg(*out, counts.alias("counts"))
+
+
 def psi_summary(psi: DataFrame, moderate: float = 0.1, significant: float = 0.2) -> DataFrame:
     """One row; ties of the extremes go to the earliest date, no rows give zeros."""
     by_psi = F.struct(F.col("psi"), (-F.unix_date("date")).alias("d"))
@@ -162,21 +192,27 @@ def unpivot_numeric(
     return doubles.unpivot(list(keys), list(columns), name, "value")
 
 
-def feature_drift(
-    df: DataFrame, period: str, features: Sequence[str], bins: int = 10
-) -> DataFrame:
-    """PSI, mean change and std change of each feature against the first period.
+def feature_state(df: DataFrame, period: str, features: Sequence[str], bins: int = 10) -> DataFrame:
+    """Per period and feature what the drift needs of its rows.
 
-    Nulls are left out of the shares.  A feature without values in the first
-    period, or in the period itself, gives no row.
+    ``(period, feature, n_rows, n_values, mean, squares, counts)``; ``squares`` is the
+    sum of squared deviations from the mean.  The states of two parts of a
+    period are combined by ``merge_states``.
     """
     long = unpivot_numeric(df.where(F.col(period).isNotNull()), [period], features)
-    stats = bin_counts(long, [period, "feature"], F.col("value"), bins, moments=True).select(
+    return bin_counts(long, [period, "feature"], F.col("value"), bins, moments=True).select(
+        period, "feature", "n_rows", "n_values", "mean", (F.col("std") * F.col("std") * F.col("n_values")).alias("squares"), "counts"
+    )
+
+
+def drift_from_state(state: DataFrame, period: str) -> DataFrame:
+    """Drift against each feature's first period, from one row per period and feature."""
+    stats = state.select(
         period,
         "feature",
         "n_values",
         "mean",
-        "std",
+        F.sqrt(F.col("squares") / F.nullif(F.col("n_values"), F.lit(0))).alias("std"),
         floored_shares(F.col("counts"), F.nullif(F.col("n_values"), F.lit(0))).alias("shares"),
     )
     first = Window.partitionBy("feature").orderBy(period).rowsBetween(
@@ -202,6 +238,17 @@ def feature_drift(
     )
 
 
+def feature_drift(
+    df: DataFrame, period: str, features: Sequence[str], bins: int = 10
+) -> DataFrame:
+    """PSI, mean change and std change of each feature against the first period.
+
+    Nulls are left out of the shares.  A feature without values in the first
+    period, or in the period itself, gives no row.
+    """
+    return drift_from_state(feature_state(df, period, features, bins), period)
+
+
 def top_numeric_features(
     importance: DataFrame, schema, top_n: int = 10
 ) -> list[str]:

@@ -18,6 +18,8 @@ from tidemark.sources import readers, writers
 
 #: What was ingested: a row per table, date and run; a date may have no rows.
 REGISTER = "ingest_register"
+#: The schema of each folder written.
+SCHEMAS = "schema_register"
 REGISTER_TYPE = StructType([
     StructField("snapshot_date", DateType()), StructField("n_rows", LongType()),
     StructField("table", StringType()), StructField("run", StringType())])
@@ -33,7 +35,7 @@ def ingest(
 ) -> str:
     """Raw CSV to one text-typed, date-partitioned bronze table; one scan for all dates.
 
-    The register gets a row for each requested date, or each date found.  A
+    Rows are counted while they are written.  The register gets a row for each requested date, or each date found.  A
     requested date without rows counts as ingested and is empty afterwards.
     """
     base = bronze_root.rstrip("/")
@@ -41,15 +43,12 @@ def ingest(
     typed = raw.withColumn("snapshot_date", F.col("snapshot_date").try_cast("date"))
     if days is not None:
         typed = readers.snapshots(typed, "snapshot_date", days)
-    root = writers.write_snapshots(typed, f"{base}/{table}", days=days)
-    stored = readers.read_store(spark, root, schema=bronze_schema(table)).where("snapshot_date IS NOT NULL")
-    counted = stored.groupBy("snapshot_date").agg(F.count("*").alias("n_rows"))
-    if days is not None:
-        wanted = spark.createDataFrame([(x,) for x in days], "d string").select(F.to_date("d").alias("snapshot_date"))
-        counted = wanted.join(counted, "snapshot_date", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("long")))
-    entries = counted.withColumn("table", F.lit(table)).withColumn("run", F.lit(run or uuid.uuid4().hex))
+    root = f"{base}/{table}"
+    counts = writers.write_counted(typed, root, days=days, register=f"{base}/{SCHEMAS}")
+    entries = spark.createDataFrame(sorted(counts.items()), "d string, n_rows long").select(
+        F.to_date("d").alias("snapshot_date"), "n_rows", F.lit(table).alias("table"), F.lit(run or uuid.uuid4().hex).alias("run"))
     # A row per date: one file.
-    entries.select("snapshot_date", "n_rows", "table", "run").repartition(1).write.mode("append").partitionBy("table", "run").parquet(f"{base}/{REGISTER}")
+    entries.repartition(1).write.mode("append").partitionBy("table", "run").parquet(f"{base}/{REGISTER}")
     return root
 
 

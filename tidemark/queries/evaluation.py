@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluate, match
-from tidemark.operators.ordering import exact_quantiles
+from tidemark.operators.quantiles import exact_quantiles
 from tidemark.queries import standins as st
 from tidemark.queries.base import present, query, table
 from tidemark.queries.sqltext import RATES, auc, confusion, d, r, rounded

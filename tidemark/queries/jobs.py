@@ -6,8 +6,9 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import features
-from tidemark.plans import acceptance, monitoring, rules, tables
+from tidemark.functions.bands import band_right_closed
+from tidemark.operators import features, model
+from tidemark.plans import acceptance, monitoring, period_state, rules, tables
 from tidemark.queries import standins as st
 from tidemark.queries.alerting import MONITOR_SQL, TRAINING_AUC
 from tidemark.queries.base import present, query, table
@@ -152,10 +153,11 @@ SELECT 'C' || c_custkey AS Customer_ID, '1996-04-01' AS snapshot_date, CAST(coal
 UNION ALL SELECT 'C' || c_custkey, '1996-05-01', 0 FROM customer
 UNION ALL SELECT 'C' || c_custkey, '1996-06-01', NULL FROM customer""")
 def ingest_empty_snapshot(spark, sf):
-    """March has clicks, April is ingested without rows, May was never ingested."""
+    """The source has clicks of every month but April; March and April are ingested, May never was."""
     customer = F.concat(F.lit("C"), F.col("o_custkey").cast("string"))
-    clicks = table(spark, sf, "orders").where("date_trunc('month', o_orderdate) = '1996-03-01'").select(
-        *[F.lit("1").alias(c) for c in rules.CLICK_FEATURES], customer.alias("Customer_ID"), F.lit("1996-03-01").alias("snapshot_date"))
+    month = F.trunc("o_orderdate", "month")
+    clicks = table(spark, sf, "orders").where(month != F.lit("1996-04-01").cast("date")).select(
+        *[F.lit("1").alias(c) for c in rules.CLICK_FEATURES], customer.alias("Customer_ID"), month.cast("string").alias("snapshot_date"))
     source, bronze, silver = (shared_dir(spark, x) for x in ("source", "bronze", "silver"))
     clicks.select(*rules.RAW_LAYOUTS["clickstream"]).write.option("header", True).csv(source)
     tables.ingest(spark, "clickstream", source, bronze, ["1996-03-01", "1996-04-01"])
@@ -206,9 +208,7 @@ def monitoring_run(spark, sf):
         st.predictions(spark, sf), st.outcomes(spark, sf), store, st.STORE_FEATURES, training_auc=TRAINING_AUC)
 
 
-@query("job_monitor", MONITOR_SQL)
-def job_monitor(spark, sf):
-    result = monitoring_run(spark, sf)
+def _monitored(spark, result):
     document = monitoring.summary_document(result, spark, "2024-02-01T00:00:00")
     return present(document.select(
         "psi_summary.avg_psi", "psi_summary.n_significant",
@@ -219,3 +219,64 @@ def job_monitor(spark, sf):
         F.size("alerts").alias("n_alerts"),
         result.decision.select("should_retrain").scalar().alias("should_retrain"),
     ))
+
+
+@query("job_monitor", MONITOR_SQL)
+def job_monitor(spark, sf):
+    return _monitored(spark, monitoring_run(spark, sf))
+
+
+def _partitioned(spark, sf) -> dict[str, str]:
+    """Predictions, outcomes and features as stores partitioned by their date."""
+    frames = {
+        "predictions": (st.predictions(spark, sf), "inference_date"),
+        "outcomes": (st.outcomes(spark, sf), "label_date"),
+        "features": (st.line_store(spark, sf, scaled=True), "snapshot_date"),
+    }
+    return {name: writers.write_snapshots(df, shared_dir(spark, name), date=date) for name, (df, date) in frames.items()}
+
+
+#: Periods and labels up to here make the first state; the rest arrives later.
+_FIRST_STATE = "1997-06-30"
+
+
+@query("job_monitor_incremental", MONITOR_SQL)
+def job_monitor_incremental(spark, sf):
+    """Two updates of the stored state, later labels changing earlier periods, give what the full run gives."""
+    roots = _partitioned(spark, sf)
+    predictions, outcomes, store = (readers.read_store(spark, roots[n], False) for n in ("predictions", "outcomes", "features"))
+    calendar = lambda df, c: df.select(F.col(c).alias("d")).distinct()
+    dates = calendar(predictions, "inference_date").unionByName(calendar(store, "snapshot_date")).distinct()
+    days = sorted(r["d"].isoformat() for r in dates.collect())
+    label_days = sorted(r["d"].isoformat() for r in calendar(outcomes, "label_date").collect())
+    state = shared_dir(spark, "state")
+    early = outcomes.where(F.col("label_date") <= F.lit(_FIRST_STATE).cast("date"))
+    period_state.update(spark, state, predictions, early, store, st.STORE_FEATURES, [x for x in days if x <= _FIRST_STATE])
+    period_state.update(
+        spark, state, predictions, outcomes, store, st.STORE_FEATURES,
+        [x for x in days if x > _FIRST_STATE], [x for x in label_days if x > _FIRST_STATE])
+    return _monitored(spark, period_state.result(spark, state, TRAINING_AUC))
+
+
+#: The prediction store holds probabilities as 32-bit floats.
+_STORED_SQL = MONITOR_SQL.replace(
+    "(o_totalprice % 1000) / 1000 AS default_probability", "CAST(CAST((o_totalprice % 1000) / 1000 AS FLOAT) AS DOUBLE) AS default_probability")
+
+
+@query("job_monitor_stores", _STORED_SQL)
+def job_monitor_stores(spark, sf):
+    """A run from paths alone: stores, importance table and model metadata are read, results written."""
+    banded = st.predictions(spark, sf).withColumn(
+        "risk_category", band_right_closed(F.col("default_probability"), rules.RISK_EDGES, rules.RISK_NAMES))
+    importance = spark.createDataFrame([(c, 1.0 / (i + 1)) for i, c in enumerate(st.STORE_FEATURES)], "feature string, importance double")
+    root = shared_dir(spark, "model")
+    spark.createDataFrame([("trees", "", {}, {"test_auc": TRAINING_AUC}, st.STORE_FEATURES, [])], model.METADATA_TYPE).write.json(f"{root}/metadata")
+    stores = monitoring.Stores(
+        predictions=writers.write_predictions(banded, shared_dir(spark, "predictions")),
+        labels=writers.write_snapshots(st.outcomes(spark, sf).withColumnRenamed("label_date", "snapshot_date"), shared_dir(spark, "labels")),
+        features=writers.write_snapshots(st.line_store(spark, sf, scaled=True), shared_dir(spark, "features")),
+        importance=writers.write_table_csv(importance, f"{root}/feature_importance"),
+        model=root,
+        results=shared_dir(spark, "monitoring_store"),
+    )
+    return _monitored(spark, monitoring.monitor_stores(spark, stores, "2024-02-01T00:00:00"))

@@ -12,6 +12,7 @@ from tidemark.queries.alerting import ORDER_COLUMNS, quality_cte
 from tidemark.queries.base import present, query, table
 from tidemark.queries.cleaning import DIRTY_PART, dirty_part
 from tidemark.queries.sqltext import d, r, rounded
+from tidemark.session import cut_lineage
 
 
 def _profile_cte(columns: list[str]) -> str:
@@ -90,6 +91,21 @@ def categorical_profile(spark, sf):
         st.order_store(spark, sf), ["Customer_ID", "o_orderpriority", "o_orderstatus"]))
 
 
+@query("distinct_sketches", f"""
+WITH {st.ORDER_STORE}
+{' UNION ALL '.join(f'''SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count, {r(f'(count(*) - count({c})) * 100e0 / count(*)', 1)} AS null_percent,
+  true AS within_error FROM store''' for c in ['Customer_ID', 'o_orderpriority', 'o_orderstatus', 'o_totalprice'])}""")
+def distinct_sketches(spark, sf):
+    """The profile from one stored sketch a snapshot and column, its distinct counts held against exact ones."""
+    columns = ["Customer_ID", "o_orderpriority", "o_orderstatus", "o_totalprice"]
+    store = st.order_store(spark, sf)
+    states = cut_lineage(profile.distinct_states(store, "snapshot_date", columns), "distinct-states")
+    exact = profile.categorical_profile(store, columns).select("column_name", F.col("n_unique").alias("exact"))
+    near = F.abs(F.col("n_unique") - F.col("exact")) <= profile.distinct_error() * F.col("exact")
+    found = profile.categorical_profile_from_states(states).join(exact, "column_name")
+    return present(found.select("column_name", "null_count", "null_percent", near.alias("within_error")))
+
+
 def _outcome_table(spark, sf):
     return st.outcomes(spark, sf).withColumnRenamed("label_date", "snapshot_date")
 

@@ -8,7 +8,7 @@ from tidemark.functions.bands import band_right_closed, drift_status
 from tidemark.operators import evaluate, quality, stability
 from tidemark.plans import rules
 from tidemark.queries import standins as st
-from tidemark.queries.base import present, query
+from tidemark.queries.base import present, query, table
 from tidemark.queries.sqltext import d, r, rounded, unit_bin
 from tidemark.session import cut_lineage
 
@@ -238,10 +238,19 @@ def monthly_score_stats(spark, sf):
     p = st.predictions(spark, sf).withColumn(
         "risk_category", band_right_closed(F.col("default_probability"), rules.RISK_EDGES, rules.RISK_NAMES)
     )
-    return present(quality.score_statistics(
-        p, "inference_date", "Customer_ID", "default_probability", "predicted_default",
-        "risk_category", rules.RISK_NAMES,
-    ))
+    found = quality.score_statistics(
+        p, "inference_date", "Customer_ID", "default_probability", "predicted_default", "risk_category")
+    share = lambda name: F.coalesce(F.get(F.map_values(F.map_filter("category_percents", lambda k, _: k == name)), F.lit(0)), F.lit(0.0))
+    return present(found.select("*", *[share(x).alias(f"pct_{x}") for x in rules.RISK_NAMES]).drop("category_percents"))
+
+
+@query("category_shares_many", """
+WITH counted AS (SELECT year(l_shipdate) AS year, CAST(l_partkey AS VARCHAR) AS category, count(*) AS n FROM lineitem WHERE l_partkey IS NOT NULL AND l_shipdate IS NOT NULL GROUP BY ALL)
+SELECT CAST(year AS BIGINT) AS year, category, n, """+r('n * 100e0 / sum(n) OVER (PARTITION BY year)')+""" AS percent FROM counted""")
+def category_shares_many(spark, sf):
+    """A category of any number of values, in long form."""
+    lines = table(spark, sf, "lineitem").select(F.year("l_shipdate").alias("year"), "l_partkey")
+    return present(quality.category_shares(lines, "year", "l_partkey"))
 
 
 @query("category_share_pivot", f"""

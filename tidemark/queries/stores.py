@@ -192,6 +192,10 @@ _LEAVES = [
 ]
 
 
+def _six(sql: str) -> str:
+    return f"CAST(CAST({r(sql)} AS DECIMAL(20, 6)) AS VARCHAR)"
+
+
 def _leaf_sql(sql: str) -> str:
     return f"CAST(CAST({sql} AS DECIMAL(20, 6)) AS VARCHAR)" if sql.startswith("(round(") else sql
 
@@ -202,8 +206,13 @@ whole AS (SELECT * FROM psi_summary, performance, drift_summary, quality_summary
 {" UNION ALL ".join(f"SELECT '{path}' AS leaf, {_leaf_sql(sql)} AS value FROM whole" for path, sql in _LEAVES)}
 UNION ALL SELECT 'recommendations', string_agg(recommendation, ' | ' ORDER BY o) FROM advice
 UNION ALL SELECT 'alert ' || category, severity || ' | ' || message || ' | ' || recommendation FROM alerts
-UNION ALL SELECT 'alert metrics ' || category, CASE WHEN category = 'population_drift' AND severity = 'critical' THEN 'avg_psi,max_psi'
-                 WHEN category = 'performance_degradation' THEN 'auc_drop' ELSE '' END FROM alerts""")
+UNION ALL SELECT 'alert metrics ' || category,
+  CASE WHEN category = 'population_drift' AND severity = 'critical' THEN 'max_psi=' || {_six('max_psi')} || ',avg_psi=' || {_six('avg_psi')}
+       WHEN category = 'performance_degradation' THEN 'auc_drop=' || {_six('auc_difference')}
+       WHEN category = 'feature_drift' THEN 'features=' || features_high_drift ELSE '' END FROM alerts, whole
+UNION ALL SELECT 'feature_drift_summary.features_high_drift', features_high_drift FROM whole
+UNION ALL SELECT 'feature_drift_summary.top_drifting_features', string_agg(feature || '=' || {_six('avg_psi')}, ',' ORDER BY feature)
+FROM (SELECT feature, avg(psi) AS avg_psi FROM drift GROUP BY feature ORDER BY avg_psi DESC, feature LIMIT 5)""")
 def summary_document(spark, sf):
     """The stored JSON summary of a monitoring run, read back leaf by leaf."""
     result = monitoring_run(spark, sf)
@@ -217,7 +226,16 @@ def summary_document(spark, sf):
     leaves.append(F.struct(F.lit("recommendations").alias("leaf"), F.array_join("recommendations", " | ").alias("value")))
     raised = F.transform("alerts", lambda a: F.struct(
         F.concat(F.lit("alert "), a["category"]).alias("leaf"), F.concat_ws(" | ", a["severity"], a["message"], a["recommendation"]).alias("value")))
+    six = lambda c: F.round(c, 6).cast("decimal(20,6)").cast("string")
+
+    def shown(m):
+        parts = [F.concat(F.lit(f"{k}="), six(m[k])) for k in ("max_psi", "avg_psi", "auc_drop")]
+        return F.array_join(F.array_compact(F.array(*parts, F.concat(F.lit("features="), F.array_join(m["features"], ",")))), ",")
+
     metrics = F.transform("alerts", lambda a: F.struct(
-        F.concat(F.lit("alert metrics "), a["category"]).alias("leaf"),
-        F.array_join(F.array_sort(F.map_keys(F.coalesce(a["metrics"], F.from_json(F.lit("{}"), "map<string,double>")))), ",").alias("value")))
+        F.concat(F.lit("alert metrics "), a["category"]).alias("leaf"), F.coalesce(shown(a["metrics"]), F.lit("")).alias("value")))
+    drift = back["feature_drift_summary"]
+    leaves.append(F.struct(F.lit("feature_drift_summary.features_high_drift").alias("leaf"), F.array_join(drift["features_high_drift"], ",").alias("value")))
+    top = F.transform(F.array_sort(F.map_entries(drift["top_drifting_features"])), lambda e: F.concat(e["key"], F.lit("="), six(e["value"])))
+    leaves.append(F.struct(F.lit("feature_drift_summary.top_drifting_features").alias("leaf"), F.array_join(top, ",").alias("value")))
     return back.select(F.explode(F.concat(F.array(*leaves), raised, metrics)).alias("x")).select("x.leaf", "x.value")

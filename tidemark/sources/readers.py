@@ -73,13 +73,33 @@ def reconcile(df: DataFrame, target: StructType) -> DataFrame:
     return df.select(*[as_target(f) for f in target.fields])
 
 
-def partition_schemas(spark: SparkSession, paths: Sequence[str]) -> dict[str, StructType]:
-    """Schema of each partition folder, read from file footers only.
+REGISTER_TYPE = "folder string, schema string, written_at timestamp"
 
-    Columns that a folder's name holds (``date=2024-01-01``) are part of it.
-    Listing and reading footers are Spark jobs; the calls for the folders wait
-    for them side by side.
+
+def partition_schemas(spark: SparkSession, paths: Sequence[str], register: str | None = None) -> dict[str, StructType]:
+    """Schema of each partition folder.
+
+    ``register`` is a table that writers add to; it is read once, and the last
+    schema written to a folder counts.  Folders that it does not name, or all
+    without one, are asked for the schema in their file footers.  Columns that a folder's
+    name holds (``date=2024-01-01``) are part of it.
     """
+    known: dict[str, StructType] = {}
+    if register is not None:
+        last = spark.read.schema(REGISTER_TYPE).parquet(register).groupBy("folder").agg(F.max_by("schema", "written_at").alias("schema"))
+        wanted = spark.createDataFrame([(p.rstrip("/"),) for p in paths], "folder string")
+        texts: dict[str, StructType] = {}  # few schemas, many folders
+        for r in last.join(wanted, "folder", "left_semi").collect():
+            if r["schema"] not in texts:
+                texts[r["schema"]] = StructType.fromJson(json.loads(r["schema"]))
+            known[r["folder"]] = texts[r["schema"]]
+    unknown = [p for p in paths if p.rstrip("/") not in known]
+    found = footer_schemas(spark, unknown)
+    return {p: known[p.rstrip("/")] if p.rstrip("/") in known else found[p] for p in paths}
+
+
+def footer_schemas(spark: SparkSession, paths: Sequence[str]) -> dict[str, StructType]:
+    """Schemas from file footers: a call per folder, ``FOOTER_CALLS`` of them side by side."""
     def found(path: str) -> StructType:
         return spark.read.option("basePath", _base(path)).parquet(path).schema
 
@@ -99,16 +119,19 @@ def _base(path: str) -> str:
 
 
 def read_reconciled(
-    spark: SparkSession, paths: Sequence[str], target: StructType
+    spark: SparkSession, paths: Sequence[str], target: StructType, register: str | None = None
 ) -> DataFrame:
     """Partitions whose column types drifted, as one table of the target schema.
 
     Folders that share a schema and a store are read by one scan; the union is by name.
+    With ``register`` (see ``partition_schemas``) no file of a registered folder is opened for planning.
     """
     groups: dict[tuple[str, str], list[str]] = {}
-    for path, schema in partition_schemas(spark, paths).items():
+    texts: dict[int, str] = {}
+    for path, schema in partition_schemas(spark, paths, register).items():
         store = _base(path) if "=" in path else ""
-        groups.setdefault((schema.json(), store), []).append(path)
+        text = texts.setdefault(id(schema), schema.json())
+        groups.setdefault((text, store), []).append(path)
     parts = []
     for (js, store), members in groups.items():
         reader = spark.read.schema(StructType.fromJson(json.loads(js)))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 # Column types of the prediction store (fixed values; the date is a real date).
 PREDICTION_TYPES = {
@@ -16,27 +18,49 @@ PREDICTION_TYPES = {
 }
 
 
-def _files(spark: SparkSession, root: str, date: str, day: str) -> tuple[object, object, set[str]]:
-    """File system, folder and file names of one date of a partitioned store."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{date}={day}")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, folder, {f.getPath().getName() for f in fs.listStatus(folder)} if fs.exists(folder) else set()
+#: Dates that one write may hold; their rows are counted while they are written.
+MAX_DATES = 20_000
 
 
-def write_snapshots(
-    df: DataFrame, root: str, date: str = "snapshot_date", fmt: str = "parquet", days: Sequence[str] | None = None
-) -> str:
-    """Write any number of snapshots; a date that is written again is replaced.
+def iso_day(day: str | dt.date) -> str:
+    """A date, or its text with or without leading zeros, as ``yyyy-mm-dd``."""
+    if isinstance(day, dt.datetime):
+        return day.date().isoformat()
+    if isinstance(day, dt.date):
+        return day.isoformat()
+    year, month, of_month = day.strip().split("-")
+    return dt.date(int(year), int(month), int(of_month)).isoformat()
+
+
+def write_counted(
+    df: DataFrame,
+    root: str,
+    date: str = "snapshot_date",
+    fmt: str = "parquet",
+    days: Sequence[str | dt.date] | None = None,
+    register: str | None = None,
+) -> dict[str, int]:
+    """Write any number of snapshots; rows per date as they were written.
 
     Rows are clustered by date first, so each date gets few files; the
     rebalance splits a date that holds most of the rows over several tasks.
-    ``days`` names the dates that this write stands for: those of them without
-    rows are empty afterwards.
+    The counts are observed in the tasks that write, so nothing is read again
+    and a task that is repeated counts once.
+
+    A date that is written again is replaced.  ``days`` names the dates that
+    this write stands for: those of them without rows hold one file without rows afterwards.
+
+    With ``register`` the schema of each date written is added to that table
+    (see ``readers.partition_schemas``).
     """
+    wanted = [iso_day(x) for x in days or ()]
     spark = df.sparkSession
-    before = {day: _files(spark, root, date, day)[2] for day in days or ()}
+    seen = Observation()
+    # One bin a date: exact as long as there are fewer dates than bins.
+    per_date = F.histogram_numeric(F.unix_date(F.col(date).cast("date")), F.lit(MAX_DATES))
     (
         df.hint("rebalance", F.col(date))
+        .observe(seen, per_date.alias("dates"))
         .write.partitionBy(date)
         .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
@@ -44,14 +68,45 @@ def write_snapshots(
         .format(fmt)
         .save(root)
     )
-    for day, old in before.items():
-        fs, folder, now = _files(spark, root, date, day)
-        if old & now:  # not replaced: the date has no rows any more
-            fs.delete(folder, True)
+    bins = seen.get["dates"] or []
+    if len(bins) >= MAX_DATES:
+        raise ValueError(f"more than {MAX_DATES} dates in one write")
+    counts = {(_EPOCH + dt.timedelta(days=int(x["x"]))).isoformat(): int(x["y"]) for x in bins}
+    rest = df.drop(date)
+    for day in wanted:
+        if day not in counts:
+            spark.createDataFrame([], rest.schema).write.option("header", True).mode("overwrite").format(fmt).save(
+                f"{root.rstrip('/')}/{date}={day}")
+            counts[day] = 0
+    if register is not None:
+        register_schemas(spark, register, root, date, df.schema, sorted(counts))
+    return counts
+
+
+_EPOCH = dt.date(1970, 1, 1)
+
+
+def register_schemas(spark: SparkSession, register: str, root: str, date: str, schema: StructType, days: Sequence[str]) -> None:
+    """Add a row per partition folder: its path, its schema as JSON, and when it was written."""
+    # Columns of a file may be null, whatever the frame knew of them.
+    fields = [StructField(f.name, f.dataType) for f in schema.fields if f.name != date] + [StructField(date, DateType())]
+    text = StructType(fields).json()
+    rows = spark.createDataFrame([(x,) for x in days], "day string").select(
+        F.format_string(f"{root.rstrip('/')}/{date}=%s", "day").alias("folder"),
+        F.lit(text).alias("schema"), F.current_timestamp().alias("written_at"))
+    rows.repartition(1).write.mode("append").parquet(register)
+
+
+def write_snapshots(
+    df: DataFrame, root: str, date: str = "snapshot_date", fmt: str = "parquet",
+    days: Sequence[str | dt.date] | None = None, register: str | None = None,
+) -> str:
+    """``write_counted``, returning the store."""
+    write_counted(df, root, date, fmt, days, register)
     return root
 
 
-def write_predictions(df: DataFrame, root: str, days: Sequence[str] | None = None) -> str:
+def write_predictions(df: DataFrame, root: str, days: Sequence[str | dt.date] | None = None) -> str:
     """The prediction store: fixed column types, one partition per inference date."""
     typed = df.select(*[F.col(c).cast(t).alias(c) for c, t in PREDICTION_TYPES.items()])
     return write_snapshots(typed, root, date="inference_date", days=days)
