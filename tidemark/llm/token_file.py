@@ -42,7 +42,7 @@ MAGIC = b"TMEF0001"
 SAMPLE = 256
 END_ID = 2
 #: Bytes that the words kept in a worker may take, with their ids, and the length from which on a word is not kept.
-CACHE_BYTES, LONGEST_KEPT = 160 << 20, 64
+CACHE_BYTES, LONGEST_KEPT = 96 << 20, 64
 #: What a kept word takes besides its characters and ids.
 _KEPT_OVERHEAD = 200
 #: New words that are encoded as one text.
@@ -143,36 +143,35 @@ class Encoder:
         each id stands for tells the words apart again.
         """
         groups = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
-        joined = ["".join(g) for g in groups]
         out: list[bytes] = []
-        size = self.dtype.itemsize
-        for group, text, e in zip(groups, joined, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
             ids = np.array(e.ids, self.dtype)
-            ends = np.cumsum(list(map(len, group if text.isascii() else [w.encode() for w in group])))
-            cuts = (np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1) * size
-            packed, begin = ids.tobytes(), 0
-            for end in cuts.tolist():
-                out.append(packed[begin:end])
-                begin = end
+            ends = np.cumsum([len(w.encode()) for w in group])
+            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+            packed, size = ids.tobytes(), self.dtype.itemsize
+            out += [packed[a * size : b * size] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
         return out
 
-    def _look_up(self, wanted: list[str]) -> dict[str, bytes]:
+    def _look_up(self, wanted: set[str]) -> dict[str, bytes]:
         """Ids of words that are not among the recent ones."""
-        known = list(map(self.older.get, wanted))
-        found = {w: k for w, k in zip(wanted, known) if k is not None}
-        new = [w for w, k in zip(wanted, known) if k is None]
-        inner = [w for w in new if w[0] in _SPACE and w[-1] not in _SPACE]
-        if len(inner) < len(new):
-            outer = [w for w in new if w[0] not in _SPACE or w[-1] in _SPACE]
-            found.update(zip(outer, self._ids(outer)))
+        older, inner, outer, found = self.older, [], [], {}
+        for word in wanted:
+            known = older.get(word)
+            if known is not None:
+                found[word] = known
+            elif word[0] in _SPACE and word[-1] not in _SPACE:
+                inner.append(word)
+            else:
+                outer.append(word)
         found.update(zip(inner, self._word_ids(inner)))
+        found.update(zip(outer, self._ids(outer)))
         return found
 
     def _keep(self, found: dict[str, bytes]) -> None:
-        for word in [w for w in found if len(w) > LONGEST_KEPT]:
-            del found[word]
-        self.recent.update(found)
-        self.kept += _KEPT_OVERHEAD * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
+        for word, ids in found.items():
+            if len(word) <= LONGEST_KEPT:
+                self.recent[word] = ids
+                self.kept += _KEPT_OVERHEAD + len(word) + len(ids)
         # Two generations: a word that is used again moves to the recent ones before its generation goes.
         if self.kept > CACHE_BYTES // 2:
             self.recent, self.older, self.kept = {}, self.recent, 0
@@ -184,7 +183,7 @@ class Encoder:
         parts = list(map(self.recent.get, flat))
         missing = [i for i, p in enumerate(parts) if p is None]
         if missing:
-            found = self._look_up(list({flat[i] for i in missing}))
+            found = self._look_up({flat[i] for i in missing})
             for i in missing:
                 parts[i] = found[flat[i]]
             self._keep(found)
