@@ -48,7 +48,8 @@ def write_counted(
     and a task that is repeated counts once.
 
     A date that is written again is replaced.  ``days`` names the dates that
-    this write stands for: those of them without rows hold one file without rows afterwards.
+    this write stands for: those of them without rows are empty afterwards, and
+    hold one file without rows if they had any before.
 
     With ``register`` the schema of each date written is added to that table
     (see ``readers.partition_schemas``).
@@ -72,14 +73,18 @@ def write_counted(
     if len(bins) >= MAX_DATES:
         raise ValueError(f"more than {MAX_DATES} dates in one write")
     counts = {(_EPOCH + dt.timedelta(days=int(x["x"]))).isoformat(): int(x["y"]) for x in bins}
-    rest = df.drop(date)
-    for day in wanted:
-        if day not in counts:
-            spark.createDataFrame([], rest.schema).write.option("header", True).mode("overwrite").format(fmt).save(
-                f"{root.rstrip('/')}/{date}={day}")
-            counts[day] = 0
+    written = sorted(counts)
+    gone = [x for x in wanted if x not in counts]
+    if gone:
+        # What is left of these dates is from earlier writes; the filter reads their folders only.
+        stored = spark.read.format(fmt).option("header", True).schema(df.schema).load(root).where(F.col(date).isin(*[F.lit(x).cast("date") for x in gone]))
+        empty = spark.createDataFrame([], df.drop(date).schema)
+        for day in (r[0].isoformat() for r in stored.select(F.col(date).cast("date")).distinct().collect()):
+            empty.write.option("header", True).mode("overwrite").format(fmt).save(f"{root.rstrip('/')}/{date}={day}")
+            written.append(day)
+        counts.update(dict.fromkeys(gone, 0))
     if register is not None:
-        register_schemas(spark, register, root, date, df.schema, sorted(counts))
+        register_schemas(spark, register, root, date, df.schema, written)
     return counts
 
 
