@@ -11,7 +11,7 @@ Words (a run of word marks and what follows up to the next) encode one by one,
 since no piece has a mark behind another character.  Long ones are cut further, between any two neighbouring
 characters that no piece has side by side: no merge joins what stands on both sides.  Distinct words of a batch are grouped by
 length and advance together, a character at a time: hashes of all substrings that end there
-are looked up in the sorted hashes of the pieces, and the characters of a hit compared with the piece's.  Whether a piece may follow
+are looked up in the sorted hashes of the pieces; the pieces found must spell the word.  Whether a piece may follow
 another is found by taking back their merges, for all open pairs together.
 
 Encoding follows the model's settings: white space becomes the mark, a mark is put in front, other characters
@@ -168,8 +168,11 @@ class Pieces:
             self.pair_seen[slot[new]], self.pair_answer[slot[new]] = pairs[new], answers[new]
         return answers
 
-    def _advance(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Piece that ends at each place (-1 none, -2 a character without a piece) and where it starts."""
+    def _advance(self, codes: np.ndarray, compare: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Piece that ends at each place (-1 none, -2 a character without a piece) and where it starts.
+
+        With ``compare`` the characters of each hit are compared with the piece's.
+        """
         n, length = codes.shape
         last = np.full((n, length + 1), -3, np.int64)
         back = np.zeros((n, length + 1), np.int64)
@@ -184,10 +187,11 @@ class Pieces:
             hit = self.keys[at] == wanted
             row, col, cand = row[hit], col[hit], self.key_ids[at[hit]]
             start = begin + col
-            same = self.sizes[cand] == end - start
-            for back_by in range(1, int((end - start).max(initial=0)) + 1):  # a hash alone decides nothing
-                same &= (back_by > end - start) | (codes[row, end - back_by] == self.codes[cand, np.maximum(self.sizes[cand] - back_by, 0)])
-            row, col, cand, start = row[same], col[same], cand[same], start[same]
+            if compare:
+                same = self.sizes[cand] == end - start
+                for back_by in range(1, int((end - start).max(initial=0)) + 1):
+                    same &= (back_by > end - start) | (codes[row, end - back_by] == self.codes[cand, np.maximum(self.sizes[cand] - back_by, 0)])
+                row, col, cand, start = row[same], col[same], cand[same], start[same]
             single = np.ones(n, bool)
             single[row[col == open_.shape[1] - 1]] = False
             before = last[row, start]
@@ -206,7 +210,19 @@ class Pieces:
         return last, back
 
     def encode_words(self, words: list[str]) -> list[bytes]:
-        """Packed ids of each word; the words are distinct."""
+        """Packed ids of each word; the words are distinct.
+
+        Pieces that spell the word and may follow one another are its encoding, however
+        they were found; a word that its pieces do not spell met a false hash and is done again by characters.
+        """
+        out = self._encode_words(words)
+        spelt = self.bytes
+        wrong = [k for k, (w, ids) in enumerate(zip(words, out)) if b"".join([spelt[i] for i in np.frombuffer(ids, np.int32).tolist()]) != w.encode("utf-8", "surrogatepass")]
+        for k, ids in zip(wrong, self._encode_words([words[k] for k in wrong], compare=True)):
+            out[k] = ids
+        return out
+
+    def _encode_words(self, words: list[str], compare: bool = False) -> list[bytes]:
         out: list[bytes] = [None] * len(words)
         by_length: dict[int, list[int]] = {}
         for k, w in enumerate(words):
@@ -217,7 +233,7 @@ class Pieces:
                 some = group[at : at + step]
                 codes = np.frombuffer("".join([words[k] for k in some]).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(some), length)
                 codes = np.where(codes == 32, ord(MARK), codes)
-                last, back = self._advance(codes)
+                last, back = self._advance(codes, compare)
                 self._trace(codes, last, back, some, out)
         return out
 
