@@ -106,3 +106,17 @@ def test_late_rows_are_added(spark, stores):
     period_state.add_rows(spark, root, p.where(~first))
     state = readers.read_store(spark, f"{root}/scores", schema=period_state.STATES["scores"][1])
     assert shown(stability.psi_from_state(state, "inference_date")) == shown(stability.psi_over_time(p, "default_probability", "inference_date"))
+
+
+def test_outcomes_are_matched_once(spark, stores, monkeypatch):
+    """The evaluation reads a stored match, so counting and ranking don't make it twice."""
+    plans, evaluated = [], period_state.evaluate.evaluate_by_period
+
+    def seen(df, *args, **more):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return evaluated(df, *args, **more)
+
+    monkeypatch.setattr(period_state.evaluate, "evaluate_by_period", seen)
+    days = [MONTHS[0].isoformat(), MONTHS[1].isoformat()]
+    period_state.update(spark, shared_dir(spark, "state"), stores["predictions"], stores["labels"], stores["features"], FEATURES, days, days)
+    assert len(plans) == 1 and not any(x in plans[0] for x in ("Join", "Window", "Aggregate")), plans

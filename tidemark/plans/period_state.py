@@ -105,7 +105,10 @@ def update(
     # The periods to evaluate, a row each: they bound the labels that are read, and may lose their outcome.
     periods = [r[0].isoformat() for r in again.select("inference_date").distinct().collect()]
     reach = _reaches(F.col("label_date"), periods, match.AHEAD, match.BACK)
-    matched = match.nearest_label(again, labels.where(reach))
+    # Outcomes are counted and ranked: the match is made once for both.
+    matched = cut_lineage(
+        match.nearest_label(again, labels.where(reach)).select("inference_date", "label", "predicted_default", "default_probability"),
+        "matched")
     writers.write_snapshots(
         evaluate.evaluate_by_period(matched, "inference_date"), f"{base}/outcomes", date="month",
         days=sorted({*periods, *map(str, days)}),
