@@ -194,3 +194,27 @@ def test_registered_folders_need_no_footer(spark, monkeypatch):
     got = readers.read_reconciled(spark, paths, target, register)
     assert {(str(r[0]), r[1], r[2]) for r in got.groupBy("snapshot_date").agg(F.count("id"), F.sum("id")).collect()} == {
         ("2024-01-01", 3, 3), ("2024-02-01", 4, 6), ("2024-03-01", 5, 10), ("2024-04-01", 6, 15)}
+
+
+def test_silver_follows_bronze_without_a_shuffle(spark, monkeypatch):
+    """Cleaning keeps dates: the files of a date are written where bronze's are read, in a small codec."""
+    import os
+
+    from pyspark.sql import DataFrame, functions as F
+
+    from tidemark.plans import rules, tables
+    from tidemark.session import shared_dir
+    from tidemark.sources import readers
+
+    source, bronze, silver = (shared_dir(spark, x) for x in ("source", "bronze", "silver"))
+    clicks = spark.range(300).select(
+        *[F.lit("1").alias(c) for c in rules.CLICK_FEATURES], F.format_string("C%s", F.col("id").cast("string")).alias("Customer_ID"),
+        F.add_months(F.lit("2023-01-01").cast("date"), (F.col("id") % 3).cast("int")).cast("string").alias("snapshot_date"))
+    clicks.write.option("header", True).csv(source)
+    tables.ingest(spark, "clickstream", source, bronze)
+    monkeypatch.setattr(DataFrame, "hint", lambda *a: pytest.fail("rows were shuffled again"))
+    root = tables.refine(spark, "clickstream", bronze, silver)
+    assert {str(r[0]): r[1] for r in readers.read_store(spark, root).groupBy("snapshot_date").count().collect()} == {
+        f"2023-0{m}-01": 100 for m in (1, 2, 3)}
+    files = [f for _, _, names in os.walk(root) for f in names if f.endswith(".parquet")]
+    assert len(files) == 3 and all(".zstd." in f for f in files)

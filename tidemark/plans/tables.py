@@ -171,7 +171,8 @@ def refine(
         days = sorted(str(r["snapshot_date"]) for r in ingested(spark, bronze_root, table).collect())
     else:
         raw = readers.snapshots(raw, "snapshot_date", days)
-    return writers.write_snapshots(CLEANERS[table](raw), f"{silver_root.rstrip('/')}/{table}", days=days)
+    # Cleaning keeps rows and dates, so silver's files can follow bronze's.
+    return writers.write_snapshots(CLEANERS[table](raw), f"{silver_root.rstrip('/')}/{table}", days=days, clustered=True)
 
 
 # --- gold ------------------------------------------------------------------
@@ -223,5 +224,5 @@ def build_gold(
     root = gold_root.rstrip("/")
     return {
         "feature_store": writers.write_snapshots(store, f"{root}/feature_store", days=days),
-        "label_store": writers.write_snapshots(labels, f"{root}/label_store", days=days),
+        "label_store": writers.write_snapshots(labels, f"{root}/label_store", days=days, clustered=True),
     }

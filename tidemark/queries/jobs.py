@@ -131,7 +131,7 @@ def job_tables(spark, sf):
     bronze, silver, gold = (shared_dir(spark, x) for x in ("bronze", "silver", "gold"))
     for name, make in sources.items():
         source = shared_dir(spark, f"source-{name}")
-        make(spark, sf).write.option("header", True).csv(source)
+        make(spark, sf).write.option("header", True).option("compression", "gzip").csv(source)
         tables.ingest(spark, name, source, bronze)
         tables.refine(spark, name, bronze, silver)
     roots = tables.build_gold(spark, silver, gold, tables.ingested(spark, bronze, "clickstream"))
