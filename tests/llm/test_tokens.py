@@ -107,6 +107,28 @@ def test_pieces_of_texts_encode_like_whole_texts(monkeypatch, special):
         assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts[at : at + 30]]
 
 
+def test_words_are_looked_up_once_and_without_punctuation(monkeypatch):
+    """Of many texts' words the library gets each once, and the same letters before other punctuation are no new word."""
+    encoder, asked = token_file.Encoder(BYTE_BPE), []
+    plain = encoder._word_ids
+    monkeypatch.setattr(encoder, "_word_ids", lambda words: asked.extend(words) or plain(words))
+    texts = ["a word, a word. a word; a word!", "a word; a word", "a word? word" + chr(0x3000) + "apart"]
+    library = Tokenizer.from_file(BYTE_BPE)
+    for _ in range(2):
+        assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(asked) == sorted([b"a", b" a", b" word", b",", b".", b";", b"!"])
+
+
+def test_punctuation_like_the_library():
+    """Cuts between letters or digits and punctuation change no id; words without a space in front are told apart again."""
+    rng = random.Random(11)
+    encoder, library = token_file.Encoder(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
+    parts = [*"ab12.,;!?'\"()/-_#%$", "'s", "'ll", "n't", " ", "  ", "\n", "\r\n", chr(0xE9), chr(0x2026), chr(0x301), chr(0x4E2D), chr(0x2028), "the", "Word", "<|endoftext|>"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(2000)]
+    got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.fixture(scope="module")
 def model():
     return sentence_pieces.Pieces(PIECES)

@@ -47,6 +47,8 @@ CACHE_BYTES, LONGEST_KEPT = 96 << 20, 64
 _KEPT_OVERHEAD = 200
 #: New words that are encoded as one text.
 TOGETHER = 64
+#: Bytes of texts that are cut at once.
+PIECE_BYTES = 4 << 20
 
 
 class EliasFano:
@@ -101,13 +103,25 @@ class EliasFano:
         return cls(n, width, low, high, samples), at + n_low + n_high + 8 * n_samples
 
 
-# A text is cut before each run of these four characters.  The tokenizer's own word
-# pattern has a boundary there too, so the pieces encode one by one; texts with any
-# other white space are encoded whole.
-_SPACE = frozenset(" \n\r\t")
-_PIECE = re.compile("[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
-_OTHER_SPACE = re.compile("[" + "".join(map(chr, (
-    0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF))) + "]")
+# A text is cut before each run of these four characters and between an ASCII letter or digit
+# and ASCII punctuation.  The tokenizer's own word pattern has a boundary there too, so the
+# words encode one by one; texts with any other white space are encoded whole.
+_SPACE = b" \n\r\t"
+_OTHER_SPACE = "".join(map(chr, (
+    0x0B, 0x0C, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)))
+
+
+def _kinds() -> np.ndarray:
+    """1 for the bytes of ``_SPACE``, 2 for letters and digits, 3 for punctuation, 0 for others."""
+    kinds = np.zeros(256, np.uint8)
+    kinds[33:127] = [2 if chr(c).isalnum() else 3 for c in range(33, 127)]
+    kinds[list(_SPACE)] = 1
+    return kinds
+
+
+_KIND = _kinds()
+#: Whether a word starts at a byte of the second kind behind one of the first.
+_STARTS = np.array([[False, True, False, False], [False] * 4, [False, True, False, True], [False, True, False, False]]).ravel()
 
 
 class Encoder:
@@ -126,74 +140,98 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         # A byte-level token is written with one character per byte.
         self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())])
-        added = [] if plain_special else [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = [] if plain_special else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Texts that are encoded whole: with white space that the cut does not know, or an added token.
-        self.whole = re.compile("|".join([_OTHER_SPACE.pattern, *added]))
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.whole = re.compile("|".join(["[" + _OTHER_SPACE + "]", *map(re.escape, added)]))
+        # Only texts with one of these bytes can be such.
+        self.doubtful = np.zeros(256, bool)
+        self.doubtful[[x.encode()[0] for x in [*_OTHER_SPACE, *added] if x]] = True
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.kept = 0
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of pieces that start with white space and end without, many to a call.
+    def _word_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that end without white space, many to a call.
 
-        One behind the other they have a boundary at each joint; how many bytes
-        each id stands for tells the words apart again.
+        One behind the other they have a boundary at each joint, where a word without white space
+        in front gets a line feed, an id of its own; how many bytes each id stands for tells the words apart again.
         """
-        groups = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
         out: list[bytes] = []
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
+        size = self.dtype.itemsize
+        groups = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        bare = [[w[0] not in _SPACE for w in g] for g in groups]
+        joined = [b"".join([b"\n" + w if b else w for w, b in zip(g, of)]).decode() for g, of in zip(groups, bare)]
+        for group, of, e in zip(groups, bare, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
             ids = np.array(e.ids, self.dtype)
-            ends = np.cumsum([len(w.encode()) for w in group])
+            front = np.array(of)
+            ends = np.cumsum(np.array(list(map(len, group))) + front)
             cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-            packed, size = ids.tobytes(), self.dtype.itemsize
-            out += [packed[a * size : b * size] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+            begins = np.append(0, cuts[:-1]) + front
+            packed = ids.tobytes()
+            out += [packed[a:b] for a, b in zip((begins * size).tolist(), (cuts * size).tolist())]
         return out
 
-    def _look_up(self, wanted: set[str]) -> dict[str, bytes]:
-        """Ids of words that are not among the recent ones."""
-        older, inner, outer, found = self.older, [], [], {}
-        for word in wanted:
-            known = older.get(word)
-            if known is not None:
-                found[word] = known
-            elif word[0] in _SPACE and word[-1] not in _SPACE:
-                inner.append(word)
-            else:
-                outer.append(word)
-        found.update(zip(inner, self._word_ids(inner)))
-        found.update(zip(outer, self._ids(outer)))
-        return found
-
-    def _keep(self, found: dict[str, bytes]) -> None:
-        for word, ids in found.items():
-            if len(word) <= LONGEST_KEPT:
-                self.recent[word] = ids
-                self.kept += _KEPT_OVERHEAD + len(word) + len(ids)
+    def _look_up(self, wanted: list[bytes]) -> list[bytes]:
+        """Ids of distinct words that are not among the recent ones; they are kept from now on."""
+        found = list(map(self.older.get, wanted))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        inner = [i for i in new if wanted[i][-1] not in _SPACE]
+        outer = [i for i in new if wanted[i][-1] in _SPACE]
+        for which, ids in ((inner, self._word_ids([wanted[i] for i in inner])), (outer, self._ids([wanted[i].decode() for i in outer]))):
+            for i, x in zip(which, ids):
+                found[i] = x
+        keep = [(w, ids) for w, ids in zip(wanted, found) if len(w) <= LONGEST_KEPT]
+        self.recent.update(keep)
+        self.kept += sum([len(w) + len(ids) for w, ids in keep]) + _KEPT_OVERHEAD * len(keep)
         # Two generations: a word that is used again moves to the recent ones before its generation goes.
         if self.kept > CACHE_BYTES // 2:
             self.recent, self.older, self.kept = {}, self.recent, 0
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        cut = [None if self.whole.search(t) else _PIECE.findall(t) for t in texts]
-        flat = [w for words in cut if words is not None for w in words]
-        parts = list(map(self.recent.get, flat))
-        missing = [i for i, p in enumerate(parts) if p is None]
-        if missing:
-            found = self._look_up({flat[i] for i in missing})
-            for i in missing:
-                parts[i] = found[flat[i]]
-            self._keep(found)
-        out, at = [], 0
-        for t, words in zip(texts, cut):
-            if words is None:
-                out.append(self._ids([t])[0])
-            else:
-                out.append(b"".join(parts[at : at + len(words)]))
-                at += len(words)
+        return self.encode_utf8([t.encode() for t in texts])
+
+    def encode_utf8(self, texts: list[bytes]) -> list[bytes]:
+        """Packed ids of each text.
+
+        All texts are cut at once and each distinct word of theirs is looked up once.
+        """
+        ends = np.cumsum(list(map(len, texts)), dtype=np.int64)
+        joined = b"".join(texts)
+        doubt = np.flatnonzero(self.doubtful[np.frombuffer(joined, np.uint8)])
+        doubt = np.unique(np.searchsorted(ends, doubt, side="right")).tolist()
+        whole = [i for i in doubt if self.whole.search(texts[i].decode())]
+        if whole:
+            cut = list(texts)
+            for i in whole:
+                cut[i] = b""
+            ends = np.cumsum(list(map(len, cut)), dtype=np.int64)
+            joined = b"".join(cut)
+        begins = np.append(0, ends[:-1])
+        if joined:
+            kinds = _KIND[np.frombuffer(joined, np.uint8)]
+            starts = np.append(False, _STARTS[kinds[:-1] << 2 | kinds[1:]])
+            starts[begins[begins < ends]] = True
+            at = np.append(np.flatnonzero(starts), len(joined))
+            words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(joined)]).dictionary_encode()
+            distinct = words.dictionary.to_pylist()
+            parts = list(map(self.recent.get, distinct))
+            missing = [i for i, p in enumerate(parts) if p is None]
+            for i, ids in zip(missing, self._look_up([distinct[i] for i in missing])):
+                parts[i] = ids
+            packed = pa.array(parts, pa.large_binary()).take(words.indices)
+            _, places, ids = packed.buffers()
+            places, ids = np.frombuffer(places, np.int64), memoryview(ids)
+            first, last = places[np.searchsorted(at, begins)].tolist(), places[np.searchsorted(at, ends)].tolist()
+            out = [bytes(ids[a:b]) for a, b in zip(first, last)]
+        else:
+            out = [b""] * len(texts)
+        for i, ids in zip(whole, self._ids([texts[i].decode() for i in whole])):
+            out[i] = ids
         return out
 
 
@@ -254,9 +292,8 @@ def _write_shards(root: str, tokenizer: str, end_id: int | None):
             return out
 
         for batch in batches:
-            for piece in pieces([batch], most_bytes=2 << 20):
-                texts = [t.decode() for t in as_bytes(piece.column("text"))]
-                for doc, packed in zip(piece.column("id").to_pylist(), encoder.encode(texts)):
+            for piece in pieces([batch], most_bytes=PIECE_BYTES):
+                for doc, packed in zip(piece.column("id").to_pylist(), encoder.encode_utf8(as_bytes(piece.column("text")))):
                     ids.append(packed + end)
                     docs.append(doc)
                     size += len(ids[-1])
