@@ -182,6 +182,39 @@ def test_every_piece_encodes_to_itself(model):
     assert [x.tolist() for x in model.encode(some)] == library.encode(some)
 
 
+def test_piece_words_are_looked_up_once_and_without_punctuation(monkeypatch):
+    """Words end where no piece joins, so the same letters before other punctuation are no new word."""
+    model, asked = sentence_pieces.Pieces(PIECES), []
+    plain = model.encode_words
+    monkeypatch.setattr(model, "encode_words", lambda words: asked.extend(words) or plain(words))
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = ["odd word; odd word! odd word~", "odd word? odd word", "", "odd " * 50 + "word;"]
+    for _ in range(2):
+        assert [x.tolist() for x in model.encode(texts)] == library.encode(texts)
+    assert len(asked) == len(set(asked)) and {" odd", " word"} <= set(asked) and not any(w.startswith(" word") and w != " word" for w in asked)
+
+
+def test_piece_punctuation_like_the_library(model):
+    """Cuts by neighbouring bytes change no id, also beside marks, line ends and characters of several bytes."""
+    rng = random.Random(12)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    parts = [*"ab12.,;!?'\"()/-_#%$~^", "'s", "...", "://", " ", "  ", "\n", "\r\n", "\t", chr(0), chr(0x7F), chr(0xE9), chr(0x2026), chr(0x301), chr(0x4E2D), chr(0x1F600), chr(0x2581), "the", "Word", "x" * 60]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(2000)]
+    got = model.encode(texts)
+    assert [x.tolist() for x in got] == library.encode(texts)
+    flat, ends = model.encode_utf8([t.encode() for t in texts])
+    assert np.array_equal(flat, np.concatenate(got)) and np.diff(ends).tolist() == [len(x) for x in got]
+    back = model.decode_utf8(flat, ends)
+    assert [x.decode() for x in back] == [model.decode(x) for x in got] == [library.decode(x.tolist()) for x in got]
+    assert [sentence_pieces.same_text(x, t.encode()) for x, t in zip(back, texts)] == [sentence_pieces.MARK not in t for t in texts]
+
+
+def test_decoded_bytes_and_the_text():
+    """What is no UTF-8 counts as the character that replaces it."""
+    assert sentence_pieces.same_text(b"a\xff", "a\ufffd".encode()) and sentence_pieces.same_text(b"", b"")
+    assert not sentence_pieces.same_text(b"a\xff", b"a") and not sentence_pieces.same_text(b"a", b"b")
+
+
 def test_encode_and_decode_columns(spark, clashing, no_docs):
     coded = sentence_pieces.encode(clashing, PIECES, out="ids")
     back = sentence_pieces.decode(coded, PIECES).select("text", "ids", "decoded").collect()

@@ -7,9 +7,9 @@ model's own encoding exactly if each two neighbouring pieces are, so a step into
 place e may use a piece only behind a last piece that it may follow.  For each end
 one candidate is left; the maximum over candidates by score stores its backpointer.
 
-Words (a run of word marks and what follows up to the next) encode one by one,
-since no piece has a mark behind another character.  Long ones are cut further, between any two neighbouring
-characters that no piece has side by side: no merge joins what stands on both sides.  Distinct words of a batch are grouped by
+Texts are cut between any two neighbouring characters that no piece has side by side, since
+no merge joins what stands on both sides; a mark behind another character is always such a place.  All texts of a batch are
+cut at once, at first only where one byte tells a character; long words are cut further.  Distinct words of a batch are grouped by
 length and advance together, a character at a time: hashes of all substrings that end there
 are looked up in the sorted hashes of the pieces; the pieces found must spell the word.  Whether a piece may follow
 another is found by taking back their merges, for all open pairs together.
@@ -21,7 +21,6 @@ empty results and other columns pass through.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +31,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import as_bytes, pieces, query, table
 
 MARK = chr(0x2581)
+_MARK = MARK.encode()
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Distinct words that advance together.
 BATCH_WORDS = 1 << 13
-#: Bytes that the encoded words kept in a worker may take, and the length from which on a word is cut and not kept.
+#: Bytes that the encoded words kept in a worker may take, and the bytes of a word from which on it is cut and not kept.
 CACHE_BYTES, LONG = 64 << 20, 48
+#: Bytes of texts that are cut at once.
+PIECE_BYTES = 4 << 20
 #: What a kept word takes besides its characters and ids.
 _KEPT_OVERHEAD = 220
 #: Slots of the table of neighbouring pieces.
@@ -81,16 +83,34 @@ class Pieces:
             self.codes[i, : len(self.text[i])] = [ord(c) for c in self.text[i]]
         # Characters that stand side by side in a piece.
         self.joints = np.unique(np.array([ord(a) << 21 | ord(b) for i in normal for a, b in zip(self.text[i], self.text[i][1:])], np.int64))
+        # Keys that begin with the same 20 bits stand behind one another, from ``first`` on.
+        top = (self.keys >> np.uint64(44)).astype(np.int64)
         self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[self.keys >> np.uint64(44)] = True
-        # Characters without a piece never merge, so white space of that kind cuts words as well.
-        space = "".join(c for c in "\n\r\t" if c not in by_text)
-        self.cut = re.compile(f" +[^ {space}]*|[^ {space}]+|[{space}]" if space else " +[^ ]*")
+        self.maybe[top] = True
+        self.first = np.searchsorted(top, np.arange(1 << 20)).astype(np.int32)
+        self.deepest = int(np.bincount(top, minlength=1).max(initial=0))
+        self.borders = self._borders(set(by_text))
         self.pair_seen, self.pair_answer = np.full(PAIRS, -1, np.int64), np.zeros(PAIRS, bool)
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.spelt = pa.array(self.bytes, pa.large_binary())
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.kept = 0
 
+    def _borders(self, texts: set[str]) -> np.ndarray:
+        """Whether a word ends between two bytes, by first byte << 8 | second byte; marks are spaces."""
+        borders = np.zeros((256, 256), bool)
+        borders[:128, :128] = True
+        left, right = self.joints >> 21, self.joints & ((1 << 21) - 1)
+        left, right = (np.where(x == ord(MARK), 32, x) for x in (left, right))
+        both = (left < 128) & (right < 128)
+        borders[left[both], right[both]] = False
+        # Beside a character of several bytes: no piece has a mark there, and characters without a piece never merge.
+        borders[128:, 32] = True
+        for c in range(128):
+            if c != 32 and chr(c) not in texts:
+                borders[128:, c] = borders[c, 128:] = True
+        return borders.ravel()
+
     def _learn_merges(self, normal: list[int]) -> list[int]:
         """Which merges make each piece; the pieces that the model's own merges reach.
 
@@ -183,7 +203,10 @@ class Pieces:
             begin = end - open_.shape[1]
             row, col = np.nonzero(self.maybe[open_ >> np.uint64(44)])
             wanted = open_[row, col]
-            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            at = self.first[wanted >> np.uint64(44)]
+            for _ in range(self.deepest - 1):
+                at = at + (self.keys[at] < wanted)
+                at = np.minimum(at, len(self.keys) - 1)
             hit = self.keys[at] == wanted
             row, col, cand = row[hit], col[hit], self.key_ids[at[hit]]
             start = begin + col
@@ -216,12 +239,25 @@ class Pieces:
         they were found; a word that its pieces do not spell met a false hash and is done again by characters.
         """
         out = self._encode_words(words)
-        spelt = self.bytes
-        wrong = [k for k, (w, ids) in enumerate(zip(words, out)) if b"".join([spelt[i] for i in np.frombuffer(ids, np.int32).tolist()]) != w.encode("utf-8", "surrogatepass")]
+        wanted = [w.encode("utf-8", "surrogatepass") for w in words]
+        spelt, places = self.spell(np.frombuffer(b"".join(out), np.int32))
+        ends = places[np.cumsum(list(map(len, out)), dtype=np.int64) // 4]
+        if spelt == b"".join(wanted) and np.array_equal(ends, np.cumsum(list(map(len, wanted)))):
+            return out
+        begins = [0, *ends[:-1].tolist()]
+        wrong = [k for k, (w, a, b) in enumerate(zip(wanted, begins, ends.tolist())) if spelt[a:b] != w]
         for k, ids in zip(wrong, self._encode_words([words[k] for k in wrong], compare=True)):
             out[k] = ids
         return out
 
+    def spell(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """Bytes that ids stand for, one behind the other, and where those of each id begin, with the end."""
+        if not len(ids):
+            return b"", np.zeros(1, np.int64)
+        _, places, spelt = self.spelt.take(pa.array(ids)).buffers()
+        places = np.frombuffer(places, np.int64)[: len(ids) + 1]
+        return spelt.to_pybytes()[: places[-1]], places
+
     def _encode_words(self, words: list[str], compare: bool = False) -> list[bytes]:
         out: list[bytes] = [None] * len(words)
         by_length: dict[int, list[int]] = {}
@@ -278,26 +314,54 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        # Words keep spaces for marks until their characters are looked up.
-        cut = [self.cut.findall(" " + (t.replace(MARK, " ") if MARK in t else t)) if t else [] for t in texts]
-        cut = [[x for w in words for x in (self.apart(w) if len(w) > LONG else (w,))] if max(map(len, words), default=0) > LONG else words for words in cut]
-        recent, older = self.recent, self.older
-        fresh, new = {}, []
-        for word in {w for words in cut for w in words if w not in recent}:
-            known = older.get(word)
-            if known is None:
-                new.append(word)
+        ids, ends = self.encode_utf8([t.encode("utf-8", "surrogatepass") for t in texts])
+        return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    def encode_utf8(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one behind the other, and where those of each text begin, with the end."""
+        joined = b" ".join([b"", *texts]) if all(texts) else b"".join([b" " + t if t else t for t in texts])
+        sizes = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
+        if _MARK in joined:
+            # Words keep spaces for marks until their characters are looked up.
+            sizes -= (len(_MARK) - 1) * np.array([t.count(_MARK) for t in texts], np.int64)
+            joined = joined.replace(_MARK, b" ")
+        ends = np.append(0, np.cumsum(sizes))
+        if not joined:
+            return np.empty(0, np.int32), ends
+        data = np.frombuffer(joined, np.uint8)
+        cut = np.append(True, self.borders[data[:-1].astype(np.uint16) << 8 | data[1:]])
+        cut[ends[:-1][sizes > 0]] = True
+        at = np.append(np.flatnonzero(cut), len(joined))
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(joined)]).dictionary_encode()
+        coded = self._look_up(words.dictionary.to_pylist())
+        _, places, ids = pa.array(coded, pa.large_binary()).take(words.indices).buffers()
+        places = np.frombuffer(places, np.int64)[: len(at)] // 4
+        return np.frombuffer(ids, np.int32, places[-1]), places[np.searchsorted(at, ends)]
+
+    def _look_up(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of distinct words; short ones are kept from now on."""
+        out = list(map(self.recent.get, words))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        apart = {i: [w.encode("utf-8", "surrogatepass") for w in self.apart(words[i].decode("utf-8", "surrogatepass"))] for i in missing if len(words[i]) > LONG}
+        wanted = [words[i] for i in missing if i not in apart]
+        if apart:
+            wanted = list({*wanted, *(w for some in apart.values() for w in some)} - self.recent.keys())
+        coded = list(map(self.older.get, wanted))
+        new = [k for k, ids in enumerate(coded) if ids is None]
+        for k, ids in zip(new, self.encode_words([wanted[k].decode("utf-8", "surrogatepass") for k in new])):
+            coded[k] = ids
+        fresh = dict(zip(wanted, coded))
+        for i in missing:
+            if i not in apart:
+                out[i] = fresh[words[i]]
             else:
-                fresh[word] = known
-        fresh.update(zip(new, self.encode_words(new)))
-        out = [np.frombuffer(b"".join([recent[w] if w in recent else fresh[w] for w in words]), np.int32) for words in cut]
-        for word, ids in fresh.items():
-            if len(word) <= LONG:
-                recent[word] = ids
-                self.kept += _KEPT_OVERHEAD + 2 * len(word) + len(ids)
+                out[i] = b"".join([fresh[w] if w in fresh else self.recent[w] for w in apart[i]])
+        keep = [(w, ids) for w, ids in fresh.items() if len(w) <= LONG] if max(map(len, wanted), default=0) > LONG else fresh.items()
+        self.recent.update(keep)
+        self.kept += sum([len(w) + len(ids) for w, ids in keep]) + _KEPT_OVERHEAD * len(keep)
         # Two generations: a word that is used again moves to the recent ones before its generation goes.
         if self.kept > CACHE_BYTES // 2:
-            self.recent, self.older, self.kept = {}, recent, 0
+            self.recent, self.older, self.kept = {}, self.recent, 0
         return out
 
     def apart(self, word: str) -> list[str]:
@@ -310,8 +374,13 @@ class Pieces:
         return [word[a:b] for a, b in zip(ends, ends[1:])]
 
     def decode(self, ids: np.ndarray) -> str:
-        raw = b"".join([self.bytes[i] for i in ids.tolist()])
-        return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
+        return self.decode_utf8(ids, np.array([0, len(ids)]))[0].decode("utf-8", "replace")
+
+    def decode_utf8(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """Bytes of the texts whose ids begin at the given places, without the mark that was put in front."""
+        spelt, places = self.spell(ids)
+        places = places[ends].tolist()
+        return [spelt[a + (spelt[a : a + 1] == b" " and a < b) : b] for a, b in zip(places, places[1:])]
 
 
 _MODELS: dict[str, Pieces] = {}
@@ -331,10 +400,9 @@ def encoder(path: str):
         model = _model(path)
         batch = pa.RecordBatch.from_arrays([text], names=["text"])
         chunks = []
-        for piece in pieces([batch], most_bytes=1 << 20):
-            ids = model.encode([t.decode() for t in as_bytes(piece.column("text"))])
-            offsets = np.append(0, np.cumsum([len(x) for x in ids])).astype(np.int32)
-            chunks.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32), pa.int32())))
+        for piece in pieces([batch], most_bytes=PIECE_BYTES):
+            ids, ends = model.encode_utf8(as_bytes(piece.column("text")))
+            chunks.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)))
         return pa.concat_arrays(chunks) if chunks else pa.array([], pa.list_(pa.int32()))
 
     return ids_of
@@ -347,7 +415,7 @@ def decoder(path: str):
     def text_of(ids: pa.Array) -> pa.Array:
         model = _model(path)
         flat, offsets = ids.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum([0 if x is None else x for x in ids.value_lengths().to_pylist()]))
-        return pa.array([model.decode(flat[a:b].astype(np.int64)) for a, b in zip(offsets[:-1], offsets[1:])], pa.string())
+        return pa.array([t.decode("utf-8", "replace") for t in model.decode_utf8(flat, offsets)], pa.string())
 
     return text_of
 
@@ -364,18 +432,24 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded")
 _SUMMARY = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("round_trip", pa.bool_())])
 
 
+def same_text(decoded: bytes, text: bytes) -> bool:
+    """Whether decoded bytes, with what is no UTF-8 replaced, are the text."""
+    return decoded == text or decoded.decode("utf-8", "replace") == text.decode()
+
+
 def _summaries(path: str):
     import zlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(path)
-        for piece in pieces(batches, most_bytes=1 << 20):
-            texts = [t.decode() for t in as_bytes(piece.column("text"))]
-            ids = model.encode(texts)
+        for piece in pieces(batches, most_bytes=PIECE_BYTES):
+            texts = as_bytes(piece.column("text"))
+            ids, ends = model.encode_utf8(texts)
+            packed, places = memoryview(ids.astype("<u4", copy=False)).cast("B"), (4 * ends).tolist()
             yield pa.RecordBatch.from_arrays([
-                piece.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
-                pa.array([model.decode(x) == t for x, t in zip(ids, texts)], pa.bool_())], schema=_SUMMARY)
+                piece.column("doc_id"), pa.array(np.diff(ends), pa.int64()),
+                pa.array([zlib.crc32(packed[a:b]) for a, b in zip(places, places[1:])], pa.int64()),
+                pa.array([same_text(x, t) for x, t in zip(model.decode_utf8(ids, ends), texts)], pa.bool_())], schema=_SUMMARY)
 
     return run
 
