@@ -38,7 +38,7 @@ BATCH_WORDS = 1 << 13
 #: Bytes that the encoded words kept in a worker may take, and the bytes of a word from which on it is cut and not kept.
 CACHE_BYTES, LONG = 64 << 20, 48
 #: Bytes of texts that are cut at once.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 #: What a kept word takes besides its characters and ids.
 _KEPT_OVERHEAD = 220
 #: Slots of the table of neighbouring pieces.
@@ -358,7 +358,7 @@ class Pieces:
                 out[i] = b"".join([fresh[w] if w in fresh else self.recent[w] for w in apart[i]])
         keep = [(w, ids) for w, ids in fresh.items() if len(w) <= LONG] if max(map(len, wanted), default=0) > LONG else fresh.items()
         self.recent.update(keep)
-        self.kept += sum([len(w) + len(ids) for w, ids in keep]) + _KEPT_OVERHEAD * len(keep)
+        self.kept += sum([2 * len(w) + len(ids) for w, ids in keep]) + _KEPT_OVERHEAD * len(keep)
         # Two generations: a word that is used again moves to the recent ones before its generation goes.
         if self.kept > CACHE_BYTES // 2:
             self.recent, self.older, self.kept = {}, self.recent, 0
@@ -403,6 +403,7 @@ def encoder(path: str):
         for piece in pieces([batch], most_bytes=PIECE_BYTES):
             ids, ends = model.encode_utf8(as_bytes(piece.column("text")))
             chunks.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)))
+        pa.default_memory_pool().release_unused()  # what the cut took goes back before the next stage runs beside it
         return pa.concat_arrays(chunks) if chunks else pa.array([], pa.list_(pa.int32()))
 
     return ids_of
